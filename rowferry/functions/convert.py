@@ -21,6 +21,8 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 
+ASCII_WHITESPACE = WHITESPACE[:6]
+
 # What a numeric prefix looks like after leading white space.
 INTEGER_PREFIX = r"^[+-]?[0-9]+"
 FLOAT_PREFIX = r"^[+-]?(?:Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
@@ -58,8 +60,18 @@ def as_text(col: Column, dtype: T.DataType | str = "string") -> Column:
     return col if kind_of(dtype) == "string" else col.cast("string")
 
 
+def _blank_set(col: Column) -> Column:
+    """What to trim off: the cost grows with the set, and text of single bytes needs only the first six."""
+    single_bytes = F.octet_length(col) == F.char_length(col)
+    return F.when(single_bytes, F.lit(ASCII_WHITESPACE)).otherwise(F.lit(WHITESPACE))
+
+
 def trimmed(col: Column) -> Column:
-    return F.btrim(col, F.lit(WHITESPACE))
+    return F.btrim(col, _blank_set(col))
+
+
+def left_trimmed(col: Column) -> Column:
+    return F.ltrim(col, _blank_set(col))
 
 
 def _cut(col: Column, max_length: int | None) -> Column:
@@ -68,17 +80,22 @@ def _cut(col: Column, max_length: int | None) -> Column:
 
 def safe_string(col: Column, max_length: int | None = None, dtype: T.DataType | str = "string") -> Column:
     """Trim, then cut. Empty input is NULL; white space alone becomes the empty text."""
-    return _cut(trimmed(F.nullif(as_text(col, dtype), F.lit(""))), max_length)
+    text = as_text(col, dtype)
+    if kind_of(dtype) == "string":
+        text = F.when(text != "", trimmed(text))
+    return _cut(text, max_length)
 
 
 def normalize_string(col: Column, max_length: int | None = None, dtype: T.DataType | str = "string") -> Column:
     """Trim, then cut; empty and white-space-only input are both NULL."""
-    return _cut(F.nullif(trimmed(as_text(col, dtype)), F.lit("")), max_length)
+    text = as_text(col, dtype)
+    if kind_of(dtype) == "string":
+        text = F.nullif(trimmed(text), F.lit(""))
+    return _cut(text, max_length)
 
 
 def _prefix(col: Column, pattern: str) -> Column:
-    left_trimmed = F.ltrim(col, F.lit(WHITESPACE))
-    return F.nullif(F.regexp_extract(left_trimmed, pattern, 0), F.lit(""))
+    return F.nullif(F.regexp_extract(left_trimmed(col), pattern, 0), F.lit(""))
 
 
 def safe_integer(col: Column, dtype: T.DataType | str = "string") -> Column:
@@ -121,7 +138,7 @@ def safe_date(
         return F.when(millis.between(-MAX_EPOCH_MILLIS, MAX_EPOCH_MILLIS), _utc(F.timestamp_millis(millis)))
     if kind != "string":
         return F.lit(None).cast("timestamp_ntz")
-    has_offset = col.rlike(r":[0-9]{2}(?:\.[0-9]+)?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})\s*$")
+    has_offset = F.contains(col, F.lit(":")) & col.rlike(r":[0-9]{2}(?:\.[0-9]+)?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})\s*$")
     iso = F.when(has_offset, _utc(col.try_cast("timestamp"))).otherwise(col.try_cast("timestamp_ntz"))
     text = trimmed(col)
     return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])

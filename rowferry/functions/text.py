@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rowferry.functions.convert import trimmed
+from rowferry.functions.convert import left_trimmed
 
 
 def full_name(*parts: Column) -> Column:
-    """Parts joined by a space; NULL, blank and the word "null" are left out, kept parts stay as they are."""
-    kept = F.filter(
-        F.array(*parts), lambda p: p.isNotNull() & (trimmed(p) != "") & (F.lower(p) != "null")
-    )
-    return F.array_join(kept, " ")
+    """Parts joined by a space; NULL, blank and the word "null" are left out, kept parts stay as they are.
+
+    ``concat_ws`` leaves out NULLs, so a part that does not count is made NULL.
+    """
+    kept = [F.when((left_trimmed(p) != "") & (F.lower(p) != "null"), p) for p in parts]
+    return F.concat_ws(" ", *kept)
 
 
 def key_text(*parts: Column) -> Column:

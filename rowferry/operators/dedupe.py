@@ -6,12 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _can_order(dtype: T.DataType) -> bool:
+    text = dtype.simpleString()
+    return "map<" not in text and "variant" not in text
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], last: bool) -> DataFrame:
     if not order_by:
         raise ValueError("order_by is required: which duplicate wins must be declared")
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    rest = [f.name for f in df.schema.fields if f.name not in (*keys, *order_by) and _can_order(f.dataType)]
     order = [F.col(f"`{c}`") for c in [*order_by, *rest]]
     window = Window.partitionBy(*keys).orderBy(*[o.desc() if last else o.asc() for o in order])
     # A filter on row_number = 1 makes Spark keep one row per key and task before the

@@ -140,10 +140,17 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["b"]
 
 
-# A measured side up to this size is broadcast; a larger one is left to shuffle.
+# A side is broadcast when it was counted and measured to be at most this large.
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def measures_small(df: DataFrame, n_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame may be broadcast. Only one of few enough rows has its bytes measured."""
+    n_rows = df.count() if n_rows is None else n_rows
+    return n_rows <= BROADCAST_ROWS and measure(df)[1] <= max_bytes
+
+
 def small_or_plain(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame with a broadcast hint if it measures at most ``max_bytes``, otherwise as it is."""
-    return F.broadcast(df) if measure(df)[1] <= max_bytes else df
+    """The frame with a broadcast hint if it measures small, otherwise as it is."""
+    return F.broadcast(df) if measures_small(df, max_bytes=max_bytes) else df

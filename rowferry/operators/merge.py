@@ -39,6 +39,8 @@ MODES = (
     "append-only",
 )
 KEYED_MODES = ("insert-ignore", "upsert", "update", "sync", "skip-existing")
+# These never change a row that is there, so a load may write just the new rows.
+ADDING_MODES = ("insert", "append-only", "insert-ignore", "skip-existing")
 OPS = ("inserted", "updated", "skipped", "deleted", "kept")
 
 
@@ -112,6 +114,7 @@ def merge_changes(
     target_unique: bool = True,
     source_unique: bool = False,
     broadcast_source: bool = False,
+    with_kept: bool = True,
 ) -> DataFrame:
     """The change set of one merge.
 
@@ -142,7 +145,8 @@ def merge_changes(
     if on_conflict == "error" and keys:
         _raise_on_conflict(target, source, keys, target_unique)
     if mode in ("insert", "append-only"):
-        return _tag(target, "kept").unionByName(_tag(source, "inserted"))
+        added = _tag(source, "inserted")
+        return _tag(target, "kept").unionByName(added) if with_kept else added
     if mode in ("delete-insert", "fresh-start"):
         doomed = F.lit(True)
         if mode == "delete-insert" and delete_condition:
@@ -168,7 +172,8 @@ def merge_changes(
     found = existing_keys(t_rows, s_keys, keys, target_unique, broadcast_source)
 
     if mode in ("insert-ignore", "skip-existing"):
-        parts = [_tag(target, "kept"), _new_or_skipped(s_rows, found, keys)]
+        parts = [_tag(target, "kept")] if with_kept else []
+        parts.append(_new_or_skipped(s_rows, found, keys))
     else:
         touched = list(given if update_columns is None else update_columns)
         parts = [
@@ -276,7 +281,7 @@ def observed(changes: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     The counters sit after the last shuffle, so a retried map task cannot count twice.
     """
     observation = Observation(name)
-    return changes.observe(observation, *_op_counts()), observation
+    return changes.observe(observation, *_op_counts(), F.count_if("_live").alias("live")), observation
 
 
 def merge_into_table(

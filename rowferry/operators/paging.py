@@ -58,17 +58,14 @@ def page_offset(df: DataFrame, order_by: Sequence[str], offset: int, size: int)
     return df.orderBy(*order_by).offset(offset).limit(size)
 
 
-def number_rows(
+def place_rows(
     df: DataFrame, order_by: Sequence[str], partitions: int | None = None, unique_order: bool = True
 ) -> DataFrame:
-    """Every row with its number ``_rn`` (from 1) in the order given, without one task sorting the table.
+    """The rows range-partitioned in order and written once, with their partition and place in it.
 
-    The rows are range-partitioned, sorted within partitions and written once to the
-    shared folder with their place in the partition. One small aggregate then gives
-    each partition's first number. ``unique_order=False`` adds a row hash to the
-    order, so that a key many rows share is split over partitions as well.
+    ``unique_order=False`` adds a row hash to the order, so that a key many rows
+    share is split over partitions as well.
     """
-    validate_paging("rownum", order_by)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc() for c in order_by]
@@ -82,7 +79,19 @@ def number_rows(
     )
     path = work_path(spark, "numbered")
     placed.write.parquet(path)
-    written = spark.read.schema(placed.schema).parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def number_rows(
+    df: DataFrame, order_by: Sequence[str], partitions: int | None = None, unique_order: bool = True
+) -> DataFrame:
+    """Every row with its number ``_rn`` (from 1) in the order given, without one task sorting the table.
+
+    The rows are placed once (see ``place_rows``); one small aggregate then gives
+    each partition's first number.
+    """
+    validate_paging("rownum", order_by)
+    written = place_rows(df, order_by, partitions, unique_order)
     sizes = written.groupBy("__part").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))

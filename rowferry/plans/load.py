@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowferry.operators.lookup import BROADCAST_BYTES, measure, rebuild_lookup, resolve_codes, small_or_plain
-from rowferry.operators.merge import live_rows, merge_changes, observed
+from rowferry.operators.lookup import measures_small, rebuild_lookup, resolve_codes, small_or_plain
+from rowferry.operators.merge import ADDING_MODES, KEYED_MODES, live_rows, merge, merge_changes, observed
+from rowferry.operators.paging import typed_literal
 from rowferry.operators.project import conform, transform_rows
 from rowferry.plans.progress import load_progress, resume_action, save_progress, table_progress
 from rowferry.plans.spec import TableLoad, check_plan, priority_groups
@@ -32,56 +33,71 @@ class LoadResult:
     deleted: int = 0
     superseded: int = 0
     target_rows: int = 0
-    path: str | None = None
+    paths: tuple[str, ...] = ()
+
+
+def read_target(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def current_target(spark: SparkSession, root: str, table_id: str, schema: T.StructType) -> DataFrame:
     """The rows of a table as its last finished run left them."""
     row = table_progress(spark, root, table_id)
-    if row is None or row["path"] is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(row["path"])
+    return read_target(spark, schema, (row and row["paths"]) or ())
 
 
 def cleaned_source(spark: SparkSession, load: TableLoad, lookups: Mapping[str, DataFrame | None]) -> DataFrame:
-    """The source with its keys resolved, cleaned and in the target's declared columns.
-
-    Columns the transform does not give are NULL, as a target would default them.
-    """
+    """The source with its keys resolved, cleaned and in the target's declared columns."""
     resolved = resolve_codes(load.source(spark), load.foreign_keys, lookups)
     return conform(transform_rows(resolved, load.transform), load.schema)
 
 
 def write_merge(
-    spark: SparkSession, root: str, load: TableLoad, cleaned: DataFrame, load_ts: str, last_batch: int = -1
+    spark: SparkSession,
+    root: str,
+    load: TableLoad,
+    cleaned: DataFrame,
+    load_ts: str,
+    before: Row | None,
+    last_batch: int = -1,
 ) -> LoadResult:
-    """Merge a cleaned source into the current target, write the new snapshot, commit it to the progress table."""
-    before = table_progress(spark, root, load.table_id)
+    """Merge a cleaned source into the table ``before`` describes, write, and commit to the progress table.
+
+    A mode that only adds rows writes only those, so the cost follows the source
+    and the target's keys, not the target.
+    """
     run = (before["run"] if before else 0) + 1
-    target_rows = before["target_rows"] if before else 0
+    held = before["target_rows"] if before else 0
     last_batch = max(last_batch, before["last_batch"] if before else -1)
-    action = resume_action(load.mode, bool(before and before["is_complete"]), target_rows)
-    n_read, n_bytes = measure(cleaned)
-    target = current_target(spark, root, load.table_id, load.schema)
-    changes = merge_changes(
-        target,
-        cleaned,
-        load.mode,
-        load.keys,
-        **{"broadcast_source": n_bytes <= BROADCAST_BYTES, **load.options},
-    )
+    paths = list((before and before["paths"]) or ())
+    action = resume_action(load.mode, bool(before and before["is_complete"]), held)
+    adds = load.mode in ADDING_MODES
+
+    n_read = cleaned.count()
+    options = {"broadcast_source": bool(paths) and measures_small(cleaned, n_read), **load.options}
+    target = read_target(spark, load.schema, paths)
+    changes = merge_changes(target, cleaned, load.mode, load.keys, with_kept=not adds, **options)
     watched, counters = observed(changes, f"{load.table_id}-{run}")
     path = f"{root.rstrip('/')}/{load.table_id}/run={run}"
     live_rows(watched).write.mode("overwrite").parquet(path)
+
     counts = {k: v or 0 for k, v in counters.get.items()}
-    held = spark.read.schema(load.schema).parquet(path).count()
-    lost = n_read - counts["inserted"] - counts["updated"] - counts["skipped"]
     ops = {k: counts[k] for k in ("inserted", "updated", "skipped", "deleted")}
+    held = held + counts["live"] if adds else counts["live"]
+    paths = [*paths, path] if adds else [path]
     save_progress(
         spark, root, table_id=load.table_id, run=run, mode=load.mode, read_rows=n_read, target_rows=held,
-        is_complete=True, last_batch=last_batch, path=path, load_ts=load_ts, **ops,
-    )
-    return LoadResult(load.table_id, action, n_read, **ops, superseded=lost, target_rows=held, path=path)
+        is_complete=True, last_batch=last_batch, paths=paths, load_ts=load_ts, **ops,
+    )
+    lost = n_read - ops["inserted"] - ops["updated"] - ops["skipped"]
+    return LoadResult(load.table_id, action, n_read, **ops, superseded=lost, target_rows=held, paths=tuple(paths))
+
+
+def skipped_result(load: TableLoad, before: Row | None) -> LoadResult:
+    """What a run reports that had nothing to do."""
+    if before is None:
+        return LoadResult(load.table_id, "skip")
+    return LoadResult(load.table_id, "skip", target_rows=before["target_rows"], paths=tuple(before["paths"] or ()))
 
 
 def load_table(
@@ -93,40 +109,76 @@ def load_table(
 ) -> LoadResult:
     """Load one table, unless it is already complete and its mode leaves complete tables alone."""
     before = table_progress(spark, root, load.table_id)
-    if before is not None:
-        action = resume_action(load.mode, before["is_complete"], before["target_rows"])
-        if action == "skip":
-            return LoadResult(load.table_id, action, target_rows=before["target_rows"], path=before["path"])
+    if before and resume_action(load.mode, before["is_complete"], before["target_rows"]) == "skip":
+        return skipped_result(load, before)
     cleaned = cleaned_source(spark, load, lookups or {})
     if load.stage:
         # Read the source once: a database read again could give other rows.
         path = work_path(spark, f"stage-{load.table_id}")
         cleaned.write.parquet(path)
         cleaned = spark.read.schema(load.schema).parquet(path)
-    return write_merge(spark, root, load, cleaned, load_ts)
+    return write_merge(spark, root, load, cleaned, load_ts, before)
 
 
 def load_chain(spark: SparkSession, root: str, loads: Sequence[TableLoad], load_ts: str) -> list[LoadResult]:
     """Load tables by priority; each sees the ids of those before it. A failing group stops the rest."""
     check_plan(loads)
+    looked_up = {fk.table for load in loads for fk in load.foreign_keys}
     lookups: dict[str, DataFrame] = {}
     results = []
     for priority, group in priority_groups(loads):
         failures = []
         for load in group:
             try:
-                results.append(load_table(spark, root, load, load_ts, lookups))
+                result = load_table(spark, root, load, load_ts, lookups)
+                if load.table_id in looked_up:
+                    loaded = read_target(spark, load.schema, result.paths)
+                    lookups[load.table_id] = small_or_plain(rebuild_lookup(loaded, load.lookup))
+                results.append(result)
             except Exception as error:
                 failures.append(f"{load.table_id}: {error}")
         if failures:
             raise LoadFailed(f"priority group {priority}: {'; '.join(failures)}")
-        for load in group:
-            if load.lookup is not None:
-                loaded = current_target(spark, root, load.table_id, load.schema)
-                lookups[load.table_id] = small_or_plain(rebuild_lookup(loaded, load.lookup))
     return results
 
 
+# Up to this many partitions are named in the filter that picks what a merge reads.
+PARTITIONS_NAMED = 10_000
+
+
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    mode: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    **options,
+) -> None:
+    """Merge into a partitioned Parquet folder, reading and rewriting only the partitions the source touches.
+
+    The partition columns must be key columns, so that no other partition can hold
+    a row of the same key. The rewritten partitions replace the old ones when the
+    write commits; a commit cut short is made good by running the merge again,
+    which the keyed modes allow.
+    """
+    outside = [c for c in partition_by if c not in keys]
+    if outside or not partition_by:
+        raise ValueError(f"partition columns must be key columns: {outside or 'none given'}")
+    if mode not in KEYED_MODES or options.get("delete_missing"):
+        raise ValueError(f"mode {mode!r} reaches beyond the partitions of the source")
+    target = spark.read.parquet(path)
+    touched = source.select(*partition_by).distinct().take(PARTITIONS_NAMED + 1)
+    if len(touched) <= PARTITIONS_NAMED:
+        for name in partition_by:
+            values = {row[name] for row in touched}
+            known = F.col(name).isin(*[typed_literal(v, target.schema[name].dataType) for v in values - {None}])
+            target = target.where(known | F.col(name).isNull() if None in values else known)
+    merged = merge(target, source, mode, keys, **options)
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def load_report(spark: SparkSession, root: str) -> DataFrame:
     """A row per run, without the paths."""
     return load_progress(spark, root).select(

@@ -1,8 +1,10 @@
 """The progress table: one row per finished load run, and the pointer to each table's current rows.
 
-A merge cannot overwrite the Parquet it reads, so every run writes a new snapshot
-and then appends one progress row. That append is the commit: a run that dies
-before it leaves the earlier snapshot current, and the next run does the work again.
+A merge cannot overwrite the Parquet it reads, so every run writes a folder of its
+own and then appends one progress row that lists the folders holding the table now:
+the earlier ones and the new one where the run only added rows, the new one alone
+where it rewrote the table. That append is the commit: a run that dies before it
+leaves the table as it was, and the next run does the work again.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ PROGRESS_SCHEMA = T.StructType(
         T.StructField("target_rows", T.LongType()),
         T.StructField("is_complete", T.BooleanType()),
         T.StructField("last_batch", T.LongType()),
-        T.StructField("path", T.StringType()),
+        T.StructField("paths", T.ArrayType(T.StringType())),
         T.StructField("load_ts", T.StringType()),
     ]
 )

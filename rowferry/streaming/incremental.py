@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from rowferry.operators.dedupe import keep_first, keep_last
 from rowferry.operators.lookup import ForeignKey, resolve_codes
 from rowferry.operators.project import conform, transform_rows
-from rowferry.plans.load import LoadResult, write_merge
+from rowferry.plans.load import LoadResult, skipped_result, write_merge
 from rowferry.plans.progress import open_or_create, table_progress
 from rowferry.plans.spec import TableLoad
 
@@ -68,10 +68,8 @@ def changes_path(root: str, table_id: str) -> str:
     return f"{root.rstrip('/')}/_changes/{table_id}"
 
 
-def pending_changes(spark: SparkSession, root: str, load: TableLoad) -> DataFrame:
-    """Logged rows no finished merge has taken in, with their ``batch_id``; older folders are not read."""
-    row = table_progress(spark, root, load.table_id)
-    taken = row["last_batch"] if row else -1
+def pending_changes(spark: SparkSession, root: str, load: TableLoad, taken: int) -> DataFrame:
+    """Logged rows of batches after ``taken``, with their ``batch_id``; older folders are not read."""
     logged = T.StructType([*load.schema.fields, T.StructField("batch_id", T.LongType())])
     log = open_or_create(spark, changes_path(root, load.table_id), logged, "batch_id")
     return log.where(F.col("batch_id") > taken)
@@ -104,15 +102,14 @@ def merge_stream(
 
     _run_available(cleaned.writeStream.foreachBatch(write_batch), f"{root.rstrip('/')}/_checkpoint/{load.table_id}")
 
-    pending = pending_changes(spark, root, load)
+    before = table_progress(spark, root, load.table_id)
+    pending = pending_changes(spark, root, load, before["last_batch"] if before else -1)
     newest = pending.agg(F.max("batch_id")).first()[0]
     if newest is None:
-        before = table_progress(spark, root, load.table_id)
-        held, path = (before["target_rows"], before["path"]) if before else (0, None)
-        return LoadResult(load.table_id, "skip", target_rows=held, path=path)
+        return skipped_result(load, before)
     one_per_key = _settle(pending, load, order_by).drop("batch_id")
     settled = replace(load, options={**load.options, "source_unique": True})
-    return write_merge(spark, root, settled, one_per_key, load_ts, last_batch=newest)
+    return write_merge(spark, root, settled, one_per_key, load_ts, before, newest)
 
 
 def _settle(pending: DataFrame, load: TableLoad, order_by: Sequence[str]) -> DataFrame:
