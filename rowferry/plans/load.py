@@ -13,7 +13,7 @@ from rowferry.operators.lookup import measures_small, rebuild_lookup, resolve_co
 from rowferry.operators.merge import ADDING_MODES, KEYED_MODES, live_rows, merge, merge_changes, observed
 from rowferry.operators.paging import typed_literal
 from rowferry.operators.project import conform, transform_rows
-from rowferry.plans.progress import load_progress, resume_action, save_progress, table_progress
+from rowferry.plans.progress import empty_frame, load_progress, resume_action, save_progress, table_progress
 from rowferry.plans.spec import TableLoad, check_plan, priority_groups
 from rowferry.session import work_path
 
@@ -37,7 +37,7 @@ class LoadResult:
 
 
 def read_target(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths) if paths else empty_frame(spark, schema)
 
 
 def current_target(spark: SparkSession, root: str, table_id: str, schema: T.StructType) -> DataFrame:
@@ -60,11 +60,13 @@ def write_merge(
     load_ts: str,
     before: Row | None,
     last_batch: int = -1,
+    counted: DataFrame | None = None,
 ) -> LoadResult:
     """Merge a cleaned source into the table ``before`` describes, write, and commit to the progress table.
 
     A mode that only adds rows writes only those, so the cost follows the source
-    and the target's keys, not the target.
+    and the target's keys, not the target. ``counted`` are the rows to report as
+    read and to measure, where ``cleaned`` was cut down from more.
     """
     run = (before["run"] if before else 0) + 1
     held = before["target_rows"] if before else 0
@@ -73,8 +75,9 @@ def write_merge(
     action = resume_action(load.mode, bool(before and before["is_complete"]), held)
     adds = load.mode in ADDING_MODES
 
-    n_read = cleaned.count()
-    options = {"broadcast_source": bool(paths) and measures_small(cleaned, n_read), **load.options}
+    counted = cleaned if counted is None else counted
+    n_read = counted.count()
+    options = {"broadcast_source": bool(paths) and measures_small(counted, n_read), **load.options}
     target = read_target(spark, load.schema, paths)
     changes = merge_changes(target, cleaned, load.mode, load.keys, with_kept=not adds, **options)
     watched, counters = observed(changes, f"{load.table_id}-{run}")

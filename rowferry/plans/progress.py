@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form the optimizer sees through: joins with it fold away."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1, numPartitions=1).where(F.lit(False)).select(*nulls)
+
+
 PROGRESS_SCHEMA = T.StructType(
     [
         T.StructField("table_id", T.StringType()),
@@ -38,7 +44,7 @@ def progress_path(root: str) -> str:
 
 def open_or_create(spark: SparkSession, path: str, schema: T.StructType, *partition_by: str) -> DataFrame:
     """The table at a path; an empty one is laid down when there is none yet."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    empty_frame(spark, schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -56,8 +62,8 @@ def save_progress(spark: SparkSession, root: str, **values) -> None:
     row["is_complete"] = False
     row["last_batch"] = -1
     row.update(values)
-    one = spark.createDataFrame([tuple(row[n] for n in PROGRESS_SCHEMA.names)], PROGRESS_SCHEMA)
-    one.coalesce(1).write.mode("append").parquet(progress_path(root))
+    cells = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in PROGRESS_SCHEMA.fields]
+    spark.range(1, numPartitions=1).select(*cells).write.mode("append").parquet(progress_path(root))
 
 
 def latest_progress(progress: DataFrame) -> DataFrame:

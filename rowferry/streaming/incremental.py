@@ -109,7 +109,7 @@ def merge_stream(
         return skipped_result(load, before)
     one_per_key = _settle(pending, load, order_by).drop("batch_id")
     settled = replace(load, options={**load.options, "source_unique": True})
-    return write_merge(spark, root, settled, one_per_key, load_ts, before, newest)
+    return write_merge(spark, root, settled, one_per_key, load_ts, before, newest, counted=pending)
 
 
 def _settle(pending: DataFrame, load: TableLoad, order_by: Sequence[str]) -> DataFrame:
