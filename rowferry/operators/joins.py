@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowferry.operators.skew import HOT_ROWS, join_split, key_counts
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -39,11 +41,29 @@ def join_dimensions(df: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame
     return df
 
 
-def rows_with_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is in ``other``. Its keys collapse on the map side first, so a hot one costs a row."""
-    return df.join(other.select(*keys).distinct(), list(keys), "left_semi")
+def rows_with_match(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], unique: bool = False, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Rows whose key is in ``other``. A hot key costs one row per task in ``other`` and no shuffle in ``df``.
+
+    ``unique`` declares that ``df`` has one row per key, which saves counting them.
+    """
+    return _by_match(df, other, keys, "left_semi", unique, hot_rows)
 
 
-def rows_without_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rows_without_match(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], unique: bool = False, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Rows whose key is not in ``other``; a NULL key never matches, so it stays."""
-    return df.join(other.select(*keys).distinct(), list(keys), "left_anti")
+    return _by_match(df, other, keys, "left_anti", unique, hot_rows)
+
+
+def _by_match(df, other, keys, how, unique, hot_rows):
+    held = other.select(*keys).distinct()
+
+    def join(rows: DataFrame, keys_held: DataFrame) -> DataFrame:
+        return rows.join(keys_held, list(keys), how).select(*df.columns)
+
+    if unique:
+        return join(df, held)
+    return join_split(df, keys, key_counts(df, keys), held, join, hot_rows)

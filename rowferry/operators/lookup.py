@@ -2,9 +2,9 @@
 
 A lookup is a two-column table ``code STRING, id BIGINT`` with one row per code.
 No join here carries a broadcast hint by itself: Catalyst broadcasts a side its
-statistics prove small, and AQE one it measured; beyond that the join is a
-sort-merge join whose hot codes AQE splits. ``small_or_plain`` adds the hint
-only after measuring the lookup.
+statistics prove small, and AQE one it measured. ``ready_lookup`` adds the hint
+after measuring the lookup, and lays a larger one down for a sort-merge join whose
+hot codes AQE splits.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.functions.convert import as_text, kind_of
+from rowferry.session import work_path
 
 
 @dataclass(frozen=True)
@@ -151,6 +152,16 @@ def measures_small(df: DataFrame, n_rows: int | None = None, max_bytes: int = BR
     return n_rows <= BROADCAST_ROWS and measure(df)[1] <= max_bytes
 
 
-def small_or_plain(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame with a broadcast hint if it measures small, otherwise as it is."""
-    return F.broadcast(df) if measures_small(df, max_bytes=max_bytes) else df
+def ready_lookup(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A lookup in the form many joins should use it.
+
+    One that measures small is broadcast. A larger one is written once to the shared
+    folder and read back: it is not built again for every join, and its join then
+    shuffles both sides directly, which is the shape in which AQE splits a hot code.
+    """
+    if measures_small(lookup, max_bytes=max_bytes):
+        return F.broadcast(lookup)
+    spark = lookup.sparkSession
+    path = work_path(spark, "lookup")
+    lookup.write.parquet(path)
+    return spark.read.schema(lookup.schema).parquet(path)

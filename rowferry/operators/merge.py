@@ -12,7 +12,9 @@ Shape of every keyed merge, for a target far larger than one executor:
 * target LEFT JOIN source gives kept, updated and skipped rows. A source that
   Spark's statistics (or ``broadcast_source``, after the caller measured it)
   show to be small is broadcast and the target is not shuffled; otherwise both
-  sides shuffle once on the key and AQE may split a skewed target partition;
+  sides shuffle once on the key. A key that may repeat without end (target keys
+  not declared unique, source rows of skip-existing) is taken out when hot and
+  joined by broadcast instead;
 * new rows are found through the keys only: target keys SEMI source keys, then
   source ANTI those. The second read of the target is pruned to its key columns.
 """
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowferry.operators.dedupe import duplicate_keys, keep_first, keep_last
+from rowferry.operators.skew import HOT_ROWS, join_split, key_counts
 
 MODES = (
     "insert",
@@ -115,6 +118,7 @@ def merge_changes(
     source_unique: bool = False,
     broadcast_source: bool = False,
     with_kept: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The change set of one merge.
 
@@ -165,21 +169,34 @@ def merge_changes(
 
     t_rows, t_null = _split_null_keys(target, keys)
     s_rows, s_null = _split_null_keys(source, keys)
-    s_keys = s_rows.select(*keys)
+    repeats = mode == "skip-existing" and dedupe is None and not source_unique
+    counts = None if source_unique else key_counts(s_rows, keys)
+    s_keys = s_rows.select(*keys) if source_unique else counts.select(*keys)
     if not source_unique:
-        s_keys = s_keys.distinct()
         s_rows = _one_source_row(s_rows, mode, keys, on_duplicate, order_by, dedupe)
     found = existing_keys(t_rows, s_keys, keys, target_unique, broadcast_source)
 
     if mode in ("insert-ignore", "skip-existing"):
         parts = [_tag(target, "kept")] if with_kept else []
-        parts.append(_new_or_skipped(s_rows, found, keys))
+
+        def tell_apart(rows: DataFrame, held: DataFrame) -> DataFrame:
+            return _new_or_skipped(rows, held, keys)
+
+        if repeats and not broadcast_source:
+            parts.append(join_split(s_rows, keys, counts, found, tell_apart, hot_rows))
+        else:
+            parts.append(tell_apart(s_rows, found))
     else:
         touched = list(given if update_columns is None else update_columns)
-        parts = [
-            _matched(t_rows, s_rows, keys, touched, condition, delete_missing, stamp, broadcast_source),
-            _new_rows(s_rows.join(found, list(keys), "left_anti"), mode),
-        ]
+
+        def match(rows: DataFrame, news: DataFrame) -> DataFrame:
+            return _matched(rows, news, keys, touched, condition, delete_missing, stamp, broadcast_source)
+
+        if target_unique or broadcast_source:
+            parts = [match(t_rows, s_rows)]
+        else:
+            parts = [join_split(t_rows, keys, key_counts(t_rows, keys), s_rows, match, hot_rows)]
+        parts.append(_new_rows(s_rows.join(found, list(keys), "left_anti"), mode))
         if t_null is not None:
             parts.append(_tag(t_null, "deleted", live=False) if delete_missing else _tag(t_null, "kept"))
     if s_null is not None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowferry.operators.lookup import measures_small, rebuild_lookup, resolve_codes, small_or_plain
+from rowferry.operators.lookup import measures_small, ready_lookup, rebuild_lookup, resolve_codes
 from rowferry.operators.merge import ADDING_MODES, KEYED_MODES, live_rows, merge, merge_changes, observed
 from rowferry.operators.paging import typed_literal
 from rowferry.operators.project import conform, transform_rows
@@ -136,7 +136,7 @@ def load_chain(spark: SparkSession, root: str, loads: Sequence[TableLoad], load_
                 result = load_table(spark, root, load, load_ts, lookups)
                 if load.table_id in looked_up:
                     loaded = read_target(spark, load.schema, result.paths)
-                    lookups[load.table_id] = small_or_plain(rebuild_lookup(loaded, load.lookup))
+                    lookups[load.table_id] = ready_lookup(rebuild_lookup(loaded, load.lookup))
                 results.append(result)
             except Exception as error:
                 failures.append(f"{load.table_id}: {error}")

@@ -100,7 +100,7 @@ def join_left_star(spark, d):
 )
 def join_semi(spark, d):
     big = table(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
-    return rows_with_match(table(spark, d, "customer").select("c_custkey", "c_name"), big, ["c_custkey"])
+    return rows_with_match(table(spark, d, "customer").select("c_custkey", "c_name"), big, ["c_custkey"], unique=True)
 
 
 @query(
@@ -110,7 +110,7 @@ def join_semi(spark, d):
 )
 def join_anti(spark, d):
     big = table(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
-    return rows_without_match(table(spark, d, "customer").select("c_custkey", "c_name"), big, ["c_custkey"])
+    return rows_without_match(table(spark, d, "customer").select("c_custkey", "c_name"), big, ["c_custkey"], unique=True)
 
 
 @query(

@@ -9,10 +9,10 @@ from rowferry.operators.lookup import (
     build_lookup,
     build_lookups,
     measure,
+    ready_lookup,
     rebuild_lookup,
     resolve_code,
     resolve_codes,
-    small_or_plain,
     validate_lookup,
 )
 from rowferry.operators.quality import fk_coverage, fk_unresolved
@@ -63,12 +63,45 @@ def test_validate(spark, places):
         rebuild_lookup(None, LookupSpec("gone"))
 
 
-def test_broadcast_only_what_measures_small(places):
+def test_broadcast_only_what_measures_small(spark, places):
     n, size = measure(places)
     assert n == 5 and size > 0
-    hinted = small_or_plain(places)._jdf.queryExecution().logical().toString()
-    assert "ResolvedHint (strategy=broadcast)" in hinted or "UnresolvedHint broadcast" in hinted
-    assert small_or_plain(places, max_bytes=0) is places
+    lookup = build_lookup(places)
+    facts = spark.createDataFrame([("a",), ("q",)], "code string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        small = resolve_code(facts, "code", ready_lookup(lookup), "ref")
+        large = resolve_code(facts, "code", ready_lookup(lookup, max_bytes=0), "ref")
+        plans = [d._jdf.queryExecution().executedPlan().toString() for d in (small, large)]
+        assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
+        assert rows(small) == rows(large) == [("a", 2), ("q", None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_hot_code_is_split_when_the_lookup_is_large(spark, root):
+    data = spark.range(0, 40000, 1, 4).selectExpr("CASE WHEN id % 3 > 0 THEN 'hot' ELSE CAST(id AS STRING) END AS code", "id", "uuid() AS pad")
+    data.write.parquet(f"{root}/f")
+    facts = spark.read.parquet(f"{root}/f")
+    lookup = build_lookup(spark.range(20000).selectExpr("CAST(id AS STRING) AS code", "id"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = resolve_code(facts, "code", ready_lookup(lookup, max_bytes=0), "ref").groupBy().agg(
+            F.count("ref"), F.max("pad"), F.max("id")
+        )
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_coverage_against_brute_force(spark, places):
@@ -108,6 +141,10 @@ def test_match(spark):
     other = spark.createDataFrame([(1,), (1,), (None,)], "k int")
     assert rows(rows_with_match(df, other, ["k"])) == [(1,)]
     assert rows(rows_without_match(df, other, ["k"])) == [(None,), (2,)]
+    # The same with every key taken for hot, and with the rows declared unique.
+    assert rows(rows_with_match(df, other, ["k"], hot_rows=0)) == [(1,)]
+    assert rows(rows_without_match(df, other, ["k"], hot_rows=0)) == [(None,), (2,)]
+    assert rows(rows_without_match(df, other, ["k"], unique=True)) == [(None,), (2,)]
 
 
 def test_hot_code_is_counted_before_the_lookup_join(spark):

@@ -102,6 +102,20 @@ def test_shuffled_and_broadcast_forms_agree(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("mode", ["upsert", "update", "sync", "skip-existing"])
+@pytest.mark.parametrize("hot_rows", [0, 1, 3])
+def test_hot_keys_taken_out_give_the_same(spark, mode, hot_rows):
+    target, source = tables(9, unique_target=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got, stats = run(spark, target, source, mode, target_unique=False, hot_rows=hot_rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == row_by_row(target, source, mode)
+    assert stats["read"] == len(source)
+
+
 def test_chosen_columns(spark):
     target, source = tables(1)
     got, _ = run(spark, target, source, "upsert", update_columns=["v"])
