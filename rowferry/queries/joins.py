@@ -33,13 +33,14 @@ def join_inner(spark, d):
 
 @query(
     "join_left_lookup",
-    "SELECT n_nationkey, n_name, r_name AS region_code FROM nation LEFT JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA'",
+    """SELECT c_custkey, c_name, n_name AS nation_code FROM customer
+       LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey <> 2""",
 )
 def join_left_lookup(spark, d):
-    nation = table(spark, d, "nation")
-    region = table(spark, d, "region").where(F.col("r_name") != "ASIA")
-    joined = join_dimensions(nation, [Dimension(region, {"n_regionkey": "r_regionkey"}, {"r_name": "region_code"})])
-    return joined.select("n_nationkey", "n_name", "region_code")
+    customer = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = table(spark, d, "nation").where("n_regionkey <> 2")
+    joined = join_dimensions(customer, [Dimension(nation, {"c_nationkey": "n_nationkey"}, {"n_name": "nation_code"})])
+    return joined.drop("c_nationkey")
 
 
 def _places(spark, d):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,22 @@ def run_statements(
     return {name: run_query(spark, text, params, **tables) for name, text in statements.items()}
 
 
+def query_text(folder: str, name: str) -> str:
+    """The text of ``name.sql`` in a folder, white space collapsed. Values go in as ``:name`` parameters."""
+    return " ".join(Path(folder, f"{name}.sql").read_text(encoding="utf8").split())
+
+
+def query_names(folder: str) -> list[str]:
+    """Queries of a folder, by name; none when there is no such folder."""
+    return sorted(p.stem for p in Path(folder).glob("*.sql"))
+
+
+def split_statements(text: str) -> list[str]:
+    """The statements of a text in which each ends with ``;`` at a line's end."""
+    parts = re.split(r";[ \t]*(?:\n|$)", text)
+    return [" ".join(part.split()) for part in parts if part.strip()]
+
+
 def sample_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """First ``n`` rows in a declared order, so that the sample is the same on every run."""
     return df.orderBy(*order_by).limit(n)
@@ -54,13 +72,31 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
 
 
 def catalog_row_count(spark: SparkSession, table: str) -> int:
-    """Rows of a catalog table: its collected statistic when there is one, otherwise a count."""
+    """Rows of a catalog table: its collected statistic when there is one, otherwise a count; 0 if it is not there."""
+    if not spark.catalog.tableExists(table):
+        return 0
     described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Statistics'").first()
     if described and "rows" in described["data_type"]:
         return int(described["data_type"].split(" rows")[0].split(" ")[-1])
     return spark.table(table).count()
 
 
+def find_tables(spark: SparkSession, pattern: str, databases: Sequence[str] = ()) -> list[str]:
+    """Catalog tables whose name matches a pattern (``*`` any text, ``|`` or), in these databases or the current one."""
+    found = []
+    for database in databases or [spark.catalog.currentDatabase()]:
+        if spark.catalog.databaseExists(database):
+            found += [f"{database}.{t.name}" for t in spark.catalog.listTables(database, pattern) if not t.isTemporary]
+    return sorted(found)
+
+
+def locate_tables(spark: SparkSession, names: Sequence[str], databases: Sequence[str]) -> dict[str, str | None]:
+    """For each name the first database that has such a table, or None."""
+    return {
+        name: next((db for db in databases if spark.catalog.tableExists(f"{db}.{name}")), None) for name in names
+    }
+
+
 def date_range(df: DataFrame, column: str, start: str, end: str | None = None, fmt: str = "dd-MMMM-yyyy") -> DataFrame:
     """Rows from ``start`` up to and including ``end``, both written as in ``fmt``.
 

@@ -19,6 +19,28 @@ def test_statements(spark):
     assert {n: df.first()[0] for n, df in got.items()} == {"a": 1, "b": 2}
 
 
+def test_query_files(spark, tmp_path):
+    (tmp_path / "b.sql").write_text("SELECT :n\n   AS x")
+    (tmp_path / "a.sql").write_text("SELECT 'a;b' AS x;\n \nSELECT 2 AS x ;\n")
+    assert tables.query_names(tmp_path) == ["a", "b"] and tables.query_names(tmp_path / "none") == []
+    assert tables.run_query(spark, tables.query_text(tmp_path, "b"), {"n": 3}).first()[0] == 3
+    parts = tables.split_statements((tmp_path / "a.sql").read_text())
+    assert parts == ["SELECT 'a;b' AS x", "SELECT 2 AS x"]
+    assert [spark.sql(p).first()[0] for p in parts] == ["a;b", 2]
+
+
+def test_tables_are_found_in_the_catalog(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS other")
+    spark.sql("CREATE TABLE IF NOT EXISTS other.tbl_region (k INT) USING parquet")
+    try:
+        assert tables.find_tables(spark, "*region*", ["default", "other", "gone"]) == ["other.tbl_region"]
+        where = tables.locate_tables(spark, ["tbl_region", "nope"], ["default", "other"])
+        assert where == {"tbl_region": "other", "nope": None}
+        assert tables.catalog_row_count(spark, "other.nope") == 0
+    finally:
+        spark.sql("DROP DATABASE other CASCADE")
+
+
 def test_declared_schema_is_checked(spark):
     schema = T.StructType([T.StructField("r_regionkey", T.LongType()), T.StructField("gone", T.StringType())])
     with pytest.raises(ValueError, match="r_regionkey bigint .found int.*gone string .found nothing"):
