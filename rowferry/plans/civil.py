@@ -7,16 +7,17 @@ back as a number, which keeps ids the same on every run.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowferry.functions import Columns, full_name, string_or_default
+from rowferry.functions import Columns, full_name
 from rowferry.operators.joins import Dimension, join_dimensions
 from rowferry.operators.lookup import ForeignKey, LookupSpec
-from rowferry.operators.project import Transform, audit_fields, custom_transformer, load_time, map_fields, migration_fields
+from rowferry.operators.project import Transform, audit_fields, custom_transformer, load_time, map_fields
 from rowferry.plans.spec import TableLoad
 
 # Columns of the birth certificate target that a plain rename fills;
@@ -165,218 +166,149 @@ def birth_source(tables: Relations, since: str = BIRTHS_FROM) -> DataFrame:
     return join_dimensions(joined, [sexes]).drop("SEX_ID")
 
 
-def _nothing(dtype: str) -> Column:
-    return F.lit(None).cast(dtype)
+@dataclass(frozen=True)
+class Cleaning:
+    """How a target table is made from its source, where that is not the rule.
 
+    The rule: a target column comes from the source column of the same name in
+    upper case, by the converter of its declared type.
+    """
 
-def country() -> Transform:
-    return custom_transformer(
-        lambda c: {
-            "country_code": c.string("CODE", 3),
-            "country_name_en": c.string("NAME", 100),
-            "country_name_fr": c.string("NAME", 100),
-            "nationality_en": _nothing("string"),
-            "nationality_fr": _nothing("string"),
-            "translate_code": c.string("INTL_CODE", 10),
-            "is_active": F.lit(True),
-            "online_id": c.integer("ID"),
-        }
-    )
-
-
-def region(load_ts: str) -> Transform:
-    return custom_transformer(
-        lambda c: {
-            "code": c.string("CODE"),
-            "name": c.string("NAME"),
-            "post_code": c.string("POST_CODE"),
-            "intl_codes": c.string("INTL_CODES"),
-            "active": c.boolean("ACTIVE"),
-            "uuid": c.string("ID"),
-            **audit_fields(load_ts),
-        }
-    )
+    sources: Mapping[str, str] = field(default_factory=dict)
+    lengths: Mapping[str, int] = field(default_factory=dict)
+    defaults: Mapping[str, str | int] = field(default_factory=dict)
+    empty: tuple[str, ...] = ()
+    made: Callable[[Columns, Column], Mapping[str, Column]] = lambda c, now: {}
+    optional_sources: bool = False
 
 
-def district(load_ts: str) -> Transform:
-    return custom_transformer(
-        lambda c: {
-            "code": c.string("CODE"),
-            "name": c.string("NAME"),
-            "post_code": c.string("POST_CODE"),
-            "active": c.boolean("ACTIVE"),
-            "uuid": c.string("ID"),
-            "region_id": c.integer("REGION_ID"),
-            **audit_fields(load_ts),
-        }
-    )
-
-
-def council(load_ts: str) -> Transform:
-    """Reads ``district_id``, resolved before."""
-    return custom_transformer(
-        lambda c: {
-            "code": c.string("CODE"),
-            "name": c.string("NAME"),
-            "post_code": c.string("POST_CODE"),
-            "mvc_uuid": c.string("MVC_UUID"),
-            "active": c.boolean("ACTIVE"),
-            "uuid": c.string("ID"),
-            "district_id": c["district_ref"],
-            "district": c.string("DISTRICT_CODE"),
-            **audit_fields(load_ts),
-        }
-    )
-
+def clean_table(schema: T.StructType, cleaning: Cleaning, load_ts: str) -> Transform:
+    """The transform of a declared target; a source column that is not there is an error unless optional."""
 
-def ward(load_ts: str) -> Transform:
-    return custom_transformer(
-        lambda c: {
-            "ward_id": c.integer("ID"),
-            "code": c.string("CODE"),
-            "ward_name": c.string("NAME"),
-            "post_code": c.string("POST_CODE"),
-            "is_active": c.boolean("ACTIVE"),
-            "active": c.boolean("ACTIVE"),
-            "uuid": c.string("ID"),
-            "council_id": c["council_ref"],
-            "district": c["district_ref"],
-            "council": c.string("COUNCIL_CODE"),
-            "council_name": c.string("COUNCIL_CODE"),
-            **audit_fields(load_ts),
-        }
-    )
+    def value(c: Columns, target: T.StructField) -> Column:
+        source = cleaning.sources.get(target.name, target.name.upper())
+        default = cleaning.defaults.get(target.name)
+        if target.name in cleaning.empty or (cleaning.optional_sources and not c.has(source)):
+            return F.lit(default).cast(target.dataType)
+        if isinstance(target.dataType, T.StringType):
+            length = cleaning.lengths.get(target.name)
+            return c.string(source, length) if default is None else c.string_or(source, default, length)
+        if isinstance(target.dataType, T.LongType):
+            return c.integer(source, default)
+        return c.boolean(source) if isinstance(target.dataType, T.BooleanType) else c.date(source)
 
+    def build(c: Columns) -> dict[str, Column]:
+        made = {**audit_fields(load_ts), **cleaning.made(c, load_time(load_ts))}
+        return {f.name: made[f.name] if f.name in made else value(c, f) for f in schema.fields}
 
-def registration_center_type(load_ts: str) -> Transform:
-    return custom_transformer(
-        lambda c: {
-            "id": c.integer("ID"),
-            "code": c.string("CODE"),
-            "description": c.string("DESCRIPTION"),
-            **audit_fields(load_ts),
-        }
-    )
+    return custom_transformer(build)
 
 
-def health_facility(load_ts: str) -> Transform:
-    return custom_transformer(
-        lambda c: {
-            "health_facility_name": c.string("NAME"),
-            "health_facility_code": c.string("CODE"),
-            "health_facility_type_id": _nothing("bigint"),
-            "is_active": c.boolean("ACTIVE"),
-            "created_date": load_time(load_ts),
-            "created_by_id": _nothing("bigint"),
-            "updated_date": load_time(load_ts),
-            "updated_by_id": _nothing("bigint"),
-            "active": c.yn("ACTIVE"),
-            "code": c.string("CODE"),
-            "created_by": _nothing("string"),
-            "deactivated_at": _nothing("timestamp_ntz"),
-            "deactivated_by": _nothing("string"),
-            "deleted_at": _nothing("timestamp_ntz"),
-            "name": c.string("NAME"),
-            "post_code": c.integer("POST_CODE"),
-            "updated_by": _nothing("string"),
-            "uuid": c.string("ID"),
-            "council_id": c["council_ref"],
-            "council_hierarchy_id": _nothing("bigint"),
-            **audit_fields(load_ts),
+def _full_names(c: Columns) -> dict[str, Column]:
+    names = {}
+    for who, prefix, last in (
+        ("child", "", "LAST_NAME"),
+        ("mother", "MOTHER_", "MOTHER_SUR_NAME"),
+        ("father", "FATHER_", "FATHER_SUR_NAME"),
+    ):
+        parts = [c.text(p) for p in (f"{prefix}FIRST_NAME", f"{prefix}MIDDLE_NAME", last) if c.has(p)]
+        names[f"{who}_full_name"] = full_name(*parts) if parts else F.lit("")
+    return names
+
+
+def _certificate_made(c: Columns, now: Column) -> dict[str, Column]:
+    tracked = c.date("LAST_TRACK_DATE", default=now) if c.has("LAST_TRACK_DATE") else now
+    return {**_full_names(c), "is_migrated_data": F.lit(True), "migrated_date": now, "last_track_date": tracked}
+
+
+# Where each target departs from the rule, its text lengths and its defaults.
+CLEANING = {
+    "country": Cleaning(
+        sources={
+            "country_code": "CODE",
+            "country_name_en": "NAME",
+            "country_name_fr": "NAME",
+            "translate_code": "INTL_CODE",
+            "online_id": "ID",
+        },
+        lengths={"country_code": 3, "country_name_en": 100, "country_name_fr": 100, "translate_code": 10},
+        empty=("nationality_en", "nationality_fr"),
+        made=lambda c, now: {"is_active": F.lit(True)},
+    ),
+    "region": Cleaning({"uuid": "ID"}),
+    "district": Cleaning({"uuid": "ID"}),
+    "council": Cleaning({"uuid": "ID", "district_id": "district_ref", "district": "DISTRICT_CODE"}),
+    "ward": Cleaning(
+        {
+            "ward_id": "ID",
+            "ward_name": "NAME",
+            "is_active": "ACTIVE",
+            "uuid": "ID",
+            "council_id": "council_ref",
+            "district": "district_ref",
+            "council": "COUNCIL_CODE",
+            "council_name": "COUNCIL_CODE",
         }
-    )
-
-
-def registration_center(load_ts: str) -> Transform:
-    return custom_transformer(
-        lambda c: {
-            "mgt_registration_center_id": c.integer("ID"),
-            "code": c.string("CODE"),
-            "center_code": c.string("CODE"),
-            "name": c.string("NAME"),
-            "registration_facility": c.boolean("REGISTRATION_FACILITY"),
-            "printing_facility": c.boolean("PRINTING_FACILITY"),
-            "active": c.boolean("ACTIVE"),
-            "head_office": c.string("HEAD_OFFICE"),
+    ),
+    "registration_center_type": Cleaning(),
+    "health_facility": Cleaning(
+        sources={
+            "health_facility_name": "NAME",
+            "health_facility_code": "CODE",
+            "is_active": "ACTIVE",
+            "uuid": "ID",
+            "council_id": "council_ref",
+        },
+        empty=(
+            "health_facility_type_id", "created_by_id", "updated_by_id", "created_by", "deactivated_at",
+            "deactivated_by", "deleted_at", "updated_by", "council_hierarchy_id",
+        ),
+        made=lambda c, now: {"active": c.yn("ACTIVE"), "created_date": now, "updated_date": now},
+    ),
+    "registration_center": Cleaning(
+        sources={
+            "mgt_registration_center_id": "ID",
+            "center_code": "CODE",
+            "uuid": "ID",
+            "region_id": "region_ref",
+            "district_id": "district_ref",
+            "council_id": "council_ref",
+            "ward_id": "ward_ref",
+            "health_facility_id": "health_facility_ref",
+            "registration_center_type_id": "registration_center_type_ref",
+        },
+        made=lambda c, now: {
             "is_head_office": F.coalesce(c["HEAD_OFFICE"] == "Y", F.lit(False)),
-            "uuid": c.string("ID"),
-            "region_id": c["region_ref"],
-            "district_id": c["district_ref"],
-            "council_id": c["council_ref"],
-            "ward_id": c["ward_ref"],
-            "health_facility_id": c["health_facility_ref"],
-            "registration_center_type_id": c["registration_center_type_ref"],
-            **audit_fields(load_ts),
-            "activated_at": load_time(load_ts),
-        }
-    )
-
-
-# Names that stand in where the certificate would have none.
-CERTIFICATE_NAME_DEFAULTS = {
-    "region_birth_name": "Unknown Region",
-    "district_birth_name": "Unknown District",
-    "ward_birth_name": "Unknown Ward",
-    "country_birth_name": "Tanzania",
-    "place_of_birth_name": "Hospital",
-    "registrar_name": "System Migrated",
-}
-
-# Longest text each certificate column holds; the others are not cut.
-CERTIFICATE_LENGTHS = {
-    "provided_pin_no": 20,
-    "old_pin_no": 20,
-    "notification_no": 20,
-    "first_name": 50,
-    "middle_name": 50,
-    "last_name": 50,
-    "other_name": 100,
-    "jamii_no": 50,
-    "sex_code": 10,
-    "place_of_birth_name": 10,
-    "facility_name": 100,
+            "activated_at": now,
+        },
+    ),
+    "birth_certificate": Cleaning(
+        sources={"notification_no": "NOTIFICATION_NUMBER", "last_printed_date": "FIRST_PRINTED_DATE"},
+        lengths={
+            "provided_pin_no": 20, "old_pin_no": 20, "notification_no": 20, "first_name": 50, "middle_name": 50,
+            "last_name": 50, "other_name": 100, "jamii_no": 50, "sex_code": 10, "place_of_birth_name": 10,
+            "facility_name": 100,
+        },
+        defaults={
+            "region_birth_name": "Unknown Region",
+            "district_birth_name": "Unknown District",
+            "ward_birth_name": "Unknown Ward",
+            "country_birth_name": "Tanzania",
+            "place_of_birth_name": "Hospital",
+            "registrar_name": "System Migrated",
+            "certificate_status_id": 1,
+            "printed_count": 0,
+        },
+        empty=("attachment",),
+        made=_certificate_made,
+        optional_sources=True,
+    ),
 }
 
-# Certificate numbers and what they are when the source has none.
-CERTIFICATE_NUMBER_DEFAULTS = {"certificate_status_id": 1, "printed_count": 0}
-
-# Source columns whose name is not the target's in upper case.
-CERTIFICATE_SOURCES = {"notification_no": "NOTIFICATION_NUMBER", "last_printed_date": "FIRST_PRINTED_DATE"}
-
-
-def birth_certificate(load_ts: str) -> Transform:
-    """54 columns by their declared type; a column the source does not have is NULL or its default."""
-
-    def build(c: Columns) -> dict[str, Column]:
-        made: dict[str, Column] = {**migration_fields(load_ts), "attachment": _nothing("string")}
-        for who, last in (("child", "LAST_NAME"), ("mother", "MOTHER_SUR_NAME"), ("father", "FATHER_SUR_NAME")):
-            prefix = "" if who == "child" else f"{who.upper()}_"
-            parts = (f"{prefix}FIRST_NAME", f"{prefix}MIDDLE_NAME", last)
-            made[f"{who}_full_name"] = full_name(*[c.text(p) if c.has(p) else _nothing("string") for p in parts])
-        for field in CERTIFICATE_SCHEMA.fields:
-            name = field.name
-            if name in made:
-                continue
-            source = CERTIFICATE_SOURCES.get(name, name.upper())
-            col = c[source] if c.has(source) else _nothing(field.dataType.simpleString())
-            made[name] = _certificate_value(c, name, source, col, field.dataType, load_ts)
-        return {name: made[name] for name in CERTIFICATE_SCHEMA.names}
-
-    return custom_transformer(build)
-
 
-def _certificate_value(c: Columns, name, source, col, dtype, load_ts) -> Column:
-    there = c.has(source)
-    if isinstance(dtype, T.StringType):
-        if name in CERTIFICATE_NAME_DEFAULTS:
-            default = CERTIFICATE_NAME_DEFAULTS[name]
-            return string_or_default(col, default, CERTIFICATE_LENGTHS.get(name), c.dtype(source) if there else "string")
-        return c.string(source, CERTIFICATE_LENGTHS.get(name)) if there else col
-    if isinstance(dtype, T.LongType):
-        number = c.integer(source) if there else col
-        return F.coalesce(number, F.lit(CERTIFICATE_NUMBER_DEFAULTS.get(name)).cast("bigint"))
-    moment = c.date(source) if there else col
-    return F.coalesce(moment, load_time(load_ts)) if name == "last_track_date" else moment
+def transform_of(target: str, load_ts: str) -> Transform:
+    """The cleaning transform of one of the nine targets; resolved keys are expected as ``<table>_ref``."""
+    return clean_table(TARGET_SCHEMAS[target], CLEANING[target], load_ts)
 
 
 _TYPES = {
@@ -445,6 +377,7 @@ def _certificate_type(name: str) -> T.DataType:
 
 
 CERTIFICATE_SCHEMA = T.StructType([T.StructField(n, _certificate_type(n)) for n in CERTIFICATE_FIELDS])
+TARGET_SCHEMAS["birth_certificate"] = CERTIFICATE_SCHEMA
 
 
 def civil_plan(tables: Relations, load_ts: str, mode: str = "skip-existing") -> list[TableLoad]:
@@ -453,10 +386,10 @@ def civil_plan(tables: Relations, load_ts: str, mode: str = "skip-existing") ->
     def by_code(*pairs: tuple[str, str]) -> tuple[ForeignKey, ...]:
         return tuple(ForeignKey(code, table, f"{table}_ref") for code, table in pairs)
 
-    def load(table, priority, source, transform, keys=("code",), fks=(), lookup=None, after=(), schema=None):
+    def load(table, priority, source, keys=("code",), fks=(), lookup=None, after=()):
         return TableLoad(
-            table_id=table, source=lambda spark: source(tables), keys=keys, transform=transform, mode=mode,
-            schema=schema or TARGET_SCHEMAS[table], priority=priority, foreign_keys=fks, depends_on=after,
+            table_id=table, source=lambda spark: source(tables), keys=keys, transform=transform_of(table, load_ts),
+            mode=mode, schema=TARGET_SCHEMAS[table], priority=priority, foreign_keys=fks, depends_on=after,
             lookup=LookupSpec(table, *lookup) if lookup else None, description=table.replace("_", " "),
         )
 
@@ -464,27 +397,24 @@ def civil_plan(tables: Relations, load_ts: str, mode: str = "skip-existing") ->
         return lambda frames: lookup_source(frames, name)
 
     ids = ("code", "uuid")
-    in_council = by_code(("COUNCIL_CODE", "council"))
-    in_ward = by_code(("COUNCIL_CODE", "council"), ("DISTRICT_CODE", "district"))
+    council, district = ("COUNCIL_CODE", "council"), ("DISTRICT_CODE", "district")
     in_center = by_code(
         ("REGION_CODE", "region"),
-        ("DISTRICT_CODE", "district"),
-        ("COUNCIL_CODE", "council"),
+        district,
+        council,
         ("WARD_CODE", "ward"),
         ("HEALTH_FACILITY_CODE", "health_facility"),
         ("REG_CENTER_TYPE_CODE", "registration_center_type"),
     )
     return [
-        load("country", 1, plain("country"), country(), keys=("country_code",)),
-        load("registration_center_type", 2, plain("registration_center_type"), registration_center_type(load_ts),
-             lookup=("code", "id")),
-        load("region", 3, plain("region"), region(load_ts), lookup=ids),
-        load("district", 4, district_source, district(load_ts), lookup=ids, after=("region",)),
-        load("council", 5, council_source, council(load_ts), lookup=ids,
-             fks=by_code(("DISTRICT_CODE", "district"))),
-        load("ward", 6, ward_source, ward(load_ts), lookup=("code", "ward_id"), fks=in_ward),
-        load("health_facility", 7, health_facility_source, health_facility(load_ts), lookup=ids, fks=in_council),
-        load("registration_center", 8, registration_center_source, registration_center(load_ts), fks=in_center),
-        load("birth_certificate", 10, birth_source, birth_certificate(load_ts), keys=("provided_pin_no",),
-             after=("country", "region", "district", "ward", "health_facility"), schema=CERTIFICATE_SCHEMA),
+        load("country", 1, plain("country"), keys=("country_code",)),
+        load("registration_center_type", 2, plain("registration_center_type"), lookup=("code", "id")),
+        load("region", 3, plain("region"), lookup=ids),
+        load("district", 4, district_source, lookup=ids, after=("region",)),
+        load("council", 5, council_source, lookup=ids, fks=by_code(district)),
+        load("ward", 6, ward_source, lookup=("code", "ward_id"), fks=by_code(council, district)),
+        load("health_facility", 7, health_facility_source, lookup=ids, fks=by_code(council)),
+        load("registration_center", 8, registration_center_source, fks=in_center),
+        load("birth_certificate", 10, birth_source, keys=("provided_pin_no",),
+             after=("country", "region", "district", "ward", "health_facility")),
     ]

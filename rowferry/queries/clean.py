@@ -39,8 +39,8 @@ def clean_region(spark, d):
         F.lit(None).cast("string").alias("INTL_CODES"),
         F.lit(None).cast("string").alias("INTL_CODE"),
     )
-    regions = civil.region(LOAD_TS)(source)
-    countries = civil.country()(source)
+    regions = civil.transform_of("region", LOAD_TS)(source)
+    countries = civil.transform_of("country", LOAD_TS)(source)
     # The same rows cleaned for two targets, side by side.
     both = regions.join(countries.select("country_code", "country_name_en", "online_id"), F.col("name") == F.col("country_name_en"))
     return both.select(
@@ -63,7 +63,7 @@ def clean_nation(spark, d):
         (F.col("n_nationkey") % 2).alias("ACTIVE"),
         F.col("n_regionkey").alias("REGION_ID"),
     )
-    return civil.district(LOAD_TS)(source)
+    return civil.transform_of("district", LOAD_TS)(source)
 
 
 def _nation_codes(spark, d):
@@ -94,7 +94,7 @@ def clean_supplier(spark, d):
         "COUNCIL_CODE",
     )
     keys = [ForeignKey("COUNCIL_CODE", "council", "council_ref")]
-    return civil.health_facility(LOAD_TS)(resolve_codes(source, keys, {"council": _nation_codes(spark, d)}))
+    return civil.transform_of("health_facility", LOAD_TS)(resolve_codes(source, keys, {"council": _nation_codes(spark, d)}))
 
 
 @query(
@@ -128,7 +128,7 @@ def clean_customer(spark, d):
         "council": _nation_codes(spark, d),
         "district": build_lookup(table(spark, d, "region"), "r_name", "r_regionkey"),
     }
-    return civil.ward(LOAD_TS)(resolve_codes(source, keys, lookups))
+    return civil.transform_of("ward", LOAD_TS)(resolve_codes(source, keys, lookups))
 
 
 @query(
@@ -139,7 +139,7 @@ def clean_lookup(spark, d):
     source = table(spark, d, "part").select(
         F.col("p_partkey").alias("ID"), F.concat(F.lit(" "), "p_brand").alias("CODE"), F.col("p_name").alias("DESCRIPTION")
     )
-    return civil.registration_center_type(LOAD_TS)(source)
+    return civil.transform_of("registration_center_type", LOAD_TS)(source)
 
 
 # Orders loaded earlier: the target a new load of orders must not repeat.
@@ -271,4 +271,4 @@ def _fact_sql() -> str:
 def clean_fact(spark, d):
     """Every line item through the 54-column certificate transform."""
     source = table(spark, d, "lineitem").select(*[F.expr(text).alias(name) for name, text in _FACT_COLUMNS.items()])
-    return civil.birth_certificate(LOAD_TS)(source)
+    return civil.transform_of("birth_certificate", LOAD_TS)(source)
