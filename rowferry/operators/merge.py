@@ -177,6 +177,8 @@ def merge_changes(
     found = existing_keys(t_rows, s_keys, keys, target_unique, broadcast_source)
 
     if mode in ("insert-ignore", "skip-existing"):
+        # Partitioned by key already, so this shuffles nothing; a repeated key would count a source row twice.
+        found = found.distinct()
         parts = [_tag(target, "kept")] if with_kept else []
 
         def tell_apart(rows: DataFrame, held: DataFrame) -> DataFrame:

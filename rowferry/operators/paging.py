@@ -54,7 +54,13 @@ def page_keyset(
 
 
 def page_offset(df: DataFrame, order_by: Sequence[str], offset: int, size: int) -> DataFrame:
+    """Rows after the first ``offset``: a top-k while it is shallow, numbered rows when deep.
+
+    A top-k holds ``offset + size`` rows in every task's memory.
+    """
     validate_paging("offset", order_by)
+    if offset + size > TOP_ROWS:
+        return _numbered_page(df, order_by, offset, size)
     return df.orderBy(*order_by).offset(offset).limit(size)
 
 
@@ -101,16 +107,20 @@ def number_rows(
     )
 
 
+def _numbered_page(df: DataFrame, order_by: Sequence[str], offset: int, size: int) -> DataFrame:
+    numbered = number_rows(df, order_by)
+    return numbered.where(F.col("_rn").between(offset + 1, offset + size)).drop("_rn")
+
+
 def page_rownum(df: DataFrame, order_by: Sequence[str], offset: int, size: int) -> DataFrame:
     """The rows numbered ``offset + 1`` to ``offset + size``; the number itself is dropped."""
     validate_paging("rownum", order_by)
-    if offset + size <= TOP_ROWS:
-        # The first offset + size rows are a bounded top-k, so one window over them is bounded too.
-        head = df.orderBy(*order_by).limit(offset + size)
-        numbered = head.withColumn("_rn", F.row_number().over(Window.orderBy(*order_by)))
-    else:
-        numbered = number_rows(df, order_by)
-    return numbered.where(F.col("_rn").between(offset + 1, offset + size)).drop("_rn")
+    if offset + size > TOP_ROWS:
+        return _numbered_page(df, order_by, offset, size)
+    # The first offset + size rows are a bounded top-k, so one window over them is bounded too.
+    head = df.orderBy(*order_by).limit(offset + size)
+    numbered = head.withColumn("_rn", F.row_number().over(Window.orderBy(*order_by)))
+    return numbered.where(F.col("_rn") > offset).drop("_rn")
 
 
 def page(

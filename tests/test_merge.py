@@ -171,6 +171,14 @@ def test_skip_existing_keeps_source_duplicates_unless_told(spark):
     assert rows(merge(t, s, "skip-existing", ["k"], dedupe="first", order_by=["seq"])) == [(1, 0), (2, 4)]
 
 
+def test_repeated_target_keys_do_not_distort_the_counts(spark):
+    t = spark.createDataFrame([(1, 0), (1, 1), (1, 2)], "k int, seq int")
+    s = spark.createDataFrame([(1, 5), (2, 5)], "k int, seq int")
+    for mode in ("skip-existing", "insert-ignore"):
+        stats = merge_stats(merge_changes(t, s, mode, ["k"]), s).first()
+        assert (stats["inserted"], stats["skipped"], stats["superseded"], stats["kept"]) == (1, 1, 0, 3)
+
+
 def test_delete_insert_and_fresh_start(spark):
     t = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "k int, v string")
     s = spark.createDataFrame([(9, "s")], "k int, v string")

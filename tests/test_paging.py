@@ -71,6 +71,7 @@ def test_deep_pages_come_from_numbered_rows(orders, monkeypatch):
     shallow = rows(paging.page_rownum(orders, ["o_orderkey"], 700, 50))
     monkeypatch.setattr(paging, "TOP_ROWS", 10)
     assert rows(paging.page_rownum(orders, ["o_orderkey"], 700, 50)) == shallow
+    assert rows(paging.page_offset(orders, ["o_orderkey"], 700, 50)) == shallow
 
 
 def test_page_meta(spark):
