@@ -262,6 +262,24 @@ def test_skip_existing_reads_only_the_keys_of_the_target(spark, root):
     assert rows(t.unionByName(added)) == rows(merge(t, s, "skip-existing", KEYS))
 
 
+def test_without_hot_keys_their_branch_is_dropped(spark, root):
+    spark.range(100).selectExpr("id AS k", "id AS v").write.parquet(f"{root}/t")
+    spark.range(50, 300).selectExpr("id AS k", "id AS v").write.parquet(f"{root}/s")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        t, s = spark.read.parquet(f"{root}/t"), spark.read.parquet(f"{root}/s")
+        plans = []
+        for hot_rows in (5, 0):
+            changes = merge_changes(t, s, "skip-existing", ["k"], with_kept=False, hot_rows=hot_rows)
+            assert changes.where("_live").count() == 200
+            changes.collect()
+            plans.append(changes._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        assert "BroadcastHashJoin" not in plans[0] and "BroadcastHashJoin" in plans[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_counters_fill_while_writing(spark, root):
     target, source = tables(8)
     t, s = spark.createDataFrame(target, DDL), spark.createDataFrame(source, DDL)
