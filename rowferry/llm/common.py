@@ -91,7 +91,7 @@ def span_hash(h: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
 class WordHasher(dict):
     """Words of a text as rows of a table of 128-bit hashes."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 300_000):
         super().__init__()
         self.most, self.raw, self.array = most, bytearray(), np.zeros((0, 2), np.uint64)
 

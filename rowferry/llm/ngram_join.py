@@ -44,7 +44,7 @@ from rowferry.llm.components import components
 WORDS = 5
 SAME = 80  # links need 100 * intersection >= SAME * union
 PART = np.uint64(int(0.3 * 2**64))  # the part of all shingle hashes that is sketched
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 UNIT = 64  # unsettled members to a block
 OTHERS = 256  # members that a block is compared with at once
 
@@ -226,21 +226,27 @@ def links_between(sets: DataFrame) -> DataFrame:
     first = stars.where("linked").select(F.col("hub").alias("a"), F.col("key").alias("b"))
     labels = components(first, "ngram-first")
 
-    # members of one hub that are still apart
+    # members of one hub that are still apart; a pair is compared below the first hub they share
     members = stars.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    members = written(members.select("hub", "key", "apart", "label"), "ngram-members")
-    heads_of = labels.select(F.col("node").alias("hub"), F.col("label").alias("main"))
-    mixed = members.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    mixed = written(mixed.join(heads_of, "hub", "left").withColumn("main", F.coalesce("main", "hub")), "ngram-mixed")
-    open_ = members.join(mixed.select("hub", "main", "n"), "hub")
-    unsettled = open_.where("label <> main")
-    counts = written(
-        unsettled.groupBy("hub").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("units"), F.first("n").alias("n"), F.first("main").alias("main"))
-        .withColumn("rests", F.ceil(F.col("n") / OTHERS).cast("int")),
-        "ngram-open",
+    members = members.join(stars.groupBy("key").agg(F.min("hub").alias("first")), "key")
+    members = written(members.select("hub", "key", "apart", "label", "first"), "ngram-members")
+
+    def largest(by: str, part: DataFrame) -> DataFrame:
+        groups = part.groupBy("hub", by).agg(F.count("*").alias("n"))
+        return groups.groupBy("hub").agg(F.max(F.struct("n", by)).alias("m")).select("hub", F.col("m.n").alias(f"n_{by}"), F.col(f"m.{by}").alias(f"main_{by}"))
+
+    # the base of a hub needs no comparison within: one component, or all compared below one earlier hub
+    sizes = members.groupBy("hub").agg(F.count("*").alias("n"))
+    sizes = sizes.join(largest("label", members), "hub").join(largest("first", members.where("first <> hub")), "hub", "left")
+    sizes = sizes.withColumn("settled", F.greatest("n_label", F.coalesce("n_first", F.lit(0)))).where("n > settled")
+    counts = sizes.select(
+        "hub", "main_label", F.when(F.col("n_first") > F.col("n_label"), F.col("main_first")).alias("main_first"),
+        F.ceil((F.col("n") - F.col("settled")) / UNIT).cast("int").alias("units"), F.ceil(F.col("n") / OTHERS).cast("int").alias("rests"),
     )
+    counts = written(counts, "ngram-open")
     rows = members.join(counts, "hub")
-    one = rows.where("label <> main").select(
+    base = F.when(F.col("main_first").isNotNull(), F.col("first") == F.col("main_first")).otherwise(F.col("label") == F.col("main_label"))
+    one = rows.where(~base).select(
         "hub", "key", "apart", "label", F.lit(True).alias("unit"),
         F.pmod(F.xxhash64("key"), "units").cast("int").alias("u"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("r"),
     )

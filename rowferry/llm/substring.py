@@ -42,7 +42,7 @@ WIDTH = 35
 ANCHOR = 8
 BLOCK_BYTES = 4 << 20
 BLOCK_ROWS = 512
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 
 
 def _anchors(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
