@@ -45,7 +45,7 @@ WORDS = 5
 SAME = 80  # links need 100 * intersection >= SAME * union
 PART = np.uint64(int(0.3 * 2**64))  # the part of all shingle hashes that is sketched
 FLUSH = 1 << 21
-UNIT = 64  # unsettled members to a block
+UNIT = 128  # unsettled members to a block
 OTHERS = 256  # members that a block is compared with at once
 
 
