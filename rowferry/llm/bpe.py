@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import regex
@@ -156,20 +158,18 @@ class Coder:
     def learn(self, pieces: Iterable) -> None:
         """Keep the ids of new pieces."""
         plan, words = [], {}
-        for piece in pieces:
-            tokens = self.words(piece)
+        for piece, tokens in self.cut(list(pieces)):
             if tokens is None:
                 self.kept[piece] = self.by_library(piece if isinstance(piece, str) else piece.decode())
                 continue
             plan.append((piece, tokens))
-            for t in tokens:
-                words.setdefault(t)
+            words.update(dict.fromkeys(tokens))
         order = list(words)
         ids = dict(zip(order, self.merge_words(order), strict=True))
         for piece, tokens in plan:
             self.kept[piece] = ids[tokens[0]] if len(tokens) == 1 else b"".join(map(ids.__getitem__, tokens))
 
-    def encode(self, texts: list[str | None], step: int = 256) -> Iterable[bytes]:
+    def encode(self, texts: list[str | None], step: int = 1024) -> Iterable[bytes]:
         """The ids of each text, as unsigned 32-bit little-endian integers."""
         for a in range(0, len(texts), step):
             cut = [self.pieces(t) if t else b"" for t in texts[a : a + step]]
@@ -179,7 +179,7 @@ class Coder:
             for c in cut:
                 ids = c if isinstance(c, bytes) else list(map(get, c))
                 if not isinstance(ids, bytes) and None in ids:
-                    new.update(p for p, i in zip(c, ids, strict=True) if i is None)
+                    new.update(compress(c, map(not_, ids)))
                 got.append(ids)
             self.learn(new)
             for c, ids in zip(cut, got, strict=True):
@@ -200,17 +200,28 @@ class WordCoder(Coder):
     """A lower-casing vocabulary with word ends; white space separates words and is dropped."""
 
     _plain = re.compile("[!-~\xa1-\xff]+")
-    _words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    _lines = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
 
     def pieces(self, text: str) -> list[bytes]:
         return text.encode().split()
 
-    def words(self, piece: bytes) -> list[bytes] | None:
-        text = piece.decode()
-        if not self._plain.fullmatch(text) or any(s in text for s in self.specials):
-            return None
-        text = text.lower()
-        return [piece.lower()] if text.isalpha() and text.isascii() else [w.encode() for w in self._words.findall(text)]
+    def cut(self, pieces: list[bytes]) -> Iterator[tuple[bytes, list[bytes] | None]]:
+        """The words of each piece, or None for the library; all pieces that need it go through the pattern at once."""
+        rest = []
+        for p in pieces:
+            if p.isalpha():  # ASCII letters only
+                yield p, [p.lower()]
+            elif b"<|" in p or not self._plain.fullmatch(p.decode()):
+                yield p, None
+            else:
+                rest.append(p)
+        at, words = 0, []
+        for token in self._lines.findall(b"\n".join([*rest, b""]).decode().lower()):
+            if token == "\n":
+                yield rest[at], words
+                at, words = at + 1, []
+            else:
+                words.append(token.encode())
 
 
 class ByteCoder(Coder):
@@ -223,8 +234,9 @@ class ByteCoder(Coder):
     def __init__(self, path: str):
         super().__init__(path)
         back = {s: b for b, s in byte_symbols().items()}
-        self.texts = [b""] * (max(self.vocab.values()) + 1)
-        for token, i in self.vocab.items():
+        known = self.vocab | {s: self.library.token_to_id(s) for s in self.specials}
+        self.texts = [b""] * (max(known.values()) + 1)
+        for token, i in known.items():
             self.texts[i] = token.encode() if token in self.specials else bytes(back[c] for c in token)
 
     def pieces(self, text: str) -> list[str] | bytes:
@@ -236,6 +248,10 @@ class ByteCoder(Coder):
         body = piece[1:] if piece[0] == " " else piece
         return [piece.encode()] if body.isascii() and body.isalpha() else [w.encode() for w in self._words.findall(piece)]
 
+    def cut(self, pieces: list[str]) -> Iterator[tuple[str, list[bytes]]]:
+        for p in pieces:
+            yield p, self.words(p)
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.texts.__getitem__, np.frombuffer(ids, np.uint32).tolist())).decode("utf-8", "replace")
 

@@ -124,7 +124,8 @@ def parse(page: str) -> Node:
             elif name == "br":
                 add(Node("br", {}))
             else:
-                close({name}, {"table"} - {name} if name not in ("tr", "td", "th", "tbody", "thead", "tfoot", "body", "html") else set())
+                # the end of an inline element leaves open blocks open
+                close({name}, {"table"} - {name} if name in BLOCK else BLOCK | SCOPE)
             continue
         if name in CLOSES_P:
             close({"p"}, SCOPE)
@@ -173,7 +174,8 @@ def _width(text: str) -> int:
 class Writer:
     """Lines, with the empty ones that blocks ask for held back until text follows."""
 
-    def __init__(self):
+    def __init__(self, item: bool = False):
+        self.item = item  # of a list: lists in it keep no distance
         self.lines: list[str] = []
         self.line = ""
         self.gap = 0
@@ -221,9 +223,9 @@ class Writer:
         return self.lines
 
 
-def _lines(items: list, pre: bool = False) -> list[str]:
-    w = Writer()
-    _flow(items, w, pre)
+def _lines(items: list, item: bool = False) -> list[str]:
+    w = Writer(item)
+    _flow(items, w)
     return w.done()
 
 
@@ -257,9 +259,9 @@ def _list(node: Node, w: Writer) -> None:
                     number = int(item.attrs["value"])
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
-                w.verbatim([x.rstrip() for x in _indent(_lines(item.items) or [""], mark)])
+                w.verbatim([x.rstrip() for x in _indent(_lines(item.items, True) or [""], mark)])
             else:
-                _flow([item], w, False)
+                _flow([item], w)
 
 
 def _rows(node: Node, rows: list, before: list) -> None:
@@ -286,7 +288,7 @@ def _table(node: Node, w: Writer) -> None:
     rows, before = [], []
     _rows(node, rows, before)
     for item in before:  # captions, and what stands between the rows, come first
-        _flow([item], w, False)
+        _flow([item], w)
         w.newline()
     grid: list[dict[int, list[str]]] = []
     spans: list[dict[int, int]] = []
@@ -311,6 +313,12 @@ def _table(node: Node, w: Writer) -> None:
         for c, lines in line.items():
             if span[c] == 1:
                 widths[c] = max(widths.get(c, 0), max(map(_width, lines), default=0))
+    for line, span in zip(grid, spans, strict=True):  # the last column of a span takes what is left of its text
+        for c, lines in line.items():
+            if span[c] > 1:
+                have = sum(widths.get(i, 0) for i in range(c, c + span[c])) + 2 * (span[c] - 1)
+                end = c + span[c] - 1
+                widths[end] = widths.get(end, 0) + max(0, max(map(_width, lines), default=0) - have)
     out = []
     for line, span in zip(grid, spans, strict=True):
         for k in range(max((len(x) for x in line.values()), default=0)):
@@ -328,7 +336,7 @@ def _table(node: Node, w: Writer) -> None:
     w.verbatim(out)
 
 
-def _flow(items: list, w: Writer, pre: bool) -> None:
+def _flow(items: list, w: Writer) -> None:
     for item in items:
         if isinstance(item, str):
             w.text(item)
@@ -344,7 +352,7 @@ def _flow(items: list, w: Writer, pre: bool) -> None:
             if item.attrs.get("type", "").lower() in ("submit", "button", "reset", "text", ""):
                 w.text(item.attrs.get("value", ""))
         elif tag in BLOCK:
-            gap = 1 if tag in PARAGRAPH else 0
+            gap = 1 if tag in PARAGRAPH and not (w.item and tag in ("ul", "ol")) else 0
             w.block(gap)
             if tag in ("ul", "ol", "menu", "dir"):
                 _list(item, w)
@@ -360,14 +368,14 @@ def _flow(items: list, w: Writer, pre: bool) -> None:
             elif tag == "li":
                 w.verbatim([x.rstrip() for x in _indent(_lines(item.items) or [""], "- ")])
             elif tag == "details" and "open" not in item.attrs:
-                _flow([x for x in item.items if isinstance(x, Node) and x.tag == "summary"], w, pre)
+                _flow([x for x in item.items if isinstance(x, Node) and x.tag == "summary"], w)
             else:
-                _flow(item.items, w, pre)
+                _flow(item.items, w)
             w.block(gap)
         else:
             if tag == "q":
                 w.text("“")
-            _flow(item.items, w, pre)
+            _flow(item.items, w)
             if tag == "q":
                 w.text("”")
 

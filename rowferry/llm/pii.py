@@ -72,7 +72,7 @@ PATTERN = re.compile(
         r"(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))",
         r"(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\w|\.[0-9]))",
         r"(?P<card>(?<![\w+.-])[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\w-]))",
-        r"(?P<phone>(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,5}\)[ .-]?)[0-9]{2,5}(?:[ .-][0-9]{2,5}){0,4}(?!\w)"
+        r"(?P<phone>(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,5}\)[ .-]?)[0-9]{2,8}(?:[ .-][0-9]{2,5}){0,4}(?!\w)"
         r"|(?<![\w.])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,5}){2,6}(?!\w)|(?<![\w.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-]))",
         rf"(?P<name>\b(?:{'|'.join(sorted(_TITLE_GENDER, key=len, reverse=True))})\b\.?(?: {_NAME}){{1,3}})",
     ))
