@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 
 NONE = np.int32(2**31 - 1)
 LONG = 48  # longer words are merged one by one
-MOST = 700_000  # pieces kept by a worker
+MOST = 600_000  # pieces kept by a worker, and as many from before
 
 
 def byte_symbols() -> dict[int, str]:
@@ -140,6 +140,7 @@ class Coder:
         self.vocab = data["model"]["vocab"]
         self.merger = Merger(self.vocab, data["model"]["merges"], data["model"].get("end_of_word_suffix") or "")
         self.kept: dict = {}
+        self.before: dict = {}
         self.lexicon = None
 
     def by_library(self, text: str) -> bytes:
@@ -157,8 +158,15 @@ class Coder:
 
     def learn(self, pieces: Iterable) -> None:
         """Keep the ids of new pieces."""
+        fresh = []
+        for piece in pieces:
+            ids = self.before.get(piece)
+            if ids is None:
+                fresh.append(piece)
+            else:
+                self.kept[piece] = ids
         plan, words = [], {}
-        for piece, tokens in self.cut(list(pieces)):
+        for piece, tokens in self.cut(fresh):
             if tokens is None:
                 self.kept[piece] = self.by_library(piece if isinstance(piece, str) else piece.decode())
                 continue
@@ -174,7 +182,7 @@ class Coder:
         for a in range(0, len(texts), step):
             cut = [self.pieces(t) if t else b"" for t in texts[a : a + step]]
             if len(self.kept) > MOST:
-                self.kept.clear()
+                self.before, self.kept = self.kept, {}
             get, new, got = self.kept.get, set(), []
             for c in cut:
                 ids = c if isinstance(c, bytes) else list(map(get, c))
@@ -227,7 +235,8 @@ class WordCoder(Coder):
 class ByteCoder(Coder):
     """A byte-level vocabulary; a space belongs to the word behind it."""
 
-    _slow = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]")
+    # with single spaces and line ends alone, a piece is a space and what follows it
+    _other_space = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ud800-\uffff\U00010000-\U0010ffff]")
     _fast = re.compile(r" ?[^ \n]+|\n")
     _words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -238,22 +247,57 @@ class ByteCoder(Coder):
         self.texts = [b""] * (max(known.values()) + 1)
         for token, i in known.items():
             self.texts[i] = token.encode() if token in self.specials else bytes(back[c] for c in token)
+        self.sizes = np.array([len(t) for t in self.texts], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.texts), np.uint8)
 
     def pieces(self, text: str) -> list[str] | bytes:
-        if any(s in text for s in self.specials) or _ODD.search(text):
+        if "<|" in text and any(s in text for s in self.specials):
             return self.by_library(text)
-        return self._words.findall(text) if self._slow.search(text) else self._fast.findall(text)
-
-    def words(self, piece: str) -> list[bytes]:
-        body = piece[1:] if piece[0] == " " else piece
-        return [piece.encode()] if body.isascii() and body.isalpha() else [w.encode() for w in self._words.findall(piece)]
+        if self._other_space.search(text):
+            return self.by_library(text) if _ODD.search(text) else self._words.findall(text)
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
+            return self._words.findall(text)
+        return self._fast.findall(text)
 
     def cut(self, pieces: list[str]) -> Iterator[tuple[str, list[bytes]]]:
+        """The words of each piece; all pieces that need it go through the pattern at once."""
+        rest = []
         for p in pieces:
-            yield p, self.words(p)
+            body = p[1:] if p[0] == " " else p
+            if body.isalpha() or p.isspace() or not body:
+                yield p, [p.encode()]
+            elif body.split(maxsplit=1)[0] != body:  # cut by the pattern before
+                yield p, [p.encode()]
+            else:
+                rest.append(p)
+        at, words = 0, []
+        for token in self._words.findall("\n".join([*rest, ""])):
+            if token == "\n":
+                yield rest[at], words
+                at, words = at + 1, []
+            else:
+                words.append(token.encode())
 
     def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.texts.__getitem__, np.frombuffer(ids, np.uint32).tolist())).decode("utf-8", "replace")
+        return self.decode_many([ids])[0]
+
+    def decode_many(self, lists: list[bytes]) -> list[str]:
+        """The texts of lists of ids; their bytes are gathered together, a few megabytes at a time."""
+        out: list[str] = []
+        a = 0
+        while a < len(lists):
+            b, size = a, 0
+            while b < len(lists) and (b == a or size + len(lists[b]) <= 4 << 20):
+                size, b = size + len(lists[b]), b + 1
+            ids = np.frombuffer(b"".join(lists[a:b]), np.uint32)
+            lengths = self.sizes[ids]
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            data = self.flat[np.repeat(self.starts[ids] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+            at = ends[np.cumsum([0, *(len(x) // 4 for x in lists[a:b])])].tolist()
+            out += [data[x:y].decode("utf-8", "replace") for x, y in zip(at, at[1:])]
+            a = b
+        return out
 
 
 _CODERS: dict = {}

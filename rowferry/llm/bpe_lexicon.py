@@ -148,9 +148,9 @@ def _count(path: str):
 
         def out() -> pa.RecordBatch:
             words: Counter = Counter()
-            for piece, n in pieces.items():
-                for w in c.words(piece):
-                    words[w] += n
+            for piece, cut in c.cut(list(pieces)):
+                for w in cut:
+                    words[w] += pieces[piece]
             return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
         for part in batches:
@@ -190,7 +190,7 @@ def _encode(path: str, lexicon, name: str, decode: bool):
                 ids = list(c.encode(piece.column("text").to_pylist()))
                 columns, names = [piece.column("carry"), pa.array(ids, pa.binary())], ["carry", "ids"]
                 if decode:
-                    columns, names = [*columns, pa.array([c.decode(i) for i in ids], pa.string())], [*names, "decoded"]
+                    columns, names = [*columns, pa.array(c.decode_many(ids), pa.string())], [*names, "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
