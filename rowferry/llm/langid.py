@@ -32,7 +32,7 @@ from rowferry.llm.common import ship
 
 ORDERS = (1, 2, 3)
 PLACES = 1 << 16
-PER_LANGUAGE = 400
+PER_LANGUAGE = 250
 LANDMARKS = 256
 RIDGE = 1e-3
 LANGUAGES = 1000  # more labels than this are an error, not a language column
@@ -86,25 +86,39 @@ class Model:
         return out
 
 
-def solve(langs: list[str], flags: np.ndarray, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Nyström kernel ridge regression, one language against the rest."""
+def unpack(bits: list[bytes], row: int) -> np.ndarray:
+    """The presence vectors of one order."""
+    step = PLACES // 8
+    packed = np.frombuffer(b"".join(b[row * step : (row + 1) * step] for b in bits), np.uint8)
+    return np.unpackbits(packed).reshape(len(bits), PLACES).astype(np.float32)
+
+
+def solve(langs: list[str], bits: list[bytes], landmarks: int = LANDMARKS, ridge: float = RIDGE, step: int = 64) -> Model:
+    """Nyström kernel ridge regression, one language against the rest; unpacks the landmarks and ``step`` texts at a time."""
     languages = sorted(set(langs))
     if not languages:
         return Model([], np.zeros((len(ORDERS), PLACES, 0), np.float32))
     y = np.array([[float(x == name) for name in languages] for x in langs])
     # landmarks in turn from each language, so that a rare one has its share
-    turn: dict[str, int] = {}
-    order = sorted(range(len(langs)), key=lambda i: (turn.__setitem__(langs[i], turn.get(langs[i], 0) + 1) or turn[langs[i]], langs[i]))
-    chosen = order[:landmarks]
-    kernel, scaled = np.zeros((len(langs), len(chosen))), []
+    seen: dict[str, int] = {}
+    turns = []
+    for i, lang in enumerate(langs):
+        seen[lang] = seen.get(lang, 0) + 1
+        turns.append((seen[lang], lang, i))
+    chosen = [i for _, _, i in sorted(turns)[:landmarks]]
+
+    def scaled(lot: list[int], row: int) -> np.ndarray:
+        x = unpack([bits[i] for i in lot], row)
+        return x / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
+
+    kernel = np.zeros((len(langs), len(chosen)))
     for row in range(len(ORDERS)):
-        x = flags[:, row].astype(np.float32)
-        x /= np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
-        scaled.append(x[chosen])
-        kernel += x @ x[chosen].T / len(ORDERS)
+        marks = scaled(chosen, row)
+        for a in range(0, len(langs), step):
+            kernel[a : a + step] += scaled(list(range(a, min(a + step, len(langs)))), row) @ marks.T / len(ORDERS)
     inner = kernel[chosen]
     alpha = np.linalg.solve(kernel.T @ kernel + ridge * len(langs) * inner + 1e-6 * np.eye(len(chosen)), kernel.T @ y)
-    weights = np.stack([s.T.astype(np.float64) @ alpha / len(ORDERS) for s in scaled]).astype(np.float32)
+    weights = np.stack([scaled(chosen, row).T @ alpha.astype(np.float32) / len(ORDERS) for row in range(len(ORDERS))])
     return Model(languages, weights)
 
 
@@ -116,14 +130,13 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", p
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     if not counts:
-        return solve([], np.zeros((0, len(ORDERS), PLACES), bool))
+        return solve([], [])
     # a text is in the sample when its hash is below the share its language needs
     share = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n))))
     place = F.pmod(F.xxhash64("text", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(place < share[F.col("lang")]).mapInArrow(_features, "lang string, bits binary")
     found = sorted((r["lang"], bytes(r["bits"])) for r in sample.limit(2 * per_language * len(counts)).collect())
-    flags = np.stack([np.unpackbits(np.frombuffer(b, np.uint8)).reshape(len(ORDERS), PLACES).astype(bool) for _, b in found]) if found else np.zeros((0, len(ORDERS), PLACES), bool)
-    return solve([lang for lang, _ in found], flags, landmarks)
+    return solve([lang for lang, _ in found], [b for _, b in found], landmarks)
 
 
 def _predict(model, step: int = 64):
