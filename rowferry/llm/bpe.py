@@ -21,9 +21,11 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
+from rowferry.llm.common import of_worker
+
 NONE = np.int32(2**31 - 1)
 LONG = 48  # longer words are merged one by one
-MOST = 600_000  # pieces kept by a worker, and as many from before
+MOST = 450_000  # pieces kept by a worker, and as many from before
 
 
 def byte_symbols() -> dict[int, str]:
@@ -300,11 +302,6 @@ class ByteCoder(Coder):
         return out
 
 
-_CODERS: dict = {}
-
-
 def coder(kind: type[Coder], path: str) -> Coder:
-    """The coder of this Python worker, kept between tasks."""
-    if (kind, path) not in _CODERS:
-        _CODERS[kind, path] = kind(path)
-    return _CODERS[kind, path]
+    """The coder of this Python worker."""
+    return of_worker((kind.__name__, path), lambda: kind(path))

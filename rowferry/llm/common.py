@@ -120,12 +120,20 @@ class WordHasher(dict):
         return self.array[at, 0], self.array[at, 1]
 
 
-_HASHER = WordHasher()
+_KEPT: dict = {}
+
+
+def of_worker(key, make):
+    """What this Python worker keeps between tasks: one thing at a time, so stages of different kinds do not add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def hasher() -> WordHasher:
-    """The word table of this Python worker, kept between tasks."""
-    return _HASHER
+    """The word table of this Python worker."""
+    return of_worker("words", WordHasher)
 
 
 def sliding_min(x: np.ndarray, k: int) -> np.ndarray:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import ship
+from rowferry.llm.common import of_worker, ship
 
 ORDERS = (1, 2, 3)
 PLACES = 1 << 16
@@ -62,6 +62,7 @@ def has_letter(text: str | None) -> bool:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    of_worker("langid", dict)
     flags = np.zeros((len(ORDERS), PLACES), bool)
     for part in batches:
         for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
@@ -139,12 +140,13 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", p
     return solve([lang for lang, _ in found], [b for _, b in found], landmarks)
 
 
-def _predict(model, step: int = 64):
+def _predict(model, text_at: int | None, step: int = 32):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_worker("langid", dict)
         m: Model = model.value
         flags = np.zeros((step, len(ORDERS), PLACES), bool)
         for part in batches:
-            texts = part.column(0).to_pylist() if part.num_columns == 1 else part.column("text").to_pylist()
+            texts = (part.column("text") if text_at is None else part.column("carry").flatten()[text_at]).to_pylist()
             langs, scores = [UND] * len(texts), [0.0] * len(texts)
             todo = [i for i, t in enumerate(texts) if m.languages and has_letter(t)]
             for a in range(0, len(todo), step):
@@ -157,7 +159,7 @@ def _predict(model, step: int = 64):
                 for k, i in enumerate(lot):
                     langs[i], scores[i] = m.languages[best[k]], float(min(1.0, max(0.0, out[k, best[k]])))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, "lang_pred", "score"]
+                [part.column("carry"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["carry", "lang_pred", "score"]
             )
 
     return run
@@ -168,10 +170,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bo
     spark = docs.sparkSession
     ship(spark)
     columns = [c for c in docs.columns if keep_text or c != text_col]
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("carry"), F.col(text_col).alias("text"))
+    carried = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("carry")
+    # a text that is carried crosses to Python once
+    rows = docs.select(carried) if keep_text else docs.select(carried, F.col(text_col).alias("text"))
+    at = columns.index(text_col) if keep_text else None
     carry = rows.schema["carry"].dataType.simpleString()
-    out = rows.mapInArrow(_predict(spark.sparkContext.broadcast(model)), f"carry {carry}, text string, lang_pred string, score double")
-    return out.drop("text")
+    return rows.mapInArrow(_predict(spark.sparkContext.broadcast(model), at), f"carry {carry}, lang_pred string, score double")
 
 
 def held_out(doc_id: Column) -> Column:

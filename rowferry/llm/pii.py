@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import has_rows, ship, written
+from rowferry.llm.common import has_rows, of_worker, ship, written
 
 KEY = b"rowferry-surrogates"  # give your own: with it, surrogates can be recomputed
 BLOCK_ROWS = 256
@@ -271,6 +271,7 @@ def assign(found: DataFrame, key: bytes = KEY) -> DataFrame:
 
 def _with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with an entity, in blocks of bounded size."""
+    of_worker("pii", dict)
     block, rows, size = TaskContext.get().partitionId() << 32, 0, 0
     for part in batches:
         keep, ids = [], []
