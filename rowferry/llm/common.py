@@ -22,11 +22,16 @@ MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
 LANES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
+# Texts are long: small batches bound what a task holds on both sides of the pipe.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, so that tasks import it wherever they run."""
+    for key, value in ARROW.items():
+        spark.conf.set(key, value)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -125,6 +130,7 @@ _KEPT: dict = {}
 
 def of_worker(key, make):
     """What this Python worker keeps between tasks: one thing at a time, so stages of different kinds do not add up."""
+    pa.default_memory_pool().release_unused()
     if key not in _KEPT:
         _KEPT.clear()
         _KEPT[key] = make()
