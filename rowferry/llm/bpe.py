@@ -25,7 +25,7 @@ from rowferry.llm.common import of_worker
 
 NONE = np.int32(2**31 - 1)
 LONG = 48  # longer words are merged one by one
-MOST = 450_000  # pieces kept by a worker, and as many from before
+MOST = 300_000  # pieces kept by a worker, and as many from before
 
 
 def byte_symbols() -> dict[int, str]:
@@ -179,7 +179,7 @@ class Coder:
         for piece, tokens in plan:
             self.kept[piece] = ids[tokens[0]] if len(tokens) == 1 else b"".join(map(ids.__getitem__, tokens))
 
-    def encode(self, texts: list[str | None], step: int = 1024) -> Iterable[bytes]:
+    def encode(self, texts: list[str | None], step: int = 512) -> Iterable[bytes]:
         """The ids of each text, as unsigned 32-bit little-endian integers."""
         for a in range(0, len(texts), step):
             cut = [self.pieces(t) if t else b"" for t in texts[a : a + step]]
