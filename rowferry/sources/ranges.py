@@ -43,10 +43,16 @@ class KeyRanges:
 
     def slice_of(self) -> Column:
         """The number of the range a row falls in, from 0."""
-        number = F.lit(0)
-        for i, cut in enumerate(self.cuts, start=1):
-            number = F.when(F.col(self.column) >= cut, F.lit(i)).otherwise(number)
-        return number
+        return _position(F.col(self.column), self.cuts, 0)
+
+
+def _position(key: Column, cuts: tuple[int, ...], before: int) -> Column:
+    """How many cuts are at or below the key, by halving: the depth grows with the logarithm of the cuts."""
+    if not cuts:
+        return F.lit(before)
+    mid = len(cuts) // 2
+    above = _position(key, cuts[mid + 1 :], before + mid + 1)
+    return F.when(key >= cuts[mid], above).otherwise(_position(key, cuts[:mid], before))
 
 
 def even_ranges(df: DataFrame, column: str, n: int) -> KeyRanges:

@@ -114,3 +114,9 @@ def test_jdbc_options(spark):
 def test_sample_is_repeatable(spark):
     df = spark.range(100).select((F.col("id") * 37 % 101).alias("k"))
     assert rows(tables.sample_rows(df, ["k"], 3)) == rows(tables.sample_rows(df.repartition(7), ["k"], 3))
+
+
+def test_many_cuts(spark):
+    many = ranges.KeyRanges("k", tuple(range(10, 20_010, 10)))
+    df = spark.createDataFrame([(None,), (0,), (9,), (10,), (19,), (20,), (20_000,), (99_999,)], "k long")
+    assert [r[0] for r in df.select(many.slice_of()).collect()] == [0, 0, 0, 1, 1, 2, 2000, 2000]
