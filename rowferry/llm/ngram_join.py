@@ -45,6 +45,7 @@ WORDS = 5
 SAME = 80  # links need 100 * intersection >= SAME * union
 PART = np.uint64(int(0.3 * 2**64))  # the part of all shingle hashes that is sketched
 FLUSH = 1 << 21
+REACH = (100 - SAME) / 100 + 1e-9  # linked sets differ by no more in their distance to a third
 UNIT = 128  # unsettled members to a block
 OTHERS = 256  # members that a block is compared with at once
 
@@ -191,7 +192,7 @@ def _below(group: pa.Table) -> pa.Table:
         others = _Sets([blobs[i] for i in rest])
         for i in np.nonzero(unit)[0]:
             s = np.frombuffer(blobs[i], np.uint64)
-            near = (comp[rest] != comp[i]) & (np.abs(apart[rest] - apart[i]) <= (100 - SAME) / 100 + 1e-9)
+            near = (comp[rest] != comp[i]) & (np.abs(apart[rest] - apart[i]) <= REACH)
             if not near.any():
                 continue
             both = others.overlap(s)
@@ -246,11 +247,20 @@ def links_between(sets: DataFrame) -> DataFrame:
     counts = written(counts, "ngram-open")
     rows = members.join(counts, "hub")
     base = F.when(F.col("main_first").isNotNull(), F.col("first") == F.col("main_first")).otherwise(F.col("label") == F.col("main_label"))
+    # who is not in the base tells who else need come: nobody compared with all of them before, nobody too far from them
+    asking = rows.where(~base).groupBy("hub").agg(
+        F.min("first").alias("lo_first"), F.max("first").alias("hi_first"), F.min("label").alias("lo_label"), F.max("label").alias("hi_label"),
+        (F.min("apart") - REACH).alias("nearest"), (F.max("apart") + REACH).alias("farthest"),
+    )
+    asking = written(asking, "ngram-asking")
+    known = (F.col("lo_first") == F.col("hi_first")) & (F.col("lo_first") != F.col("hub")) & (F.col("first") == F.col("lo_first"))
+    known = known | ((F.col("lo_label") == F.col("hi_label")) & (F.col("label") == F.col("lo_label")))
+    asked = rows.join(asking, "hub").where(~known & F.col("apart").between(F.col("nearest"), F.col("farthest")))
     one = rows.where(~base).select(
         "hub", "key", "apart", "label", F.lit(True).alias("unit"),
         F.pmod(F.xxhash64("key"), "units").cast("int").alias("u"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("r"),
     )
-    other = rows.select(
+    other = asked.select(
         "hub", "key", "apart", "label", F.lit(False).alias("unit"),
         F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("u"), F.pmod(F.xxhash64("key"), "rests").cast("int").alias("r"),
     )
