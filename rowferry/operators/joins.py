@@ -44,7 +44,7 @@ def join_dimensions(df: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame
 def rows_with_match(
     df: DataFrame, other: DataFrame, keys: Sequence[str], unique: bool = False, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Rows whose key is in ``other``. A hot key costs one row per task in ``other`` and no shuffle in ``df``.
+    """Rows whose key is in ``other``. A hot key costs one row per task in ``other``; its rows in ``df`` are salted.
 
     ``unique`` declares that ``df`` has one row per key, which saves counting them.
     """
@@ -61,9 +61,9 @@ def rows_without_match(
 def _by_match(df, other, keys, how, unique, hot_rows):
     held = other.select(*keys).distinct()
 
-    def join(rows: DataFrame, keys_held: DataFrame) -> DataFrame:
-        return rows.join(keys_held, list(keys), how).select(*df.columns)
+    def join(rows: DataFrame, keys_held: DataFrame, on: Sequence[str]) -> DataFrame:
+        return rows.join(keys_held, list(on), how).select(*df.columns)
 
     if unique:
-        return join(df, held)
+        return join(df, held, keys)
     return join_split(df, keys, key_counts(df, keys), held, join, hot_rows)

@@ -9,14 +9,15 @@ Shape of every keyed merge, for a target far larger than one executor:
 * rows with a NULL key never match; they go around the joins, so they do not
   pile up in one partition;
 * the source is cut to one row per key before it is joined;
-* target LEFT JOIN source gives kept, updated and skipped rows. A source that
-  Spark's statistics (or ``broadcast_source``, after the caller measured it)
-  show to be small is broadcast and the target is not shuffled; otherwise both
-  sides shuffle once on the key. A key that may repeat without end (target keys
-  not declared unique, source rows of skip-existing) is taken out when hot and
-  joined by broadcast instead;
-* new rows are found through the keys only: target keys SEMI source keys, then
-  source ANTI those. The second read of the target is pruned to its key columns.
+* where the keys of both sides are unique, one target FULL OUTER JOIN source with a
+  flag on each side tells old, changed and new rows apart: both sides shuffle once;
+* a source the caller measured to be small (``broadcast_source``) is broadcast to
+  a LEFT JOIN and the target is not shuffled. So is the join where target keys may
+  repeat; a key that may repeat without end (target keys not declared unique,
+  source rows of skip-existing) is taken out when hot and salted;
+* beside such a LEFT JOIN, and for modes that only add, new rows are found through
+  the keys: target keys SEMI source keys, then source ANTI those. That read of the
+  target is pruned to its key columns.
 """
 
 from __future__ import annotations
@@ -181,24 +182,24 @@ def merge_changes(
         found = found.distinct()
         parts = [_tag(target, "kept")] if with_kept else []
 
-        def tell_apart(rows: DataFrame, held: DataFrame) -> DataFrame:
-            return _new_or_skipped(rows, held, keys)
-
         if repeats and not broadcast_source:
-            parts.append(join_split(s_rows, keys, counts, found, tell_apart, hot_rows))
+            parts.append(join_split(s_rows, keys, counts, found, _new_or_skipped, hot_rows))
         else:
-            parts.append(tell_apart(s_rows, found))
+            parts.append(_new_or_skipped(s_rows, found, keys))
     else:
         touched = list(given if update_columns is None else update_columns)
 
-        def match(rows: DataFrame, news: DataFrame) -> DataFrame:
-            return _matched(rows, news, keys, touched, condition, delete_missing, stamp, broadcast_source)
+        def match(rows: DataFrame, news: DataFrame, on: Sequence[str]) -> DataFrame:
+            return _matched(rows, news, on, touched, condition, delete_missing, stamp, broadcast_source)
 
-        if target_unique or broadcast_source:
-            parts = [match(t_rows, s_rows)]
+        if target_unique and not broadcast_source:
+            parts = [_matched(t_rows, s_rows, keys, touched, condition, delete_missing, stamp, False, mode)]
         else:
-            parts = [join_split(t_rows, keys, key_counts(t_rows, keys), s_rows, match, hot_rows)]
-        parts.append(_new_rows(s_rows.join(found, list(keys), "left_anti"), mode))
+            if broadcast_source:
+                parts = [match(t_rows, s_rows, keys)]
+            else:
+                parts = [join_split(t_rows, keys, key_counts(t_rows, keys), s_rows, match, hot_rows)]
+            parts.append(_new_rows(s_rows.join(found, list(keys), "left_anti"), mode))
         if t_null is not None:
             parts.append(_tag(t_null, "deleted", live=False) if delete_missing else _tag(t_null, "kept"))
     if s_null is not None:
@@ -238,16 +239,19 @@ def _raise_on_conflict(target, source, keys, target_unique):
         raise MergeConflict(f"the target already holds key {clash[0].asDict()}")
 
 
-def _matched(t_rows, s_rows, keys, touched, condition, delete_missing, stamp, broadcast_source):
+def _matched(t_rows, s_rows, keys, touched, condition, delete_missing, stamp, broadcast_source, new_mode=None):
     """Every target row that has a key, with the source row of that key if there is one.
 
     Whether a row matched is decided by a flag, never by a source value being
-    NULL: a NULL in the source overwrites.
+    NULL: a NULL in the source overwrites. With ``new_mode`` the source rows
+    without a target row come out of the same join, as that mode treats them.
     """
-    t = t_rows.alias("t")
+    t = t_rows.withColumn("__held", F.lit(True)).alias("t")
     s = _hint(s_rows.withColumn("__hit", F.lit(True)), broadcast_source).alias("s")
-    joined = t.join(s, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys], "left")
+    on = [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys]
+    joined = t.join(s, on, "full" if new_mode else "left")
     hit = F.col("s.__hit").isNotNull()
+    new = F.col("t.__held").isNull()
     change = hit if condition is None else hit & F.coalesce(F.expr(condition), F.lit(False))
     if not touched:
         change = F.lit(False)
@@ -259,10 +263,16 @@ def _matched(t_rows, s_rows, keys, touched, condition, delete_missing, stamp, br
         if stamp and name == stamp[0]:
             at = F.lit(stamp[1]).cast(t_rows.schema[name].dataType)
             value = F.when(change, at).otherwise(F.col(f"t.`{name}`"))
+        if new_mode:
+            value = F.when(new, F.col(f"s.`{name}`")).otherwise(value)
         columns.append(value.alias(name))
     unmatched = "deleted" if delete_missing else "kept"
     op = F.when(change, F.lit("updated")).when(hit, F.lit("skipped")).otherwise(F.lit(unmatched))
     live = hit if delete_missing else F.lit(True)
+    if new_mode:
+        passed = new_mode == "update"
+        op = F.when(new, F.lit("skipped" if passed else "inserted")).otherwise(op)
+        live = F.when(new, F.lit(not passed)).otherwise(live)
     return joined.select(*columns, op.alias("_op"), live.alias("_live"))
 
 

@@ -11,12 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.session import work_path
+from rowferry.sources.ranges import choose_partitions
 
 STRATEGIES = ("rownum", "offset", "cursor")
 
-# Pages that end within this many rows are cut from a top-k; deeper ones from numbered rows.
-TOP_ROWS = 100_000
-
 
 def validate_paging(strategy: str, order_by: Sequence[str]) -> None:
     if strategy not in STRATEGIES:
@@ -32,36 +30,56 @@ def typed_literal(value: Any, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def total_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
+    """The order columns, then all others that can be ordered: only equal rows tie, and those are interchangeable."""
+    rest = [f.name for f in df.schema.fields if f.name not in order_by and isinstance(f.dataType, T.AtomicType)]
+    return [*order_by, *rest]
+
+
+def _equals(df: DataFrame, name: str, value: Any) -> Column:
+    return F.col(name).isNull() if value is None else F.col(name) == typed_literal(value, df.schema[name].dataType)
+
+
+def _exceeds(df: DataFrame, name: str, value: Any) -> Column:
+    """NULLs come first."""
+    return F.col(name).isNotNull() if value is None else F.col(name) > typed_literal(value, df.schema[name].dataType)
+
+
 def after_key(df: DataFrame, order_by: Sequence[str], last: Sequence[Any]) -> Column:
     """``order_by > last`` column by column, in a form that reaches the scan as a pushed filter."""
-    if any(v is None for v in last):
-        raise ValueError("a page key cannot hold NULL")
     clauses = []
     for i, name in enumerate(order_by):
-        equal = [F.col(c) == typed_literal(v, df.schema[c].dataType) for c, v in zip(order_by[:i], last[:i])]
-        greater = F.col(name) > typed_literal(last[i], df.schema[name].dataType)
-        clauses.append(reduce(lambda a, b: a & b, [*equal, greater]))
+        equal = [_equals(df, c, v) for c, v in zip(order_by[:i], last[:i])]
+        clauses.append(reduce(lambda a, b: a & b, [*equal, _exceeds(df, name, last[i])]))
     return reduce(lambda a, b: a | b, clauses)
 
 
 def page_keyset(
     df: DataFrame, order_by: Sequence[str], size: int, last: Sequence[Any] | None = None
 ) -> DataFrame:
-    """The next page after key ``last``; the cost does not grow with the page's depth."""
+    """The next page after key ``last``; the cost does not grow with the page's depth.
+
+    Where the order columns repeat, ``last`` must hold the values of ``total_order``
+    (``last_key(page, total_order(df, order_by))``): after the order columns alone
+    the rest of a repeated key would be passed over.
+    """
     validate_paging("cursor", order_by)
-    rows = df if last is None else df.where(after_key(df, order_by, last))
-    return rows.orderBy(*order_by).limit(size)
+    order = total_order(df, order_by)
+    if last is None:
+        return df.orderBy(*order).limit(size)
+    if any(v is None for v in last[: len(order_by)]):
+        raise ValueError("a page key cannot hold NULL")
+    return df.where(after_key(df, order[: len(last)], last)).orderBy(*order).limit(size)
 
 
 def page_offset(df: DataFrame, order_by: Sequence[str], offset: int, size: int) -> DataFrame:
-    """Rows after the first ``offset``: a top-k while it is shallow, numbered rows when deep.
+    """Rows after the first ``offset``, by a top-k of ``offset + size`` rows at every depth.
 
-    A top-k holds ``offset + size`` rows in every task's memory.
+    Each task holds that many rows, so a deep crawl should number the rows once
+    (``page_rownum``) or page by key.
     """
     validate_paging("offset", order_by)
-    if offset + size > TOP_ROWS:
-        return _numbered_page(df, order_by, offset, size)
-    return df.orderBy(*order_by).offset(offset).limit(size)
+    return df.orderBy(*total_order(df, order_by)).offset(offset).limit(size)
 
 
 def place_rows(
@@ -69,14 +87,13 @@ def place_rows(
 ) -> DataFrame:
     """The rows range-partitioned in order and written once, with their partition and place in it.
 
-    ``unique_order=False`` adds a row hash to the order, so that a key many rows
-    share is split over partitions as well.
+    The number of ranges follows from the number of rows. ``unique_order=False``
+    adds the remaining columns to the order, so that a key many rows share is
+    split over partitions as well.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c).asc() for c in order_by]
-    if not unique_order:
-        order.append(F.xxhash64(*[F.col(c) for c in df.columns]).asc())
+    n = partitions or choose_partitions(df.count())
+    order = [F.col(c).asc() for c in (order_by if unique_order else total_order(df, order_by))]
     place = F.monotonically_increasing_id()
     placed = (
         df.repartitionByRange(n, *order)
@@ -107,20 +124,19 @@ def number_rows(
     )
 
 
-def _numbered_page(df: DataFrame, order_by: Sequence[str], offset: int, size: int) -> DataFrame:
-    numbered = number_rows(df, order_by)
-    return numbered.where(F.col("_rn").between(offset + 1, offset + size)).drop("_rn")
-
+def page_rownum(
+    df: DataFrame, order_by: Sequence[str], offset: int, size: int, unique_order: bool = False
+) -> DataFrame:
+    """The rows numbered ``offset + 1`` to ``offset + size`` in their order; the number itself is dropped.
 
-def page_rownum(df: DataFrame, order_by: Sequence[str], offset: int, size: int) -> DataFrame:
-    """The rows numbered ``offset + 1`` to ``offset + size``; the number itself is dropped."""
+    The same at every depth, and no task sorts more than its range. Numbering
+    writes the table once: a caller who wants many pages calls ``number_rows``
+    and gives its result, with ``_rn``, as ``df``.
+    """
     validate_paging("rownum", order_by)
-    if offset + size > TOP_ROWS:
-        return _numbered_page(df, order_by, offset, size)
-    # The first offset + size rows are a bounded top-k, so one window over them is bounded too.
-    head = df.orderBy(*order_by).limit(offset + size)
-    numbered = head.withColumn("_rn", F.row_number().over(Window.orderBy(*order_by)))
-    return numbered.where(F.col("_rn") > offset).drop("_rn")
+    numbered = df if "_rn" in df.columns else number_rows(df, order_by, unique_order=unique_order)
+    rows = numbered.where(F.col("_rn").between(offset + 1, offset + size))
+    return rows.orderBy("_rn").limit(size).drop("_rn")
 
 
 def page(
@@ -157,9 +173,16 @@ def page_meta(df: DataFrame, order_by: Sequence[str], size: int, last: Sequence[
     ).select("n_rows", *[F.col(f"k.{c}").alias(f"last_{c}") for c in order_by], "has_more")
 
 
-def page_cover(df: DataFrame, order_by: Sequence[str], size: int) -> DataFrame:
-    """Do the pages hold every row exactly once? Pages, full pages, rows, repeated and missing keys."""
-    numbered = number_rows(df.select(*order_by), order_by)
+def page_cover(df: DataFrame, order_by: Sequence[str], size: int, unique_order: bool = True) -> DataFrame:
+    """Do the pages hold every row exactly once? Pages, full pages, rows, repeated and missing keys.
+
+    ``unique_order=False`` splits a repeated key by a hash of the whole row.
+    """
+    keyed, order = df.select(*order_by), list(order_by)
+    if not unique_order:
+        whole = F.xxhash64(*[F.col(c) for c in total_order(df, order_by)])
+        keyed, order = df.select(*order_by, whole.alias("__tie")), [*order_by, "__tie"]
+    numbered = number_rows(keyed, order)
     paged = numbered.withColumn("__page", F.call_function("div", F.col("_rn") - 1, F.lit(size)))
     by_page = paged.groupBy("__page").agg(F.count("*").alias("n"))
     pages = by_page.agg(

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from rowferry.operators.lookup import measures_small, ready_lookup, rebuild_lookup, resolve_codes
 from rowferry.operators.merge import ADDING_MODES, KEYED_MODES, live_rows, merge, merge_changes, observed
-from rowferry.operators.paging import typed_literal
 from rowferry.operators.project import conform, transform_rows
 from rowferry.plans.progress import empty_frame, load_progress, resume_action, save_progress, table_progress
 from rowferry.plans.spec import TableLoad, check_plan, priority_groups
@@ -145,8 +144,11 @@ def load_chain(spark: SparkSession, root: str, loads: Sequence[TableLoad], load_
     return results
 
 
-# Up to this many partitions are named in the filter that picks what a merge reads.
-PARTITIONS_NAMED = 10_000
+def _replace_partitions(spark: SparkSession, path: str, pending: str, partition_by: Sequence[str]) -> None:
+    """Put the partitions laid down in ``pending`` in the place of the old ones; may be repeated."""
+    rows = spark.read.schema(spark.read.parquet(path).schema).parquet(pending)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def merge_partitions(
@@ -161,25 +163,38 @@ def merge_partitions(
     """Merge into a partitioned Parquet folder, reading and rewriting only the partitions the source touches.
 
     The partition columns must be key columns, so that no other partition can hold
-    a row of the same key. The rewritten partitions replace the old ones when the
-    write commits; a commit cut short is made good by running the merge again,
-    which the keyed modes allow.
+    a row of the same key. What is read is picked by a semi join with the source's
+    partitions, which prunes the scan while it runs.
+
+    The merged partitions are first laid down whole in ``_pending`` inside the
+    folder, where readers do not look, and marked when complete; then they replace
+    the old ones. A run cut short after the mark is finished from there by the next
+    call before it merges anything, one cut short before it has changed nothing.
     """
     outside = [c for c in partition_by if c not in keys]
     if outside or not partition_by:
         raise ValueError(f"partition columns must be key columns: {outside or 'none given'}")
     if mode not in KEYED_MODES or options.get("delete_missing"):
         raise ValueError(f"mode {mode!r} reaches beyond the partitions of the source")
+    pending = f"{path.rstrip('/')}/_pending"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    complete = jvm_path(f"{pending}/_COMPLETE")
+    if fs.exists(complete):
+        _replace_partitions(spark, path, pending, partition_by)
+    fs.delete(jvm_path(pending), True)
+
     target = spark.read.parquet(path)
-    touched = source.select(*partition_by).distinct().take(PARTITIONS_NAMED + 1)
-    if len(touched) <= PARTITIONS_NAMED:
-        for name in partition_by:
-            values = {row[name] for row in touched}
-            known = F.col(name).isin(*[typed_literal(v, target.schema[name].dataType) for v in values - {None}])
-            target = target.where(known | F.col(name).isNull() if None in values else known)
-    merged = merge(target, source, mode, keys, **options)
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
+    named = [F.col(c).alias(f"__touched_{c}") for c in partition_by]
+    touched = source.select(*named).distinct()
+    # One row per partition of the source; broadcast, the set prunes the target's folders.
+    touched = F.broadcast(touched) if measures_small(touched) else touched
+    same = [F.col(c).eqNullSafe(F.col(f"__touched_{c}")) for c in partition_by]
+    merged = merge(target.join(touched, same, "left_semi"), source, mode, keys, **options)
+    merged.write.partitionBy(*partition_by).parquet(pending)
+    fs.createNewFile(complete)
+    _replace_partitions(spark, path, pending, partition_by)
+    fs.delete(jvm_path(pending), True)
 
 
 def load_report(spark: SparkSession, root: str) -> DataFrame:

@@ -84,6 +84,50 @@ def page_last_key(spark, d):
     return paging.last_key(page_keyset(spark, d), ["o_orderkey"])
 
 
+def _deep(strategy):
+    def run(spark, d):
+        orders = table(spark, d, "orders")
+        return paging.page(orders, strategy, ["o_orderkey"], PAGE, offset=orders.count() * 7 // 10)
+
+    return run
+
+
+# Past 100,000 rows at sf0.1.
+for _strategy in ("offset", "rownum"):
+    query(
+        f"page_{_strategy}_deep",
+        f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {PAGE} OFFSET (SELECT count(*) * 7 // 10 FROM orders)",
+    )(_deep(_strategy))
+
+
+@query(
+    "page_ties",
+    """WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) - 1 AS rn,
+                       (SELECT count(*) // 3 + 1 FROM orders) AS size FROM orders)
+       SELECT s.strategy, CAST(rn // size AS INTEGER) AS page, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys,
+              CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+       FROM n, (VALUES ('rownum'), ('offset'), ('cursor')) s(strategy) GROUP BY ALL""",
+)
+def page_ties(spark, d):
+    """Three pages over an order of three values, by each strategy: no row lost, none twice."""
+    orders, order = table(spark, d, "orders"), ["o_orderstatus"]
+    size = orders.count() // 3 + 1
+    numbered = paging.number_rows(orders, order, unique_order=False)
+    pages, last = [], None
+    for i in range(3):
+        by_key = paging.page(orders, "cursor", order, size, last=last)
+        last = paging.last_key(by_key, paging.total_order(orders, order)).first()
+        pages += [
+            (i, "rownum", paging.page(numbered, "rownum", order, size, offset=i * size)),
+            (i, "offset", paging.page(orders, "offset", order, size, offset=i * size)),
+            (i, "cursor", by_key),
+        ]
+    marked = [df.select(F.lit(s).alias("strategy"), F.lit(i).alias("page"), "o_orderkey") for i, s, df in pages]
+    return union_all(marked).groupBy("strategy", "page").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"), F.sum("o_orderkey").alias("key_sum")
+    )
+
+
 @query(
     "page_cover_check",
     f"""WITH n AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // {PAGE} AS p FROM orders),
@@ -108,7 +152,7 @@ def page_cover_check(spark, d):
 )
 def range_split_read(spark, d):
     orders = table(spark, d, "orders")
-    split = ranges.read_ranges(orders, ranges.even_ranges(orders, "o_orderkey", 4))
+    split = ranges.read_by_predicates(orders, ranges.even_ranges(orders, "o_orderkey", 4))
     return split.groupBy("_slice").agg(
         F.count("*").alias("n_rows"), F.min("o_orderkey").alias("least"), F.max("o_orderkey").alias("greatest")
     )
@@ -131,13 +175,12 @@ def row_count(spark, d):
        WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate <= TIMESTAMP '1998-12-31'""",
 )
 def param_date_range(spark, d):
-    orders = table(spark, d, "orders")
-    slice_ = tables.date_range(orders, "o_orderdate", "01-JANUARY-1997", "31-DECEMBER-1998")
     return tables.run_query(
         spark,
-        "SELECT o_orderkey, o_custkey, o_orderdate FROM {orders} WHERE o_orderkey >= :least",
-        {"least": 0},
-        orders=slice_,
+        """SELECT o_orderkey, o_custkey, o_orderdate FROM {orders}
+           WHERE o_orderdate >= to_timestamp_ntz(:start, :format) AND o_orderdate <= to_timestamp_ntz(:end, :format)""",
+        {"start": "01-JANUARY-1997", "end": "31-DECEMBER-1998", "format": "dd-MMMM-yyyy"},
+        orders=table(spark, d, "orders"),
     )
 
 

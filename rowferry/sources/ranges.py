@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -76,3 +77,13 @@ def quantile_ranges(df: DataFrame, column: str, n: int, accuracy: float = 0.001)
 def read_ranges(df: DataFrame, ranges: KeyRanges) -> DataFrame:
     """The table with the number of its range: ``_slice``."""
     return df.withColumn("_slice", ranges.slice_of())
+
+
+def read_by_predicates(df: DataFrame, ranges: KeyRanges) -> DataFrame:
+    """One pushed-down read per range, unioned: each row once, with the number of its range as ``_slice``.
+
+    For a source that is asked range by range, as a database is; a Parquet folder
+    is split by Spark itself and needs no ranges.
+    """
+    parts = [df.where(p).withColumn("_slice", F.lit(i)) for i, p in enumerate(ranges.predicates())]
+    return reduce(DataFrame.unionAll, parts)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from rowferry.operators.lookup import ForeignKey, LookupSpec
 from rowferry.operators.merge import MergeConflict
 from rowferry.plans import civil
+from rowferry.plans import load as load_module
 from rowferry.plans.load import LoadFailed, current_target, load_chain, load_table, merge_partitions
 from rowferry.plans.progress import (
     clear_progress,
@@ -266,3 +267,22 @@ def test_merge_touches_only_the_partitions_of_the_source(spark, root):
         merge_partitions(spark, path, source, "upsert", ["k"], ["day"])
     with pytest.raises(ValueError, match="reaches beyond"):
         merge_partitions(spark, path, source, "fresh-start", ["k", "day"], ["day"])
+
+
+def test_a_partition_merge_cut_short_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], "k long, v string, day string").write.partitionBy("day").parquet(path)
+    news = spark.createDataFrame([(1, "A", "d1"), (5, "e", "d1")], "k long, v string, day string")
+    more = spark.createDataFrame([(6, "f", "d3")], "k long, v string, day string")
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(load_module, "_replace_partitions", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            merge_partitions(spark, path, news, "upsert", ["k", "day"], ["day"])
+    assert rows(spark.read.parquet(path).select("k", "v", "day")) == [(1, "a", "d1"), (2, "b", "d2")]
+    merge_partitions(spark, path, more, "upsert", ["k", "day"], ["day"])
+    want = [(1, "A", "d1"), (2, "b", "d2"), (5, "e", "d1"), (6, "f", "d3")]
+    assert rows(spark.read.parquet(path).select("k", "v", "day")) == want

@@ -152,3 +152,11 @@ def test_hot_code_is_counted_before_the_lookup_join(spark):
     lookup = spark.createDataFrame([("hot", 1)], "code string, id bigint")
     plan = fk_coverage(facts, "code", lookup, "k")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.rindex("Aggregate [")
+
+
+def test_rows_without_a_code_spread_and_match_nothing(spark):
+    codes = spark.createDataFrame([("-1", 1), ("=x", 2), ("x", 3)], "code string, id long")
+    df = spark.range(40).selectExpr("id AS n", "CASE id WHEN 0 THEN '-1' WHEN 1 THEN '=x' WHEN 2 THEN 'x' WHEN 3 THEN '' END AS c")
+    got = resolve_code(df, "c", codes, "ref")
+    assert rows(got.where("ref IS NOT NULL").select("n", "ref")) == [(0, 1), (1, 2), (2, 3)]
+    assert got.count() == 40

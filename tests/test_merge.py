@@ -301,3 +301,18 @@ def test_row_level_merge_needs_a_table_that_supports_it(spark):
         assert "UNSUPPORTED_FEATURE.TABLE_OPERATION" in error.value.getCondition()
     finally:
         spark.sql("DROP TABLE IF EXISTS rl_target")
+
+
+@pytest.mark.parametrize("mode", ["upsert", "update", "sync"])
+def test_a_merge_of_unique_keys_shuffles_each_side_once(spark, tmp_path, mode):
+    for name in ("target", "source"):
+        spark.range(50).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / name))
+    t, s = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = merge_changes(t, s, mode, ["k"], source_unique=True)
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("SortMergeJoin") == 1

@@ -67,11 +67,29 @@ def test_row_numbers_where_one_key_holds_most_rows(spark):
     assert placed.where("k = 5").select("__part").distinct().count() > 3
 
 
-def test_deep_pages_come_from_numbered_rows(orders, monkeypatch):
-    shallow = rows(paging.page_rownum(orders, ["o_orderkey"], 700, 50))
-    monkeypatch.setattr(paging, "TOP_ROWS", 10)
-    assert rows(paging.page_rownum(orders, ["o_orderkey"], 700, 50)) == shallow
-    assert rows(paging.page_offset(orders, ["o_orderkey"], 700, 50)) == shallow
+@pytest.mark.parametrize("strategy", ["rownum", "offset"])
+def test_pages_come_in_order_at_every_depth(orders, strategy):
+    want = [r[0] for r in orders.orderBy("o_orderkey").collect()]
+    for offset in (0, 700, len(want) - 20, len(want)):
+        got = [r[0] for r in paging.page(orders, strategy, ["o_orderkey"], 50, offset=offset).collect()]
+        assert got == want[offset : offset + 50]
+
+
+def test_pages_over_an_order_with_ties_lose_and_repeat_nothing(spark):
+    df = spark.range(60).selectExpr("id % 2 AS k", "nullif(id % 5, 0) AS other", "id").repartition(4, "id")
+    want = [tuple(r) for r in df.orderBy("k", "other", "id").collect()]
+    numbered = paging.number_rows(df, ["k"], partitions=4, unique_order=False)
+    got = {"rownum": [], "offset": [], "cursor": []}
+    last = None
+    for offset in range(0, 60, 20):
+        got["rownum"] += paging.page(numbered, "rownum", ["k"], 20, offset=offset).collect()
+        got["offset"] += paging.page(df, "offset", ["k"], 20, offset=offset).collect()
+        by_key = paging.page(df, "cursor", ["k"], 20, last=last)
+        got["cursor"] += by_key.collect()
+        last = paging.last_key(by_key, paging.total_order(df, ["k"])).first()
+    for strategy, found in got.items():
+        assert [tuple(r) for r in found] == want, strategy
+    assert tuple(paging.page_cover(df, ["k"], 20, unique_order=False).first()) == (3, 3, 60, 0, 0)
 
 
 def test_page_meta(spark):
