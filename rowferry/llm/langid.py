@@ -135,7 +135,9 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", p
     # a text is in the sample when its hash is below the share its language needs
     share = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n))))
     place = F.pmod(F.xxhash64("text", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(place < share[F.col("lang")]).mapInArrow(_features, "lang string, bits binary")
+    # copies of one text count once, else a large group of copies fills the sample
+    picked = rows.where(place < share[F.col("lang")]).dropDuplicates(["lang", "text"])
+    sample = picked.mapInArrow(_features, "lang string, bits binary")
     found = sorted((r["lang"], bytes(r["bits"])) for r in sample.limit(2 * per_language * len(counts)).collect())
     return solve([lang for lang, _ in found], [b for _, b in found], landmarks)
 
