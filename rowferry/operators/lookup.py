@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +62,26 @@ def validate_lookup(df: DataFrame | None, code_col: str, id_col: str) -> LookupC
     return LookupCheck(True, found, ())
 
 
+def lookup_checks(tables: Mapping[str, tuple[DataFrame | None, str, str]]) -> DataFrame:
+    """The same questions as rows of one plan: a row per wanted ``name: (table, code column, id column)``.
+
+    Looks for one code in each usable table when the result is read, and at no rows of the others.
+    """
+    anything = next(df for df, _, _ in tables.values() if df is not None)
+    rows = []
+    for name, (df, code_col, id_col) in tables.items():
+        missing = [] if df is None else [c for c in (code_col, id_col) if c not in df.columns]
+        usable = df is not None and not missing
+        codes = df.where(F.col(code_col).isNotNull()) if usable else anything.limit(0)
+        rows.append(
+            codes.select(F.lit(1).alias("one")).limit(1).agg((F.count("one") > 0).alias("has_data")).select(
+                F.lit(name).alias("table_name"), F.lit(df is not None).alias("is_there"), "has_data",
+                F.lit(",".join(missing)).alias("missing_columns"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 def build_lookup(df: DataFrame, code_col: str = "code", id_col: str = "id", order_by: str | None = None) -> DataFrame:
     """One row per code; of several ids the last by ``order_by`` wins (the largest id when not given).
 

@@ -90,22 +90,25 @@ def _columns_of(table: str, df: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
-def column_search(tables: Mapping[str, DataFrame], word: str) -> DataFrame:
-    """Columns whose name holds the word, with how many values they have and the least and greatest."""
+def column_search(tables: Mapping[str, DataFrame], word: str, sample: int = SAMPLE) -> DataFrame:
+    """Columns whose name holds the word: how many values they have, the least, the greatest, and the first few as text."""
     found = []
     for table, df in tables.items():
         for f in df.schema.fields:
             if word.lower() not in f.name.lower():
                 continue
             values = df.select(F.col(f"`{f.name}`").alias("v"))
-            found.append(
-                values.agg(
-                    F.count("v").alias("n_present"),
-                    F.count_distinct("v").alias("n_distinct"),
-                    F.min("v").cast("string").alias("least"),
-                    F.max("v").cast("string").alias("greatest"),
-                ).select(F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"), "*")
-            )
+            named = (F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"))
+            counts = values.agg(
+                F.count("v").alias("n_present"),
+                F.count_distinct("v").alias("n_distinct"),
+                F.min("v").cast("string").alias("least"),
+                F.max("v").cast("string").alias("greatest"),
+            ).select(*named, "*")
+            # distinct values are cut by a top-k before they are collected into one row
+            head = values.where("v is not null").distinct().orderBy("v").limit(sample)
+            samples = F.array_join(F.transform(F.sort_array(F.collect_list("v")), lambda v: v.cast("string")), ",")
+            found.append(counts.join(head.agg(samples.alias("samples")).select(*named, "samples"), ["table_name", "column_name"]))
     if not found:
         raise ValueError(f"no column name holds {word!r}")
     return union_all(found)

@@ -380,12 +380,24 @@ CERTIFICATE_SCHEMA = T.StructType([T.StructField(n, _certificate_type(n)) for n
 TARGET_SCHEMAS["birth_certificate"] = CERTIFICATE_SCHEMA
 
 
+def by_code(*pairs: tuple[str, str]) -> tuple[ForeignKey, ...]:
+    return tuple(ForeignKey(code, table, f"{table}_ref") for code, table in pairs)
+
+
+# The codes of a registration center and the tables that know them.
+CENTER_KEYS = by_code(
+    ("REGION_CODE", "region"),
+    ("DISTRICT_CODE", "district"),
+    ("COUNCIL_CODE", "council"),
+    ("WARD_CODE", "ward"),
+    ("HEALTH_FACILITY_CODE", "health_facility"),
+    ("REG_CENTER_TYPE_CODE", "registration_center_type"),
+)
+
+
 def civil_plan(tables: Relations, load_ts: str, mode: str = "skip-existing") -> list[TableLoad]:
     """The nine loads in order, each after the tables whose codes it resolves."""
 
-    def by_code(*pairs: tuple[str, str]) -> tuple[ForeignKey, ...]:
-        return tuple(ForeignKey(code, table, f"{table}_ref") for code, table in pairs)
-
     def load(table, priority, source, keys=("code",), fks=(), lookup=None, after=()):
         return TableLoad(
             table_id=table, source=lambda spark: source(tables), keys=keys, transform=transform_of(table, load_ts),
@@ -398,14 +410,6 @@ def civil_plan(tables: Relations, load_ts: str, mode: str = "skip-existing") ->
 
     ids = ("code", "uuid")
     council, district = ("COUNCIL_CODE", "council"), ("DISTRICT_CODE", "district")
-    in_center = by_code(
-        ("REGION_CODE", "region"),
-        district,
-        council,
-        ("WARD_CODE", "ward"),
-        ("HEALTH_FACILITY_CODE", "health_facility"),
-        ("REG_CENTER_TYPE_CODE", "registration_center_type"),
-    )
     return [
         load("country", 1, plain("country"), keys=("country_code",)),
         load("registration_center_type", 2, plain("registration_center_type"), lookup=("code", "id")),
@@ -414,7 +418,7 @@ def civil_plan(tables: Relations, load_ts: str, mode: str = "skip-existing") ->
         load("council", 5, council_source, lookup=ids, fks=by_code(district)),
         load("ward", 6, ward_source, lookup=("code", "ward_id"), fks=by_code(council, district)),
         load("health_facility", 7, health_facility_source, lookup=ids, fks=by_code(council)),
-        load("registration_center", 8, registration_center_source, fks=in_center),
+        load("registration_center", 8, registration_center_source, fks=CENTER_KEYS),
         load("birth_certificate", 10, birth_source, keys=("provided_pin_no",),
              after=("country", "region", "district", "ward", "health_facility")),
     ]

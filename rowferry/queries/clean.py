@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowferry.operators.joins import Dimension, join_dimensions
-from rowferry.operators.lookup import ForeignKey, build_lookup, resolve_codes
+from rowferry.operators.lookup import ForeignKey, build_lookup, ready_lookup, resolve_codes
 from rowferry.operators.merge import merge_changes
 from rowferry.operators.project import custom_transformer, load_time
 from rowferry.plans import civil
@@ -26,27 +26,36 @@ _AUDIT_SQL = f"{SQL_LOAD_TS} AS created_at, {SQL_LOAD_TS} AS updated_at, FALSE A
 
 @query(
     "clean_region",
-    f"""SELECT 'region' AS origin, r_name AS code, r_name AS name, CAST(r_regionkey AS VARCHAR) AS uuid, r_regionkey <> 0 AS active,
-               substring(r_name, 1, 3) AS country_code, CAST(r_regionkey AS BIGINT) AS online_id, {_AUDIT_SQL} FROM region""",
+    f"""SELECT r_name AS code, r_name AS name, CAST(r_regionkey * 100 AS VARCHAR) AS post_code, substring(r_name, 1, 2) AS intl_codes,
+               r_regionkey <> 0 AS active, CAST(r_regionkey AS VARCHAR) AS uuid, {_AUDIT_SQL} FROM region""",
 )
 def clean_region(spark, d):
     source = table(spark, d, "region").select(
         F.col("r_regionkey").alias("ID"),
         F.col("r_name").alias("CODE"),
         F.col("r_name").alias("NAME"),
-        F.lit(None).cast("string").alias("POST_CODE"),
+        F.concat(F.lit(" "), (F.col("r_regionkey") * 100).cast("string")).alias("POST_CODE"),
         F.col("r_regionkey").alias("ACTIVE"),
-        F.lit(None).cast("string").alias("INTL_CODES"),
-        F.lit(None).cast("string").alias("INTL_CODE"),
+        F.substring("r_name", 1, 2).alias("INTL_CODES"),
     )
-    regions = civil.transform_of("region", LOAD_TS)(source)
-    countries = civil.transform_of("country", LOAD_TS)(source)
-    # The same rows cleaned for two targets, side by side.
-    both = regions.join(countries.select("country_code", "country_name_en", "online_id"), F.col("name") == F.col("country_name_en"))
-    return both.select(
-        F.lit("region").alias("origin"), "code", "name", "uuid", "active", "country_code", "online_id",
-        "created_at", "updated_at", "deleted",
+    return civil.transform_of("region", LOAD_TS)(source)
+
+
+@query(
+    "clean_country",
+    """SELECT substring(n_name, 1, 3) AS country_code, n_name AS country_name_en, n_name AS country_name_fr,
+              CAST(NULL AS VARCHAR) AS nationality_en, CAST(NULL AS VARCHAR) AS nationality_fr,
+              substring(concat(n_name, '-', CAST(n_regionkey AS VARCHAR), '-world'), 1, 10) AS translate_code, TRUE AS is_active,
+              CAST(n_nationkey AS BIGINT) AS online_id FROM nation""",
+)
+def clean_country(spark, d):
+    source = table(spark, d, "nation").select(
+        F.col("n_nationkey").alias("ID"),
+        F.col("n_name").alias("NAME"),
+        F.concat(F.lit("  "), "n_name").alias("CODE"),
+        F.concat("n_name", F.lit("-"), F.col("n_regionkey").cast("string"), F.lit("-world")).alias("INTL_CODE"),
     )
+    return civil.transform_of("country", LOAD_TS)(source)
 
 
 @query(
@@ -70,6 +79,38 @@ def _nation_codes(spark, d):
     return build_lookup(table(spark, d, "nation"), "n_name", "n_nationkey")
 
 
+def _place(spark, d, name, prefix, key=None):
+    """A test table as a source table of places."""
+    return table(spark, d, name).select(
+        F.col(key or f"{prefix}_{name}key").alias("ID"), F.col(f"{prefix}_name").alias("CODE"), F.col(f"{prefix}_name").alias("NAME")
+    )
+
+
+@query(
+    "clean_council",
+    f"""SELECT s_name AS code, s_name AS name, CAST(NULL AS VARCHAR) AS post_code, CAST(s_suppkey * 7 AS VARCHAR) AS mvc_uuid,
+               s_suppkey % 2 <> 0 AS active, CAST(s_suppkey AS VARCHAR) AS uuid, CAST(n_nationkey AS BIGINT) AS district_id,
+               n_name AS district, {_AUDIT_SQL}
+        FROM supplier LEFT JOIN nation ON s_nationkey + s_suppkey % 3 = n_nationkey""",
+)
+def clean_council(spark, d):
+    """Councils with their district; some name one that is not there."""
+    tables = {
+        "council": table(spark, d, "supplier").select(
+            F.col("s_suppkey").alias("ID"),
+            (F.col("s_nationkey") + F.col("s_suppkey") % 3).alias("DISTRICT_ID"),
+            F.col("s_name").alias("CODE"),
+            F.col("s_name").alias("NAME"),
+            F.lit("").alias("POST_CODE"),
+            (F.col("s_suppkey") % 2).alias("ACTIVE"),
+            (F.col("s_suppkey") * 7).cast("string").alias("MVC_UUID"),
+        ),
+        "district": _place(spark, d, "nation", "n"),
+    }
+    keys = [ForeignKey("DISTRICT_CODE", "district", "district_ref")]
+    return civil.transform_of("council", LOAD_TS)(resolve_codes(civil.council_source(tables), keys, {"district": _nation_codes(spark, d)}))
+
+
 @query(
     "clean_supplier",
     f"""SELECT s_name AS health_facility_name, s_name AS health_facility_code, CAST(NULL AS BIGINT) AS health_facility_type_id,
@@ -142,6 +183,56 @@ def clean_lookup(spark, d):
     return civil.transform_of("registration_center_type", LOAD_TS)(source)
 
 
+# An order read as a registration center: the place it has of each kind.
+_CENTER_COLUMNS = {
+    "ID": "o_orderkey",
+    "CODE": "concat('C-', CAST(o_orderkey AS STRING), ' ')",
+    "NAME": "o_orderpriority",
+    "REGISTRATION_FACILITY": "o_orderkey % 2",
+    "PRINTING_FACILITY": "o_orderkey % 3",
+    "ACTIVE": "o_orderkey % 5",
+    "HEAD_OFFICE": "CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END",
+    "REGION_ID": "o_orderkey % 7",
+    "DISTRICT_ID": "o_orderkey % 30",
+    "COUNCIL_ID": "o_orderkey % 200",
+    "WARD_ID": "CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END",
+    "HEALTH_FACILITY_ID": "o_orderkey % 300",
+    "REGISTRATION_CENTER_TYPE_ID": "o_orderkey % 6",
+}
+_CENTER_PLACES = {
+    "region": ("region", "r", None),
+    "district": ("nation", "n", None),
+    "council": ("supplier", "s", "s_suppkey"),
+    "ward": ("customer", "c", "c_custkey"),
+    "health_facility": ("part", "p", None),
+    "registration_center_type": ("region", "r", None),
+}
+
+
+@query(
+    "clean_registration_center",
+    f"""SELECT CAST(o.ID AS BIGINT) AS mgt_registration_center_id, trim(o.CODE) AS code, trim(o.CODE) AS center_code, o.NAME AS name,
+               REGISTRATION_FACILITY <> 0 AS registration_facility, PRINTING_FACILITY <> 0 AS printing_facility, ACTIVE <> 0 AS active,
+               HEAD_OFFICE AS head_office, COALESCE(HEAD_OFFICE = 'Y', FALSE) AS is_head_office, CAST(o.ID AS VARCHAR) AS uuid,
+               CAST(r.r_regionkey AS BIGINT) AS region_id, CAST(n_nationkey AS BIGINT) AS district_id,
+               CAST(s_suppkey AS BIGINT) AS council_id, CAST(c_custkey AS BIGINT) AS ward_id, CAST(f.id AS BIGINT) AS health_facility_id,
+               CAST(k.r_regionkey AS BIGINT) AS registration_center_type_id, {_AUDIT_SQL}, {SQL_LOAD_TS} AS activated_at
+        FROM (SELECT {", ".join(f"{text} AS {name}" for name, text in _CENTER_COLUMNS.items())} FROM orders) o
+        LEFT JOIN region r ON r.r_regionkey = REGION_ID LEFT JOIN nation ON n_nationkey = DISTRICT_ID
+        LEFT JOIN supplier ON s_suppkey = COUNCIL_ID LEFT JOIN customer ON c_custkey = WARD_ID
+        LEFT JOIN part ON p_partkey = HEALTH_FACILITY_ID LEFT JOIN region k ON k.r_regionkey = REGISTRATION_CENTER_TYPE_ID
+        LEFT JOIN (SELECT p_name AS code, max(p_partkey) AS id FROM part GROUP BY 1) f ON f.code = p_name""",
+)
+def clean_registration_center(spark, d):
+    """Centers joined to six tables of places, then six codes resolved."""
+    tables = {kind: _place(spark, d, *of) for kind, of in _CENTER_PLACES.items()}
+    kinds = tables["registration_center_type"].withColumnRenamed("NAME", "DESCRIPTION")
+    centers = table(spark, d, "orders").select(*[F.expr(text).alias(name) for name, text in _CENTER_COLUMNS.items()])
+    source = civil.registration_center_source({**tables, "registration_center_type": kinds, "registration_center": centers})
+    lookups = {kind: ready_lookup(build_lookup(places, "CODE", "ID")) for kind, places in tables.items()}
+    return civil.transform_of("registration_center", LOAD_TS)(resolve_codes(source, civil.CENTER_KEYS, lookups))
+
+
 # Orders loaded earlier: the target a new load of orders must not repeat.
 LOADED_BEFORE = "1997-01-01"
 

@@ -10,9 +10,9 @@ from rowferry.operators.lookup import (
     LookupSpec,
     build_lookup,
     build_lookups,
+    lookup_checks,
     resolve_code,
     resolve_codes,
-    validate_lookup,
 )
 from rowferry.operators.quality import fk_coverage, fk_unresolved, lookup_profile, union_all
 from rowferry.queries.registry import query, table
@@ -145,11 +145,7 @@ def lookup_validate(spark, d):
         "orders": (table(spark, d, "orders"), "o_code", "o_orderkey"),
         "reviews": (None, "code", "id"),
     }
-    rows = []
-    for name, (df, code, id_col) in wanted.items():
-        check = validate_lookup(df, code, id_col)
-        rows.append((name, check.exists, check.has_data, ",".join(check.missing_columns)))
-    return spark.createDataFrame(rows, "table_name string, is_there boolean, has_data boolean, missing_columns string")
+    return lookup_checks(wanted)
 
 
 # Codes as a source would carry them: mostly known, some unknown, some empty, some NULL.

@@ -57,7 +57,9 @@ _SEARCHED = {
     "column_search",
     " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS n_present, count(DISTINCT {c}) AS n_distinct,"
-        f" CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM {t}"
+        f" CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest,"
+        f" (SELECT string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM {t} WHERE {c} IS NOT NULL ORDER BY v LIMIT 5))"
+        f" AS samples FROM {t}"
         for t, columns in _SEARCHED.items()
         for c in columns
     ),

@@ -20,7 +20,7 @@ def test_columns(places):
 
 
 def test_search(places):
-    assert rows(quality.column_search({"p": places}, "COD")) == [("p", "code", 3, 3, "a", "c")]
+    assert rows(quality.column_search({"p": places}, "COD")) == [("p", "code", 3, 3, "a", "c", "a,b,c")]
     with pytest.raises(ValueError, match="no column"):
         quality.column_search({"p": places}, "zzz")
 
