@@ -33,10 +33,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).where(F.col("lang_pred") != langid.UND).select("carry.*")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of each row, ``row``, that is the same whenever the rows are read again."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return written(docs.withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    # rows of files: the number of the file, then the place in it
+    place = docs.metadataColumn("_metadata")
+    placed = docs.select("*", place["file_path"].alias("file"), place["row_index"].alias("at"))
+    files = placed.select("file").distinct().coalesce(1).sort("file").withColumn("nth", F.monotonically_increasing_id())
+    files = written(files, "pipeline-files")
+    row = F.shiftleft("nth", 40) + F.col("at")
+    return placed.join(F.broadcast(files), "file").select(*(f"`{c}`" for c in docs.columns), row.alias("row"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id stays."""
-    found = ngram_join.similar_documents(docs)
-    return docs.join(found.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of similar documents one row stays, with the smallest id; repeated rows and null ids are rows like others."""
+    rows = _numbered(docs)
+    found = ngram_join.similar_documents(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
+    found = written(rows.select("row", "doc_id").join(found, "row"), "pipeline-components")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    groups = found.groupBy("component_id").agg(F.min(order).alias("least"), F.count("*").alias("n")).where("n > 1")
+    stay = groups.select(F.col("least.row").alias("row"))
+    gone = found.join(groups.select("component_id"), "component_id").join(stay, "row", "left_anti")
+    return rows.join(gone.select("row"), "row", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

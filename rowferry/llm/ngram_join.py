@@ -24,7 +24,7 @@ of Jaccard similarity 0.8 or more differ in at most ``(|A| + |B|) / 9`` shingles
 
 Defined cases: null and empty texts, and texts of white space, have an empty set and link
 with nothing; fewer words than five make one shingle; repeated rows link as equal
-texts do; where one ``doc_id`` names several sets, the set least by hash stands for it in links; a null ``doc_id`` gets its ``n_shingles``, links with nothing and has a null
+texts do; where one ``doc_id`` names several sets, each row has the component of its own set; a null ``doc_id`` gets its ``n_shingles``, links with nothing and has a null
 component; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -278,15 +278,17 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sketch = spark.sparkContext.broadcast(countmin.merged(parts, bits))
     found = written(rows.mapInArrow(_sets(sketch), SETS), "ngram-sets")
     known = found.where("doc_id is not null and n > 0")
-    # the class of equal sets is named by its smallest document
-    classes = written(known.groupBy("c1", "c2").agg(F.min("doc_id").alias("key")), "ngram-classes")
-    one = classes.groupBy("key").agg(F.min(F.struct("c1", "c2")).alias("c")).select(F.col("key").alias("doc_id"), "c.c1", "c.c2")
+    # classes of equal sets are numbered in the order of their smallest documents; a document may be that of several
+    least = written(known.groupBy("c1", "c2").agg(F.min("doc_id").alias("least")), "ngram-least")
+    classes = written(least.orderBy("least", "c1", "c2").withColumn("key", F.monotonically_increasing_id()), "ngram-classes")
+    one = classes.select(F.col("least").alias("doc_id"), "c1", "c2", "key")
     held = known.where("shingles is not null").select("doc_id", "c1", "c2", "shingles").join(one, ["doc_id", "c1", "c2"])
-    sets = written(held.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("key"), "shingles"), "ngram-classsets")
+    sets = written(held.dropDuplicates(["key"]).select("key", "shingles"), "ngram-classsets")
     labels = components(links_between(sets), "ngram").withColumnRenamed("node", "key")
-    named = written(
-        classes.join(labels, "key", "left").select("c1", "c2", F.coalesce("label", "key").alias("component_id")), "ngram-named"
-    )
+    # the least number of a component is that of its smallest document
+    first = classes.select(F.col("key").alias("label"), F.col("least").alias("first"))
+    labels = labels.join(first, "label").select("key", "first")
+    named = written(classes.join(labels, "key", "left").select("c1", "c2", F.coalesce("first", "least").alias("component_id")), "ngram-named")
     return found.join(named, ["c1", "c2"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

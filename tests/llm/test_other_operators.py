@@ -196,6 +196,21 @@ def test_stages_on_odd_documents(spark):
     assert seen == [{1, 2, 6, None}, {1, 6, None}, {1, 6, None}, {1, 6, None}, {1, 6, None}]
 
 
+@pytest.mark.parametrize("files", [False, True])
+def test_one_row_of_each_group_stays(spark, root, files):
+    """Rows that repeat an id, rows without one, and one id of several texts."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a.replace("a59", "other")
+    rows = [(1, a), (1, a), (None, a), (7, near), (None, b), (None, b), (5, b), (2, c), (2, "alone"), (9, c), (None, "alone too")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    if files:
+        docs.write.parquet(f"{root}/docs")
+        docs = spark.read.parquet(f"{root}/docs")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.dtypes == docs.dtypes
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, a), (5, b), (2, c), (2, "alone"), (None, "alone too")], key=str)
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]

@@ -147,6 +147,15 @@ def test_chains_of_near_copies(spark):
     assert 1 < len({r[2] for r in have}) < 150
 
 
+def test_texts_of_one_id_keep_their_links(spark):
+    """Each row of a repeated id has the component of its own text."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, c), (4, a.replace("a59", "x")), (5, b.replace("b59", "x")), (6, c.replace("c59", "x")), (6, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    have = sorted(tuple(r) for r in ngram_join.similar_documents(docs, bits=BITS).collect())
+    assert have == sorted((i, 56, 1) for i, _ in rows)
+
+
 def test_similar_documents_of_nothing(spark):
     assert ngram_join.similar_documents(frame(spark, made()).where("false"), bits=BITS).collect() == []
 
