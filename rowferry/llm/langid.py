@@ -5,8 +5,8 @@ presence, each order normalised by the number of n-grams of either text:
 ``k(x, y) = sum over n of |G_n(x) & G_n(y)| / sqrt(|G_n(x)| |G_n(y)|) / 3``.
 N-grams are hashed to 2^16 places an order.
 
-Training is bounded by documented parameters: ``per_language`` labelled texts of each
-language, picked by hash of their text, of which ``landmarks`` in all serve as Nyström
+Training is bounded by documented parameters: of the distinct labelled texts with a letter
+of each language the ``per_language`` with the least hashes, all if there are fewer, of which ``landmarks`` in all serve as Nyström
 landmarks. One-versus-rest kernel ridge regression is solved on the driver over that
 sample; what reaches the driver is one bit map a sampled text, 24 KB however long the text
 is. A prediction needs the kernel values of a text against the landmarks times the ridge
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowferry.llm.common import of_worker, ship
@@ -61,6 +61,11 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def with_letter(text: Column) -> Column:
+    """The same for a column; null for null."""
+    return text.rlike(r"\p{L}")
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     of_worker("langid", dict)
     flags = np.zeros((len(ORDERS), PLACES), bool)
@@ -124,21 +129,22 @@ def solve(langs: list[str], bits: list[bytes], landmarks: int = LANDMARKS, ridge
 
 
 def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model:
-    """Fit on about ``per_language`` texts of each language (twice that at most)."""
+    """Fit on ``per_language`` texts of each language, or on all it has."""
     ship(labelled.sparkSession)
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(counts) > LANGUAGES:
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col, F.lit("langid")).alias("place"))
+    rows = rows.where(F.col("lang").isNotNull() & with_letter(F.col("text")))
+    # copies of one text count once, else a large group of copies fills the sample or leaves none for it
+    least = Window.partitionBy("lang").orderBy("place")
+    picked = rows.select("lang", "place").distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= per_language)
+    bounds = {r["lang"]: r["m"] for r in picked.groupBy("lang").agg(F.max("place").alias("m")).limit(LANGUAGES + 1).collect()}
+    if len(bounds) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    if not counts:
+    if not bounds:
         return solve([], [])
-    # a text is in the sample when its hash is below the share its language needs
-    share = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n))))
-    place = F.pmod(F.xxhash64("text", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # copies of one text count once, else a large group of copies fills the sample
-    picked = rows.where(place < share[F.col("lang")]).dropDuplicates(["lang", "text"])
+    bound = F.create_map(*(F.lit(v) for pair in bounds.items() for v in pair))
+    picked = rows.where(F.col("place") <= bound[F.col("lang")]).select("lang", "text").dropDuplicates(["lang", "text"])
     sample = picked.mapInArrow(_features, "lang string, bits binary")
-    found = sorted((r["lang"], bytes(r["bits"])) for r in sample.limit(2 * per_language * len(counts)).collect())
+    found = sorted((r["lang"], bytes(r["bits"])) for r in sample.limit(2 * per_language * len(bounds)).collect())
     return solve([lang for lang, _ in found], [b for _, b in found], landmarks)
 
 

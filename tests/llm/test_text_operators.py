@@ -267,6 +267,18 @@ def test_language_of_held_out_texts(spark):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_no_language_of_copies_is_without_a_sample(spark):
+    """Few texts in many copies, and texts without a letter, do not take the share of the others."""
+    words = {"en": "the and of cat dog", "fr": "le et de chat chien", "de": "der und von Katze Hund"}
+    rows = [(i, f"{w} {k}", lang) for lang, w in words.items() for k in range(3) for i in range(400)]
+    rows += [(i, f"{i} !", lang) for lang in words for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for most in (1, 2, 250):
+        model = langid.train(docs, per_language=most, landmarks=16)
+        assert model.languages == ["de", "en", "fr"]
+        assert all(r["lang"] == r["lang_pred"] for r in langid.predict(docs.where("text like '%a%' or text like '%d%'").limit(50), model).select("carry.lang", "lang_pred").collect())
+
+
 def test_language_of_odd_texts(spark):
     rows = [(1, "the cat and the dog", "en", 1, "c", 2), (2, "le chat et le chien", "fr", 1, "c", 2), (3, None, "fr", 1, "c", 2),
             (4, "", None, 1, "c", 2), (5, "12 34 !?", "en", 1, "c", 2), (6, "the hen and the fox", None, 1, "c", 2), (None, "le", None, None, None, None)]
