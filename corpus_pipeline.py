@@ -28,9 +28,15 @@ def _documents(rows: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without a letter."""
+    """Documents without a language go: null texts, texts without a letter, and what scores below ``LEAST_SCORE`` in every language.
+
+    Where no label was there to learn from, every text with a letter stays.
+    """
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
-    return langid.predict(docs, model).where(F.col("lang_pred") != langid.UND).select("carry.*")
+    if not model.languages:
+        return docs.where(langid.with_letter(F.col("text")))
+    found = langid.predict(docs, model)
+    return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= langid.LEAST_SCORE)).select("carry.*")
 
 
 def _numbered(docs: DataFrame) -> DataFrame:

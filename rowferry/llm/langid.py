@@ -37,6 +37,7 @@ LANDMARKS = 256
 RIDGE = 1e-3
 LANGUAGES = 1000  # more labels than this are an error, not a language column
 UND = "und"
+LEAST_SCORE = 0.05  # a text below has next to nothing in common with any language learned; clean ones of two or three letters have 0.12
 
 
 def ngram_places(text: str) -> Iterator[np.ndarray]:

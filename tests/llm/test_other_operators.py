@@ -211,6 +211,17 @@ def test_one_row_of_each_group_stays(spark, root, files):
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, a), (5, b), (2, c), (2, "alone"), (None, "alone too")], key=str)
 
 
+def test_language_rejects_by_score_and_not_without_labels(spark):
+    texts = ["the cat and the dog", "the hen and the fox", "le chat et le chien", "la poule et le renard", "这是一个测试文件", "12 !", None]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(zip(texts, ("en", "en", "fr", "fr", None, "en", "en"), strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = docs.withColumn("doc_id", F.col("doc_id") * 0 + 1).withColumn("n", F.lit(1))  # 1 is not held out
+    kept = {r["text"] for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == set(texts[:4])
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["text"] for r in corpus_pipeline.language_id(spark, none, "").collect()} == set(texts[:5])
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]
