@@ -18,7 +18,8 @@ Then blocks of documents fetch the surrogates of their entities (one row a block
 entity, however often it stands there) and are rewritten. Texts without an entity never
 leave their task.
 
-Defined cases: a null text stays null, an empty one empty; repeated rows get the same
+Defined cases: a null text stays null, an empty one empty; a secret without a letter or
+digit (``password=********``) is masked already and no entity; repeated rows get the same
 result; an entity that stands in a third of all documents is one row a block; an empty table
 gives an empty result; all other columns ride along in ``carry``.
 """
@@ -177,10 +178,12 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
         return f"{head}{98 - number % 97:02d}{body}"
     if kind == "secret":
         start = 4 if re.match(r"AKIA|gh[pousr]_", value) else 3 if value.startswith("sk-") else 0
-        return value[:start] + like(value[start:], draw, hexed=re.fullmatch(r"[0-9a-f]+", value) is not None)
+        # some letters have no others of their shape, and short secrets few: later attempts are longer
+        more = "".join(chr(97 + draw.below(26)) for _ in range(attempt // 4))
+        return value[:start] + like(value[start:], draw, hexed=re.fullmatch(r"[0-9a-f]+", value) is not None) + more
     part, gender, script = kind.split(":")
     if script != "latin":
-        return like(value, draw)
+        return like(value, draw) + "".join(value[draw.below(len(value))] for _ in range(attempt // 4))
     middle = "".join(MIDDLES[draw.below(len(MIDDLES))] for _ in range(1 + attempt // 2 + (part == "surname")))
     ends = SURNAME_ENDS if part == "surname" else GIVEN_ENDS[gender]
     return (STARTS[draw.below(len(STARTS))] + middle + ends[draw.below(len(ends))]).casefold()
@@ -215,6 +218,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             continue
         if kind == "card" and not 13 <= sum(c.isdigit() for c in m.group()) <= 19:
             continue
+        if kind == "secret" and not any(map(str.isalnum, m.group())):
+            continue
         if kind != "name":
             out.append((a, b, kind, m.group()))
             continue

@@ -175,6 +175,21 @@ def few_surrogates(key):
     return run
 
 
+def test_secrets_that_have_no_other_of_their_shape(spark):
+    """Masked ones are no entity; one of odd letters, and more short ones than there are of their shape, still get others."""
+    odd = "password=ⁿⁿⁿⁿⁿⁿⁿⁿ"
+    rows = [(1, "password=******** token=--------", 1, "k"), (2, odd, 1, "k")]
+    rows += [(10 + i, f"password=*****{i}", 1, "k") for i in range(10)]
+    # a draw that never ends must fail, not hang
+    for value in ("ⁿⁿⁿⁿⁿⁿⁿⁿ", "*****1"):
+        assert any(pii.surrogate("secret", value, n) not in {value, *(f"*****{i}" for i in range(10))} for n in range(20))
+    assert not pii.entities(rows[0][1])
+    out = surrogates(spark, rows)
+    assert (out[1]["text"], out[1]["n_entities"]) == (rows[0][1], 0)
+    assert out[2]["n_entities"] == 1 and out[2]["text"] != odd
+    assert len({out[10 + i]["text"] for i in range(10)} - {r[1] for r in rows}) == 10
+
+
 def test_no_entities(spark):
     assert surrogates(spark, [(1, "plain", 1, "k")])[1]["text"] == "plain"
     df = spark.createDataFrame([], "doc_id long, text string")
