@@ -8,8 +8,11 @@ their summary); a renderer gives all the rest: blocks on lines of their own, an
 around paragraphs, lists with markers and indents, tables with aligned columns, ``pre`` as
 it is. Nothing else is left out: navigation and advertisements are visible text.
 
-Pages are independent rows: no shuffle, memory of one page. Nesting is followed to
-``DEPTH``; what is deeper becomes content of that depth, in order.
+Formulas (MathML) give the text of their tokens and drawings (SVG) that of their ``text``
+elements, without titles, annotations and definitions.
+
+Pages are independent rows: no shuffle, memory of one page. Nesting is followed however
+deep it is: the tree is built and rendered with stacks of their own, without recursion.
 
 Defined cases: a null page gives null, an empty one the empty text; broken tags are text;
 very long pages cost in proportion; repeated rows are rendered alike; an empty table gives an empty result; all other
@@ -21,7 +24,8 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,8 +33,6 @@ from pyspark.sql import functions as F
 
 from rowferry.llm.common import ship
 
-DEPTH = 128
-
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[(?:.*?\]\]>|.*)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S
 )
@@ -41,7 +43,7 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 # fixed values of the HTML standard
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
-UNSEEN = set("script style title head template noscript iframe noembed noframes datalist object audio video canvas svg math".split())
+UNSEEN = set("script style title head template noscript iframe noembed noframes datalist object audio video canvas".split())
 PARAGRAPH = set("p ul ol dl table blockquote pre h1 h2 h3 h4 h5 h6 figure fieldset hr article section".split())
 BLOCK = PARAGRAPH | set(
     "address aside body center caption dd details dialog dir div dt figcaption footer form header hgroup html legend li main menu nav"
@@ -63,7 +65,19 @@ ENDS = {
     "body": ({"head"}, {"html"}),
 }
 CLOSES_P = (BLOCK | {"p"}) - {"body", "html", "option", "optgroup", "select", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
+# elements within svg and math: not shown, holding text, holding HTML
+DRAWN_UNSEEN = set("title desc metadata defs symbol clippath mask marker pattern annotation annotation-xml mphantom".split())
+TOKENS = {"mi", "mn", "mo", "ms", "mtext"}
+INNER_HTML = TOKENS | {"foreignobject", "desc", "title", "annotation-xml"}
+FOREIGN = {"svg", "math"}
+# a start tag of these ends svg and math
+BREAKS_OUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small"
+    " span strong strike sub sup table tt u ul var".split()
+)
+_CLOSED = re.compile(r"(?:^|[\s\"'])/$|(?:^|\s)[^\s=\"'>/]+/$")
 SCOPE = {"table", "td", "th", "caption", "html", "template", "button"}
+INLINE_STOP = BLOCK | SCOPE
 
 
 class Node:
@@ -87,17 +101,32 @@ def parse(page: str) -> Node:
     """The tree of a page, with the tags it implies."""
     root = Node("#root", {})
     stack, at, end = [root], 0, len(page)
+    places: dict[str, list[int]] = {}  # of the open elements of each name in the stack
 
     def add(item) -> None:
         stack[-1].items.append(item)
 
+    def push(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
+
+    def cut(size: int) -> None:
+        while len(stack) > size:
+            tag = stack.pop().tag
+            places[tag].pop()
+            if not places[tag]:
+                del places[tag]
+
+    def last(names: set[str]) -> int:
+        """The place of the innermost open element of these names, or 0."""
+        if len(names) > len(places):
+            return max((at[-1] for tag, at in places.items() if tag in names), default=0)
+        return max((places[tag][-1] for tag in names if tag in places), default=0)
+
     def close(names: set[str], stop: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                return
-            if stack[i].tag in stop:
-                return
+        i = last(names)
+        if i and i >= last(stop):
+            cut(i)
 
     while at < end:
         start = page.find("<", at)
@@ -119,14 +148,20 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if m.group(1):
-            if name == "p" and not any(n.tag == "p" for n in stack):
+            if name == "p" and "p" not in places:
                 add(Node("p", {}))
             elif name == "br":
                 add(Node("br", {}))
             else:
                 # the end of an inline element leaves open blocks open
-                close({name}, {"table"} - {name} if name in BLOCK else BLOCK | SCOPE)
+                close({name}, {"table"} - {name} if name in BLOCK else INLINE_STOP)
             continue
+        foreign = last(FOREIGN) if "svg" in places or "math" in places else 0
+        if foreign and name in BREAKS_OUT and last(INNER_HTML) < foreign:
+            cut(foreign)
+            foreign = 0
+        if name == "a":  # links do not nest
+            close({"a"}, INLINE_STOP)
         if name in CLOSES_P:
             close({"p"}, SCOPE)
         if name in ENDS:
@@ -134,22 +169,22 @@ def parse(page: str) -> Node:
             for _ in range(3 if name in ("tr", "tbody", "thead", "tfoot") else 1):
                 close(names, stop)
         if name[0] == "h" and name[1:].isdigit() and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
-            stack.pop()
+            cut(len(stack) - 1)
         if name in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             row = Node("tr", {})
             add(row)
-            stack.append(row)
+            push(row)
         node = Node(name, _attributes(m.group(3)))
         add(node)
-        if name in VOID:
+        if name in VOID or ((foreign or name in FOREIGN) and _CLOSED.search(m.group(3))):
             continue
         if name in RAW:
             tail = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             body = page[at : tail.start()] if tail else page[at:]
             node.items.append(html.unescape(body) if name == "textarea" else body)
             at = tail.end() if tail else end
-        elif len(stack) < DEPTH:
-            stack.append(node)
+        else:
+            push(node)
     return root
 
 
@@ -223,30 +258,68 @@ class Writer:
         return self.lines
 
 
-def _lines(items: list, item: bool = False) -> list[str]:
+# The parts of the renderer are generators that yield the parts they need, and are sent their results.
+Part = Generator["Part", Any, Any]
+
+
+def _whole(part: Part) -> Any:
+    """The result of a part, however deep its parts go."""
+    stack, value = [part], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+    return value
+
+
+def _lines(items: list, item: bool = False) -> Part:
     w = Writer(item)
-    _flow(items, w)
+    yield _flow(items, w)
     return w.done()
 
 
 def _pre(items: list) -> str:
-    out = []
-    for item in items:
-        if isinstance(item, str):
+    out, todo = [], [iter(items)]
+    while todo:
+        item = next(todo[-1], None)
+        if item is None:
+            todo.pop()
+        elif isinstance(item, str):
             out.append(item)
         elif item.tag == "br":
             out.append("\n")
         elif visible(item):
-            out.append(_pre(item.items))
+            todo.append(iter(item.items))
     return "".join(out)
 
 
+def _drawn(node: Node, w: Writer, shown: bool) -> Part:
+    """What is written in a drawing or a formula; ``shown``: bare text is."""
+    for item in node.items:
+        if isinstance(item, str):
+            if shown and (node.tag != "math" or item.strip()):
+                w.text(item if node.tag not in TOKENS else item.strip())
+        elif not visible(item) or item.tag in DRAWN_UNSEEN or item.attrs.get("display") == "none" or item.attrs.get("visibility") in ("hidden", "collapse"):
+            continue
+        elif item.tag in ("foreignobject", "text"):
+            w.text(" ")
+            yield _flow(item.items, w) if item.tag == "foreignobject" else _drawn(item, w, True)
+            w.text(" ")
+        elif item.tag == "br" or item.tag in BLOCK or item.tag in FOREIGN:
+            yield _flow([item], w)
+        else:
+            yield _drawn(item, w, shown and node.tag != "math" or item.tag in TOKENS)
+
+
 def _indent(lines: list[str], first: str) -> list[str]:
     rest = " " * _width(first)
     return [(first if i == 0 else rest) + x if x or i == 0 else "" for i, x in enumerate(lines)]
 
 
-def _list(node: Node, w: Writer) -> None:
+def _list(node: Node, w: Writer) -> Part:
     number = int(node.attrs["start"]) if node.attrs.get("start", "").lstrip("-").isdecimal() else 1
     for item in node.items:
         if isinstance(item, str):
@@ -259,14 +332,18 @@ def _list(node: Node, w: Writer) -> None:
                     number = int(item.attrs["value"])
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
-                w.verbatim([x.rstrip() for x in _indent(_lines(item.items, True) or [""], mark)])
+                w.verbatim([x.rstrip() for x in _indent((yield _lines(item.items, True)) or [""], mark)])
             else:
-                _flow([item], w)
+                yield _flow([item], w)
 
 
 def _rows(node: Node, rows: list, before: list) -> None:
-    for item in node.items:
-        if isinstance(item, str):
+    todo = [iter(node.items)]
+    while todo:
+        item = next(todo[-1], None)
+        if item is None:
+            todo.pop()
+        elif isinstance(item, str):
             if item.strip():
                 before.append(item)
         elif not visible(item):
@@ -274,7 +351,7 @@ def _rows(node: Node, rows: list, before: list) -> None:
         elif item.tag == "tr":
             rows.append([c for c in item.items if (isinstance(c, str) and c.strip()) or (isinstance(c, Node) and visible(c))])
         elif item.tag in ("tbody", "thead", "tfoot"):
-            _rows(item, rows, before)
+            todo.append(iter(item.items))
         elif item.tag not in ("col", "colgroup"):
             before.append(item)
 
@@ -284,11 +361,11 @@ def _span(cell, name: str) -> int:
     return min(1000, max(1, int(value))) if value.isdecimal() and value.isascii() else 1
 
 
-def _table(node: Node, w: Writer) -> None:
+def _table(node: Node, w: Writer) -> Part:
     rows, before = [], []
     _rows(node, rows, before)
     for item in before:  # captions, and what stands between the rows, come first
-        _flow([item], w)
+        yield _flow([item], w)
         w.newline()
     grid: list[dict[int, list[str]]] = []
     spans: list[dict[int, int]] = []
@@ -299,7 +376,7 @@ def _table(node: Node, w: Writer) -> None:
             while below.get(at, 0):
                 at += 1
             wide = _span(cell, "colspan")
-            line[at] = _lines(cell.items if isinstance(cell, Node) and cell.tag in ("td", "th") else [cell])
+            line[at] = yield _lines(cell.items if isinstance(cell, Node) and cell.tag in ("td", "th") else [cell])
             span[at] = wide
             for c in range(at, at + wide):
                 if (tall := _span(cell, "rowspan")) > 1:
@@ -336,7 +413,7 @@ def _table(node: Node, w: Writer) -> None:
     w.verbatim(out)
 
 
-def _flow(items: list, w: Writer) -> None:
+def _flow(items: list, w: Writer) -> Part:
     for item in items:
         if isinstance(item, str):
             w.text(item)
@@ -355,27 +432,29 @@ def _flow(items: list, w: Writer) -> None:
             gap = 1 if tag in PARAGRAPH and not (w.item and tag in ("ul", "ol")) else 0
             w.block(gap)
             if tag in ("ul", "ol", "menu", "dir"):
-                _list(item, w)
+                yield _list(item, w)
             elif tag == "table":
-                _table(item, w)
+                yield _table(item, w)
             elif tag == "pre":
                 text = _pre(item.items).replace("\r\n", "\n")
                 w.verbatim([x.rstrip() for x in text.removeprefix("\n").rstrip("\n").split("\n")] if text.strip() else [])
             elif tag == "hr":
                 w.verbatim(["---"])
             elif tag in ("blockquote", "dd"):
-                w.verbatim([x.rstrip() for x in _indent(_lines(item.items), "  ")])
+                w.verbatim([x.rstrip() for x in _indent((yield _lines(item.items)), "  ")])
             elif tag == "li":
-                w.verbatim([x.rstrip() for x in _indent(_lines(item.items) or [""], "- ")])
+                w.verbatim([x.rstrip() for x in _indent((yield _lines(item.items)) or [""], "- ")])
             elif tag == "details" and "open" not in item.attrs:
-                _flow([x for x in item.items if isinstance(x, Node) and x.tag == "summary"], w)
+                yield _flow([x for x in item.items if isinstance(x, Node) and x.tag == "summary"], w)
             else:
-                _flow(item.items, w)
+                yield _flow(item.items, w)
             w.block(gap)
+        elif tag in FOREIGN:
+            yield _drawn(item, w, tag == "math")
         else:
             if tag == "q":
                 w.text("“")
-            _flow(item.items, w)
+            yield _flow(item.items, w)
             if tag == "q":
                 w.text("”")
 
@@ -384,7 +463,7 @@ def render(page: str | None) -> str | None:
     """The visible text of a page."""
     if page is None:
         return None
-    lines = _lines(parse(page.replace("\0", "�")).items)
+    lines = _whole(_lines(parse(page.replace("\0", "�")).items))
     return "\n".join(lines)
 
 

@@ -99,6 +99,31 @@ def test_deep_and_long_pages():
     assert len(html_text.render('<a b="' * 3000)) == len('<a b="' * 3000)
 
 
+DRAWN = [
+    ("a<svg><title>no</title><defs><text>no</text></defs><path d='M0 0'/><g><text x=1>one <tspan>two</tspan></text><text>three</text></g></svg>b", "a one two three b"),
+    ("x <math><mi>a</mi> <mo>=</mo> <mn>2</mn><annotation>no</annotation></math> y", "x a=2 y"),
+    ("<svg><rect/><p>out</p>", "out"),
+    ("<svg><foreignObject><div>in</div></foreignObject></svg>", "in"),
+    ("<a hidden>no<a href=x>yes</a>", "yes"),
+]
+
+
+@pytest.mark.parametrize("page,text", DRAWN)
+def test_render_of_drawings_and_links(page, text):
+    assert html_text.render(page) == text
+
+
+@pytest.mark.parametrize("tag", ["div", "font", "blockquote", "custom-x"])
+def test_rules_hold_at_any_depth(tag):
+    """What is hidden below many open elements stays hidden, and end tags end their own element."""
+    for n in (10, 200, 3000):
+        deep = f"<{tag}>" * n
+        page = f"<section hidden>{deep}no</section>{deep}<div style='display:none'>no<div>no</div>no</div><ul><li>a<li>b</ul><table><tr><td>c<td>d</table>{f'</{tag}>' * n}<p>e"
+        assert html_text.render(page).split() == ["-", "a", "-", "b", "c", "d", "e"], n
+    names = "".join(f"<a name=n{i}>w{i} " for i in range(20_000))
+    assert html_text.render(names + "<i hidden>no</i>end").split() == [*(f"w{i}" for i in range(20_000)), "end"]
+
+
 def test_extract(spark):
     rows = [(i, p, "u", "t") for i, (p, _) in enumerate(PAGES)] * 2
     df = spark.createDataFrame(rows, "page_id long, html string, carry string, text string").repartition(3)
