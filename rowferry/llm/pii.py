@@ -2,7 +2,9 @@
 
 Detected are e-mail addresses, telephone numbers, payment cards, IPv4 addresses, social
 security numbers, IBANs, secrets (keys, tokens, passwords behind their name) and personal
-names behind a title. An entity is its type and its canonical form (case, spaces and
+names behind a title, and the words of such a name wherever else they stand in the same
+document with a capital (unless they stand there in lower case too, or are one letter).
+Names that no title in their document tells are not detected. An entity is its type and its canonical form (case, spaces and
 punctuation taken away where they do not count), so that one person written in two ways
 stays one.
 
@@ -63,6 +65,7 @@ _TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _GIVEN_GENDER = {n.casefold(): g for g, ns in GIVEN.items() for n in ns}
 _WORD = r"[^\W\d_]"
 _NAME = rf"(?:(?!(?:{'|'.join(_TITLE_GENDER)})\b){_WORD}+(?:[-'’]{_WORD}+)*)"
+_TOKEN = re.compile(rf"{_WORD}+(?:[-'’]{_WORD}+)*")
 PATTERN = re.compile(
     "|".join((
         r"(?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}(?![\w@-]))",
@@ -236,7 +239,25 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
                 out.append((a + w.start(), a + w.end(), f"given:{sex}:{_script(word)}", word))
             else:
                 out.append((a + w.start(), a + w.end(), f"surname:n:{_script(word)}", word))
-    return out
+    return _bare(text, out)
+
+
+def _bare(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """``found`` and, between them, the words of the names in it without their title."""
+    names: dict[str, str] = {}
+    for _, _, kind, word in found:
+        if kind.startswith(("given", "surname")) and len(word) > 1:
+            names.setdefault(word.casefold(), kind)
+    if not names:
+        return found
+    words, at = [], 0
+    for a, b in [*((a, b) for a, b, _, _ in found), (len(text), len(text))]:
+        words += [(m.start(), m.group()) for m in _TOKEN.finditer(text, at, a)]
+        at = b
+    words = [(a, w if w.casefold() in names else re.sub(r"['’][sS]$", "", w)) for a, w in words]
+    plain = {w for _, w in words if w.islower()}
+    more = [(a, a + len(w), names[w.casefold()], w) for a, w in words if w[0].isupper() and w.casefold() in names and w.lower() not in plain]
+    return sorted([*found, *more])
 
 
 def _drawn(key: bytes):

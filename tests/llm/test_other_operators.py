@@ -215,6 +215,16 @@ def test_secrets_that_have_no_other_of_their_shape(spark):
     assert len({out[10 + i]["text"] for i in range(10)} - {r[1] for r in rows}) == 10
 
 
+def test_bare_mentions_follow_the_titled_name(spark):
+    text = "Mr John Smith came. Smith's dog and JOHN slept. Smithson, a smithy. Mrs Hope Stone hopes; Hope is a hope, Stone sat."
+    out = surrogates(spark, [(1, text, 1, "k"), (2, "John Smith", 1, "k")])
+    words = out[1]["text"].replace("'s", "").replace(".", "").split()
+    assert words[4] == words[2] and words[7] == words[1].upper() and words[9:12] == ["Smithson,", "a", "smithy"]
+    assert words[16] == "Hope" and words[20] == words[14] != "Stone"
+    assert "Smith " not in out[1]["text"] and "JOHN" not in out[1]["text"] and out[1]["n_entities"] == 7
+    assert out[2]["text"] == "John Smith"
+
+
 def test_no_entities(spark):
     assert surrogates(spark, [(1, "plain", 1, "k")])[1]["text"] == "plain"
     df = spark.createDataFrame([], "doc_id long, text string")
