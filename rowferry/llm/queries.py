@@ -1,4 +1,4 @@
-"""The ten operators bound to the test tables, beside their SQL where SQL can say it."""
+"""The operators bound to the test tables, beside their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm import bpe_lexicon, embedding, fingerprint, html_text, langid, ngram_join, packing, pii, substring, token_counts
+from rowferry.llm import bpe_lexicon, embedding, filter_audit, fingerprint, html_text, langid, ngram_join, packing, pii, substring, token_counts
 from rowferry.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +67,10 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text")).select("carry.doc_id", "text", "n_entities")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard,
         op9_html_text,
         op10_pii_surrogates,
+        op12_filter_audit,
     )
 }
 
@@ -127,4 +132,37 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM documents d JOIN least ON least.a = d.doc_id LEFT JOIN sizes USING (doc_id)""",
+    "op12_filter_audit": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+judged AS (
+  SELECT part, concat(
+    CASE WHEN len(ws) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS fails,
+    coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+    coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic
+  FROM texts),
+kinds AS (SELECT part, fails, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+grid AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+met AS (
+  SELECT *, contains(fails, f) AS hit, len(before) > 0 AND len(translate(fails, before, '')) < len(fails) AS gone FROM kinds, grid),
+counted AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (hit AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted""",
 }
