@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm import bpe_lexicon, embedding, filter_audit, fingerprint, html_text, langid, ngram_join, packing, pii, substring, token_counts
+from rowferry.llm import bpe_lexicon, collocations, embedding, filter_audit, fingerprint, html_text, langid, ngram_join, packing, pii, substring, token_counts
 from rowferry.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,6 +71,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_text,
         op10_pii_surrogates,
         op12_filter_audit,
+        op13_collocations,
     )
 }
 
@@ -165,4 +170,29 @@ counted AS (
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM counted""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM split GROUP BY lang),
+sizes AS (SELECT unnest([1, 2, 3, 4]) AS m),
+starts AS (SELECT lang, ws, m, unnest(range(1, greatest(len(ws) - m + 2, 1))) AS s FROM split, sizes),
+f AS (SELECT lang, m, array_to_string(ws[s:s + m - 1], ' ') AS phrase, count(*) AS a FROM starts GROUP BY ALL HAVING count(*) >= 30),
+long AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+cuts AS (SELECT lang, phrase, a, m, ws, unnest(range(1, m)) AS k FROM long),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+  FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT b.lang, array_to_string(b.ws[s:s + t.m - 1], ' ') AS phrase, max(b.a) AS longer
+  FROM (SELECT *, unnest([1, 2, 3]) AS s FROM long WHERE m > 2) b JOIN (SELECT unnest([2, 3]) AS m) t ON t.m < b.m AND s + t.m - 1 <= b.m
+  GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
