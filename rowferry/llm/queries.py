@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm import bpe_lexicon, collocations, embedding, filter_audit, fingerprint, html_text, langid, ngram_join, packing, pii, substring, token_counts
+from rowferry.llm import bpe_lexicon, collocations, embedding, filter_audit, fingerprint, hnsw, html_text, langid, ngram_join, packing, pii, substring, token_counts
 from rowferry.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +67,11 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text")).select("carry.doc_id", "text", "n_entities")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard,
         op9_html_text,
         op10_pii_surrogates,
+        op11_nearest_neighbours,
         op12_filter_audit,
         op13_collocations,
     )
