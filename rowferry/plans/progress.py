@@ -1,18 +1,25 @@
 """The progress table: one row per finished load run, and the pointer to each table's current rows.
 
 A merge cannot overwrite the Parquet it reads, so every run writes a folder of its
-own and then appends one progress row that lists the folders holding the table now:
-the earlier ones and the new one where the run only added rows, the new one alone
-where it rewrote the table. That append is the commit: a run that dies before it
-leaves the table as it was, and the next run does the work again.
+own and then commits one progress row that names what holds the table now: the
+folders (earlier ones and the new one where the run only added rows, the new one
+alone where it rewrote the table), or the manifest of a table in keyed files. The
+row is a file that only one writer can create under its run number, so of two runs
+side by side one is refused and starts over from what the other left; a run that
+dies before its commit leaves the table as it was.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowferry.plans.commits import commit, commit_numbers, commit_path, file_system, read_text, safe_name
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, in a form the optimizer sees through: joins with it fold away."""
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
@@ -34,6 +41,13 @@ PROGRESS_SCHEMA = T.StructType(
         T.StructField("last_batch", T.LongType()),
         T.StructField("paths", T.ArrayType(T.StringType())),
         T.StructField("load_ts", T.StringType()),
+        # the folder of the manifest, for a table in keyed files
+        T.StructField("manifest", T.StringType()),
+        # the folder with the rows this run changed, where a load keeps them
+        T.StructField("changes", T.StringType()),
+        # a load by key ranges: its cuts, and how many ranges are done
+        T.StructField("cuts", T.ArrayType(T.LongType())),
+        T.StructField("ranges_done", T.LongType()),
     ]
 )
 
@@ -48,13 +62,21 @@ def open_or_create(spark: SparkSession, path: str, schema: T.StructType, *partit
     return spark.read.schema(schema).parquet(path)
 
 
+def commits_path(root: str, table_id: str) -> str:
+    return f"{progress_path(root)}/{safe_name(table_id)}"
+
+
 def load_progress(spark: SparkSession, root: str) -> DataFrame:
     """Every run so far; no rows when nothing has run."""
-    return open_or_create(spark, progress_path(root), PROGRESS_SCHEMA)
+    fs, at = file_system(spark, progress_path(root))
+    if not fs.exists(at):
+        return empty_frame(spark, PROGRESS_SCHEMA)
+    reader = spark.read.schema(PROGRESS_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    return reader.json(progress_path(root))
 
 
 def save_progress(spark: SparkSession, root: str, **values) -> None:
-    """Append one run. What is not given is 0, false or NULL."""
+    """Commit one run; ``CommitConflict`` when another writer has committed its number. What is not given is 0, false or NULL."""
     unknown = set(values) - set(PROGRESS_SCHEMA.names)
     if unknown or not values.get("table_id"):
         raise ValueError(f"a progress row needs table_id and knows no {sorted(unknown)}")
@@ -62,8 +84,7 @@ def save_progress(spark: SparkSession, root: str, **values) -> None:
     row["is_complete"] = False
     row["last_batch"] = -1
     row.update(values)
-    cells = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in PROGRESS_SCHEMA.fields]
-    spark.range(1, numPartitions=1).select(*cells).write.mode("append").parquet(progress_path(root))
+    commit(spark, commits_path(root, row["table_id"]), row["run"], json.dumps(row, default=list))
 
 
 def latest_progress(progress: DataFrame) -> DataFrame:
@@ -73,10 +94,16 @@ def latest_progress(progress: DataFrame) -> DataFrame:
     return progress.groupBy("table_id").agg(last).select("table_id", "p.*")
 
 
-def table_progress(spark: SparkSession, root: str, table_id: str) -> T.Row | None:
+def run_progress(spark: SparkSession, root: str, table_id: str, run: int) -> Row:
+    """What one run of a table committed."""
+    found = json.loads(read_text(spark, commit_path(commits_path(root, table_id), run)))
+    return Row(**{name: found.get(name) for name in PROGRESS_SCHEMA.names})
+
+
+def table_progress(spark: SparkSession, root: str, table_id: str) -> Row | None:
     """The last run of one table, or None."""
-    rows = load_progress(spark, root).where(F.col("table_id") == table_id)
-    return rows.orderBy(F.desc("run")).first()
+    runs = commit_numbers(spark, commits_path(root, table_id))
+    return run_progress(spark, root, table_id, max(runs)) if runs else None
 
 
 def is_complete(spark: SparkSession, root: str, table_id: str) -> bool:
@@ -89,7 +116,7 @@ def mark_complete(spark: SparkSession, root: str, table_id: str) -> None:
     if row is None:
         save_progress(spark, root, table_id=table_id, run=1, is_complete=True)
     elif not row["is_complete"]:
-        save_progress(spark, root, **{**row.asDict(), "run": row["run"] + 1, "is_complete": True})
+        save_progress(spark, root, **{**row.asDict(), "run": row["run"] + 1, "is_complete": True, "changes": None})
 
 
 def clear_progress(spark: SparkSession, root: str, table_id: str) -> None:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rowferry.operators.lookup import ForeignKey, LookupSpec
-from rowferry.operators.merge import KEYED_MODES, MODES
+from rowferry.operators.merge import ADDING_MODES, KEYED_MODES, MODES
+from rowferry.plans.keyed import KeyedFiles
 
 Source = Callable[[SparkSession], DataFrame]
 
@@ -23,7 +24,9 @@ class TableLoad:
     ``options`` are those of ``merge_changes``. ``lookup`` says how later loads find
     this table's ids by code; ``foreign_keys`` name the tables they look up.
     ``stage`` writes the cleaned source once before merging, for sources that
-    should be read only once.
+    should be read only once. ``files`` lays the table down in keyed files, so that a
+    merge rewrites only what it touches. ``keep_changes`` keeps the rows each run
+    changed, for loads that take only those (see ``changed_since``).
     """
 
     table_id: str
@@ -38,6 +41,8 @@ class TableLoad:
     lookup: LookupSpec | None = None
     options: Mapping[str, Any] = field(default_factory=dict)
     stage: bool = False
+    files: KeyedFiles | None = None
+    keep_changes: bool = False
     description: str = ""
 
     def __post_init__(self):
@@ -48,6 +53,12 @@ class TableLoad:
         missing = [k for k in self.keys if k not in self.schema.names]
         if missing:
             raise ValueError(f"{self.table_id}: keys {missing} are not in the target schema")
+        if self.files:
+            outside = [c for c in self.files.partition_by if c not in self.keys]
+            if outside or not self.keys:
+                raise ValueError(f"{self.table_id}: keyed files need keys, and partition columns {outside} must be among them")
+        if self.keep_changes and not self.files and self.mode not in ADDING_MODES:
+            raise ValueError(f"{self.table_id}: mode {self.mode!r} can keep its changes only in keyed files")
 
     @property
     def needs(self) -> set[str]:

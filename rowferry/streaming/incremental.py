@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from rowferry.operators.dedupe import keep_first, keep_last
 from rowferry.operators.lookup import ForeignKey, resolve_codes
 from rowferry.operators.project import conform, transform_rows
-from rowferry.plans.load import LoadResult, skipped_result, write_merge
+from rowferry.plans.load import LoadResult, retried, skipped_result, write_merge
 from rowferry.plans.progress import open_or_create, table_progress
 from rowferry.plans.spec import TableLoad
 
@@ -102,14 +102,18 @@ def merge_stream(
 
     _run_available(cleaned.writeStream.foreachBatch(write_batch), f"{root.rstrip('/')}/_checkpoint/{load.table_id}")
 
-    before = table_progress(spark, root, load.table_id)
-    pending = pending_changes(spark, root, load, before["last_batch"] if before else -1)
-    newest = pending.agg(F.max("batch_id")).first()[0]
-    if newest is None:
-        return skipped_result(load, before)
-    one_per_key = _settle(pending, load, order_by).drop("batch_id")
     settled = replace(load, options={**load.options, "source_unique": True})
-    return write_merge(spark, root, settled, one_per_key, load_ts, before, newest, counted=pending)
+
+    def merge_new() -> LoadResult:
+        before = table_progress(spark, root, load.table_id)
+        pending = pending_changes(spark, root, load, before["last_batch"] if before else -1)
+        newest = pending.agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            return skipped_result(load, before)
+        one_per_key = _settle(pending, load, order_by).drop("batch_id")
+        return write_merge(spark, root, settled, one_per_key, load_ts, before, newest, counted=pending)
+
+    return retried(merge_new)
 
 
 def _settle(pending: DataFrame, load: TableLoad, order_by: Sequence[str]) -> DataFrame:
