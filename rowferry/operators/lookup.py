@@ -107,23 +107,28 @@ def lookup_key(col: Column, dtype: T.DataType | str = "string") -> Column:
     return col.cast("string")
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether the frame carries a broadcast hint, as ``ready_lookup`` gives it."""
+    return df._jdf.logicalPlan().getClass().getSimpleName() == "ResolvedHint"
+
+
 def resolve_code(df: DataFrame, source_col: str, lookup: DataFrame | None, out_col: str) -> DataFrame:
     """Add ``out_col``: the id of the code, NULL when unknown or when there is no lookup.
 
-    Rows without a code would all meet in one partition. They get a key of their
-    own that no code equals, from a hash of the row, and so spread over all. The
-    lookup is dealt by the same marked key, which puts a shuffle right below both
-    sides of the join: the shape in which AQE splits a hot code.
+    A broadcast lookup is joined by the code alone. Otherwise rows without a code would
+    all meet in one partition: beside the code they carry the number of the task that
+    read them, which a rerun repeats and no row of the lookup has. The shuffle then
+    stands right below both sides of the join, the shape in which AQE splits a hot code.
     """
     if lookup is None:
         return df.withColumn(out_col, F.lit(None).cast("bigint"))
-    key = f"__code_{out_col}"
-    right = lookup.select(F.concat(F.lit("="), "code").alias(key), F.col("id").alias(out_col))
+    key, salt = f"__code_{out_col}", f"__salt_{out_col}"
     code = lookup_key(F.col(f"`{source_col}`"), df.schema[source_col].dataType)
-    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)])
-    none = F.concat(F.lit("-"), row.cast("string"))
-    left = df.withColumn(key, F.coalesce(F.concat(F.lit("="), code), none))
-    return left.join(right, key, "left").select(*df.columns, out_col)
+    left, right = df.withColumn(key, code), lookup.select(F.col("code").alias(key), F.col("id").alias(out_col))
+    if is_broadcast(lookup):
+        return left.join(F.broadcast(right), key, "left").select(*df.columns, out_col)
+    left = left.withColumn(salt, F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(-1))
+    return left.join(right.withColumn(salt, F.lit(-1)), [key, salt], "left").select(*df.columns, out_col)
 
 
 def resolve_codes(

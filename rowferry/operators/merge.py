@@ -9,8 +9,9 @@ Shape of every keyed merge, for a target far larger than one executor:
 * rows with a NULL key never match; they go around the joins, so they do not
   pile up in one partition;
 * the source is cut to one row per key before it is joined;
-* where the keys of both sides are unique, one target FULL OUTER JOIN source with a
-  flag on each side tells old, changed and new rows apart: both sides shuffle once;
+* where no target key can be hot (keys are unique, or the target is known to be small),
+  one target FULL OUTER JOIN source with a flag on each side tells old, changed and new
+  rows apart: both sides shuffle once;
 * a source the caller measured to be small (``broadcast_source``) is broadcast to
   a LEFT JOIN and the target is not shuffled. So is the join where target keys may
   repeat; a key that may repeat without end (target keys not declared unique,
@@ -120,6 +121,8 @@ def merge_changes(
     broadcast_source: bool = False,
     with_kept: bool = True,
     hot_rows: int = HOT_ROWS,
+    target_rows: int | None = None,
+    source_rows: int | None = None,
 ) -> DataFrame:
     """The change set of one merge.
 
@@ -130,7 +133,9 @@ def merge_changes(
     ``order_by`` the largest row by its remaining columns counts as the last.
     ``source_unique`` declares that no key repeats, which saves the dedupe;
     ``target_unique=False`` that target keys may, which collapses them first.
-    ``stamp`` is ``(column, load time)``, written on updated rows.
+    ``stamp`` is ``(column, load time)``, written on updated rows. ``target_rows`` and
+    ``source_rows``, where the caller knows them, spare the search for hot keys in a
+    side too small to have one.
     """
     if mode not in MODES:
         raise ValueError(f"unknown merge mode {mode!r}; use one of {MODES}")
@@ -182,7 +187,7 @@ def merge_changes(
         found = found.distinct()
         parts = [_tag(target, "kept")] if with_kept else []
 
-        if repeats and not broadcast_source:
+        if repeats and not broadcast_source and not _small(source_rows, hot_rows):
             parts.append(join_split(s_rows, keys, counts, found, _new_or_skipped, hot_rows))
         else:
             parts.append(_new_or_skipped(s_rows, found, keys))
@@ -192,7 +197,7 @@ def merge_changes(
         def match(rows: DataFrame, news: DataFrame, on: Sequence[str]) -> DataFrame:
             return _matched(rows, news, on, touched, condition, delete_missing, stamp, broadcast_source)
 
-        if target_unique and not broadcast_source:
+        if (target_unique or _small(target_rows, hot_rows)) and not broadcast_source:
             parts = [_matched(t_rows, s_rows, keys, touched, condition, delete_missing, stamp, False, mode)]
         else:
             if broadcast_source:
@@ -207,6 +212,11 @@ def merge_changes(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _small(n_rows: int | None, hot_rows: int) -> bool:
+    """Whether a side is known to hold too few rows for a hot key."""
+    return n_rows is not None and n_rows <= hot_rows
+
+
 def _new_or_skipped(s_rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows, told apart by whether the target holds their key, in one join."""
     flagged = s_rows.join(found.withColumn("__held", F.lit(True)), list(keys), "left")

@@ -92,7 +92,7 @@ def write_merge(
     counted = cleaned if counted is None else counted
     n_read = counted.count()
     known = held and measures_small(counted, n_read)
-    options = {"broadcast_source": bool(known), **load.options}
+    options = {"broadcast_source": bool(known), "target_rows": held, "source_rows": n_read, **load.options}
     write = _write_keyed if load.files else _write_plain
     counts, state, again = write(spark, load, cleaned, before, folder, run, options)
     ops = {k: counts[k] for k in ("inserted", "updated", "skipped", "deleted")}

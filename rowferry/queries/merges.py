@@ -201,7 +201,7 @@ def merge_composite_key(spark, d):
     early = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
     target = lines.where(early).withColumn("l_quantity", F.lit(0.0))
     source = lines.where("l_returnflag <> 'N'")
-    return merge(target, source, "upsert", LINE_KEY, order_by=["l_shipdate"], target_unique=False)
+    return merge(target, source, "upsert", LINE_KEY, order_by=["l_shipdate"], target_unique=False, target_rows=lines.count())
 
 
 @query(
