@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from rowferry.functions import Columns, full_name
 from rowferry.operators.joins import Dimension, join_dimensions
-from rowferry.operators.lookup import ForeignKey, LookupSpec
+from rowferry.operators.lookup import ForeignKey, LookupSpec, build_lookups, resolve_codes
 from rowferry.operators.project import Transform, audit_fields, custom_transformer, load_time, map_fields
 from rowferry.plans.spec import TableLoad
 
@@ -395,6 +395,52 @@ CENTER_KEYS = by_code(
 )
 
 
+# The code columns of a birth and the lookups that know them.
+BIRTH_KEYS = by_code(
+    ("REGION_CODE", "region"),
+    ("DISTRICT_CODE", "district"),
+    ("WARD_CODE", "ward"),
+    ("COUNTRY_CODE", "country"),
+    ("FACILITY_CODE", "health_facility"),
+    ("PLACE_OF_BIRTH_CODE", "place_of_birth"),
+)
+
+# Columns that may hold the code of a parent place, in the order they are asked.
+PARENT_COLUMNS = {
+    "district": {"region": ("REGION_ID", "REGION_CODE", "region_id", "region_code")},
+    "council": {"district": ("DISTRICT_ID", "DISTRICT_CODE", "district_id", "district_code")},
+    "ward": {
+        "council": ("COUNCIL_ID", "COUNCIL_CODE", "council_id", "council_code"),
+        "district": ("DISTRICT_ID", "DISTRICT_CODE", "district_id", "district_code"),
+    },
+}
+
+
+def birth_lookups(tables: Relations) -> dict[str, DataFrame | None]:
+    """The lookups of births over the target tables that are there; the others give none."""
+    return build_lookups(tables, BIRTH_LOOKUPS)
+
+
+def births_by_code(source: DataFrame, lookups: Mapping[str, DataFrame | None]) -> DataFrame:
+    """Births with the ids of their places put where the certificate transform reads them."""
+    resolved = resolve_codes(source, BIRTH_KEYS, lookups)
+    places = {"region": "REGION_BIRTH_ID", "district": "DISTRICT_BIRTH_ID", "ward": "WARD_BIRTH_ID", "country": "COUNTRY_BIRTH_ID",
+              "health_facility": "FACILITY_ID", "place_of_birth": "PLACE_OF_BIRTH_ID"}
+    return resolved.withColumns({column: F.col(f"{name}_ref") for name, column in places.items()}).drop(*(f"{name}_ref" for name in places))
+
+
+def with_parent_codes(source: DataFrame, target: str) -> DataFrame:
+    """``<parent>_any``: the first column that holds a code of the parent, of those the source has."""
+    c = Columns(source)
+    return source.withColumns({f"{parent}_any": c.first_present(*names) for parent, names in PARENT_COLUMNS[target].items()})
+
+
+def resolved_by_any_code(source: DataFrame, target: str, lookups: Mapping[str, DataFrame | None]) -> DataFrame:
+    """``<parent>_ref`` beside each parent's code; NULL where the code is unknown or the lookup is not there."""
+    keys = [ForeignKey(f"{parent}_any", parent, f"{parent}_ref") for parent in PARENT_COLUMNS[target]]
+    return resolve_codes(with_parent_codes(source, target), keys, lookups)
+
+
 def civil_plan(tables: Relations, load_ts: str, mode: str = "skip-existing") -> list[TableLoad]:
     """The nine loads in order, each after the tables whose codes it resolves."""
 

@@ -126,7 +126,7 @@ def entries_that_may_hold(spark: SparkSession, manifest: DataFrame, source_keys:
     asked = source_keys.select(*keys).withColumn(CELL, files.cell(keys)).where(F.col(CELL) != NO_KEY)
     near = asked.join(manifest, CELL).where((key >= F.col("low")) & (key <= F.col("high")))
     near = near.select(CELL, "entry", *_key_bits(keys, F.col("blocks")))
-    in_range = entries_of(near.distinct())
+    in_range = entries_of(near.select(CELL, "entry").distinct())
     if not in_range:
         return []
     schema = "block long, bits binary, entry string"

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.operators.lookup import ForeignKey, LookupSpec
 from rowferry.operators.project import custom_transformer
-from rowferry.plans.load import current_target, load_chain, load_report, load_table
+from rowferry.plans.keyed import KeyedFiles
+from rowferry.plans.load import changed_since, current_target, load_chain, load_in_ranges, load_report, load_table
 from rowferry.plans.progress import latest_progress, load_progress, progress_summary, resume_action_column
 from rowferry.plans.spec import TableLoad
 from rowferry.queries.clean import STAR_KEYS, _STAR_ORDERS_SQL, star_source, star_transform
-from rowferry.queries.merges import INSERT_IGNORE_SQL, KEY, source_orders, target_orders
+from rowferry.queries.merges import INSERT_IGNORE_SQL, KEY, LINE_KEY, UPSERT_SQL, WITH_TS, _LAST_ORDER, _one_line, source_orders, target_orders
 from rowferry.queries.registry import LOAD_TS, query, table
 from rowferry.session import work_path
 
@@ -27,8 +32,12 @@ ORDERS_SCHEMA = T.StructType(
 )
 
 
-def orders_load(source, mode: str, **options) -> TableLoad:
-    return TableLoad("orders", source, tuple(KEY), ORDERS_SCHEMA, mode=mode, options=options)
+# Buckets for the size of the test tables; a bucket of a large table should hold some million rows.
+ORDER_FILES = KeyedFiles(8)
+
+
+def orders_load(source, mode: str, files: KeyedFiles | None = None, **options) -> TableLoad:
+    return TableLoad("orders", source, tuple(KEY), ORDERS_SCHEMA, mode=mode, files=files, options=options)
 
 
 @query("load_table", INSERT_IGNORE_SQL)
@@ -161,3 +170,81 @@ def load_resume_plan(spark, d):
     asked = state.select("*", F.explode(modes).alias("mode"))
     action = resume_action_column(F.col("mode"), F.col("is_complete"), F.col("target_rows"))
     return asked.withColumn("action", action)
+
+
+@query("load_upsert_keyed", UPSERT_SQL)
+def load_upsert_keyed(spark, d):
+    """The upsert over keyed files: only entries that may hold one of today's open orders are read and replaced."""
+    root = work_path(spark, "load-keyed")
+    load_table(spark, root, orders_load(lambda s: target_orders(s, d), "insert", ORDER_FILES), LOAD_TS)
+    load_table(spark, root, orders_load(lambda s: source_orders(s, d), "upsert", ORDER_FILES, source_unique=True), LOAD_TS)
+    return current_target(spark, root, "orders", ORDERS_SCHEMA)
+
+
+@query(
+    "load_upsert_partitioned",
+    f"SELECT * REPLACE (CASE WHEN l_linenumber = 3 THEN 0.0 ELSE l_quantity END AS l_quantity) FROM ({_one_line(_LAST_ORDER)})",
+)
+def load_upsert_partitioned(spark, d):
+    """The last line of each key, then an upsert into one of seven partitions: the files of the others stay."""
+    root, lines = work_path(spark, "load-partitioned"), table(spark, d, "lineitem")
+    load = TableLoad(
+        "lineitem", lambda s: lines, tuple(LINE_KEY), lines.schema, mode="upsert",
+        files=KeyedFiles(2, ("l_linenumber",)), options={"order_by": ["l_shipdate"]},
+    )
+    load_table(spark, root, load, LOAD_TS)
+    held = current_target(spark, root, "lineitem", lines.schema)
+    news = held.where("l_linenumber = 3").withColumn("l_quantity", F.lit(0.0))
+    load_table(spark, root, replace(load, source=lambda s: news), LOAD_TS)
+    return current_target(spark, root, "lineitem", lines.schema)
+
+
+@query("load_resume_partial", "SELECT * FROM orders")
+def load_resume_partial(spark, d):
+    """A load in five ranges of the key that dies in the third; the next run does the three that are left."""
+    root, ran = work_path(spark, "load-ranges"), []
+
+    def dies_once(df):
+        ran.append(1)
+        if len(ran) == 3:
+            raise ConnectionError("the third range was lost")
+        return df
+
+    load = replace(orders_load(lambda s: table(s, d, "orders"), "upsert", ORDER_FILES, source_unique=True), transform=dies_once)
+    try:
+        load_in_ranges(spark, root, load, "o_orderkey", 5, LOAD_TS)
+    except ConnectionError:
+        load_in_ranges(spark, root, load, "o_orderkey", 5, LOAD_TS)
+    if len(ran) != 6:
+        raise AssertionError(f"{len(ran)} ranges ran, not two, one that died and three")
+    return current_target(spark, root, "orders", ORDERS_SCHEMA)
+
+
+@query("load_two_writers", "SELECT * REPLACE (o_totalprice * (2 + o_orderkey % 2) AS o_totalprice) FROM orders")
+def load_two_writers(spark, d):
+    """Two upserts of different orders at once: one commits first, the other starts over; neither is lost."""
+    root, orders = work_path(spark, "load-two"), table(spark, d, "orders")
+    load_table(spark, root, orders_load(lambda s: orders, "insert", ORDER_FILES), LOAD_TS)
+
+    def run(odd: int):
+        news = orders.where(F.col("o_orderkey") % 2 == odd).withColumn("o_totalprice", F.col("o_totalprice") * (2 + odd))
+        return load_table(spark, root, orders_load(lambda s: news, "upsert", ORDER_FILES, source_unique=True), LOAD_TS)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(inheritable_thread_target(spark)(run), (0, 1)))
+    return current_target(spark, root, "orders", ORDERS_SCHEMA)
+
+
+@query(
+    "load_changes",
+    WITH_TS + "SELECT s.o_orderkey, s.o_totalprice, CASE WHEN t.o_orderkey IS NULL THEN 'inserted' ELSE 'updated' END AS op"
+    " FROM s LEFT JOIN t ON t.o_orderkey = s.o_orderkey",
+)
+def load_changes(spark, d):
+    """What the second of two runs changed, from the changes it kept: no comparison of the whole tables."""
+    root = work_path(spark, "load-changes")
+    load_table(spark, root, orders_load(lambda s: target_orders(s, d), "insert", ORDER_FILES), LOAD_TS)
+    second = orders_load(lambda s: source_orders(s, d), "upsert", ORDER_FILES, source_unique=True)
+    second = replace(second, keep_changes=True)
+    load_table(spark, root, second, LOAD_TS)
+    return changed_since(spark, root, second, 1).select("o_orderkey", "o_totalprice", F.col("_op").alias("op"))

@@ -8,7 +8,7 @@ from rowferry.plans.load import current_target, load_table
 from rowferry.plans.spec import TableLoad
 from rowferry.queries.clean import STAR_KEYS, star_lookups
 from rowferry.queries.joins import ORDER_CODES
-from rowferry.queries.loads import ORDERS_SCHEMA, orders_load
+from rowferry.queries.loads import ORDER_FILES, ORDERS_SCHEMA, orders_load
 from rowferry.queries.merges import INSERT_IGNORE_SQL, KEY, UPSERT_SQL, target_orders
 from rowferry.queries.registry import LOAD_TS, query, table
 from rowferry.session import work_path
@@ -32,10 +32,10 @@ def stream_append(spark, d):
     return append_stream(table_stream(spark, d, "events"), root, "events", shape)
 
 
-def _stream_merge(spark, d, name, mode):
+def _stream_merge(spark, d, name, mode, files=None):
     root = work_path(spark, name)
-    load_table(spark, root, orders_load(lambda s: target_orders(s, d), "insert"), LOAD_TS)
-    load = TableLoad("orders", source=lambda s: None, keys=tuple(KEY), schema=ORDERS_SCHEMA, mode=mode)
+    load_table(spark, root, orders_load(lambda s: target_orders(s, d), "insert", files), LOAD_TS)
+    load = TableLoad("orders", source=lambda s: None, keys=tuple(KEY), schema=ORDERS_SCHEMA, mode=mode, files=files)
     for _ in range(2):
         stream = table_stream(spark, d, "orders").where("o_orderstatus <> 'F'")
         merge_stream(stream, root, load, LOAD_TS, order_by=["o_orderdate"])
@@ -47,6 +47,12 @@ def stream_upsert(spark, d):
     return _stream_merge(spark, d, "stream-upsert", "upsert")
 
 
+@query("stream_upsert_keyed", UPSERT_SQL)
+def stream_upsert_keyed(spark, d):
+    """The increment rewrites the entries that hold its keys, not the target."""
+    return _stream_merge(spark, d, "stream-keyed", "upsert", ORDER_FILES)
+
+
 @query("stream_skip_existing", INSERT_IGNORE_SQL)
 def stream_skip_existing(spark, d):
     return _stream_merge(spark, d, "stream-skip", "skip-existing")
