@@ -43,75 +43,77 @@ from rowferry.llm.common import LANES, mix, ship, written
 
 DEPTH = 4
 LEAST = 30
-BUDGET = 1 << 19
+BUDGET = 1 << 21
 MOST_BITS = 22
 TOP = 2000
 COVERED = 80
 
-BLOCK = 1 << 22
-BLOCK_WORDS = 1 << 19
-CHUNK = 1 << 22
+BLOCK = 1 << 20
+PART = 1 << 12
+CHUNK = 1 << 21
 HEAVY = -1
 # all that ends a piece becomes a full stop, all that ends a word a space
 BREAKS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"." * 10 + b" ")
 
 
-class _Ids(dict):
-    """Numbers of the words of one language; 0 is the end of a piece."""
-
-    def __init__(self, block: _Block, lang: str):
-        super().__init__({b".": 0})
-        self.block, self.nth = block, len(block.langs)
-        block.langs.append(lang)
-
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self.block.words)
-        self.block.words.append(word)
-        self.block.of.append(self.nth)
-        return at
-
-
 class _Block:
-    """Texts as numbers of words, with the words beside them."""
+    """Texts as numbers of words, with the words beside them; 0 is the end of a piece."""
 
     def __init__(self):
-        self.ids: dict[str, _Ids] = {}
-        self.langs: list[str] = []
-        self.words: list[bytes | None] = [None]
-        self.of = [0]
-        self.parts: list[np.ndarray] = []
-        self.size = 0
-
-    def numbers(self, lang: str, words: list[bytes]) -> np.ndarray:
-        ids = self.ids.get(lang)
-        if ids is None:
-            ids = self.ids[lang] = _Ids(self, lang)
-        return np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
+        self.pending: dict[str, list[bytes]] = {}  # texts not split yet, by language
+        self.split: dict[str, list[pa.Array]] = {}
+        self.waiting = self.size = 0
 
     def add(self, lang: str, text: bytes) -> None:
-        data = text.lower().translate(BREAKS).replace(b".", b" . ")  # bytes: only A-Z change
+        data = text.lower().translate(BREAKS).replace(b".", b" . ") + b" . "  # bytes: only A-Z change
         at = 0
         while at < len(data):
             cut = data.find(b" ", at + CHUNK)
             cut = len(data) if cut < 0 else cut
-            self.parts.append(self.numbers(lang, data[at:cut].split()))
-            self.size += len(self.parts[-1]) + 1
+            self.pending.setdefault(lang, []).append(data[at:cut])
+            self.waiting += cut - at
             at = cut
-        self.parts.append(np.zeros(1, np.int32))
+            if self.waiting >= CHUNK:
+                self._split()
+
+    def _split(self) -> None:
+        for lang, texts in self.pending.items():
+            words = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string())).flatten()
+            words = words.filter(pc.not_equal(words, ""))
+            self.split.setdefault(lang, []).append(words)
+            self.size += len(words)
+        self.pending, self.waiting = {}, 0
 
     def full(self) -> bool:
-        return self.size >= BLOCK or len(self.words) >= BLOCK_WORDS
+        return self.size >= BLOCK
+
+    def close(self) -> None:
+        """Number the words: ``x``, one after another; ``words``, ``langs`` and ``of``, the language of each word."""
+        self._split()
+        self.langs, parts, words, of = list(self.split), [], [pa.array([None], pa.large_string())], [np.zeros(1, np.int32)]
+        base = 1
+        for nth, lang in enumerate(self.langs):
+            coded = pa.chunked_array(self.split.pop(lang), pa.large_string()).dictionary_encode()
+            known = coded.chunk(0).dictionary
+            number = np.arange(base, base + len(known), dtype=np.int32)
+            end = pc.index(known, ".").as_py()
+            if end >= 0:
+                number[end] = 0
+            parts += [number[chunk.indices.to_numpy()] for chunk in coded.chunks]
+            words.append(known)
+            of.append(np.full(len(known), nth, np.int32))
+            base += len(known)
+        self.x = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.words, self.of = pa.concat_arrays(words), np.concatenate(of)
 
     def hashes(self) -> np.ndarray:
         """Spark's ``xxhash64(lang, word)`` of each word."""
         seeds = [xxhash.xxh64_intdigest(lang.encode(), 42) for lang in self.langs]
         out = np.zeros(len(self.words), np.uint64)
-        out[1:] = [xxhash.xxh64_intdigest(w, seeds[k]) for w, k in zip(self.words[1:], self.of[1:], strict=True)]
+        words = self.words[1:].view(pa.large_binary()).to_pylist()
+        out[1:] = [xxhash.xxh64_intdigest(w, seeds[k]) for w, k in zip(words, self.of[1:].tolist(), strict=True)]
         return out
 
-    def binary(self) -> pa.Array:
-        return pa.array(self.words, pa.binary())
-
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     block = _Block()
@@ -120,20 +122,25 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
             if text:
                 block.add(lang, text)
             if block.full():
+                block.close()
                 yield block
                 block = _Block()
-    if block.parts:
+                pa.default_memory_pool().release_unused()
+    block.close()
+    if len(block.x):
         yield block
 
 
-WORDS = pa.schema([("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64())])
+WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in _blocks(batches):
-        n = np.bincount(np.concatenate(block.parts), minlength=len(block.words))[1:]
-        langs = pa.DictionaryArray.from_arrays(pa.array(block.of[1:], pa.int32()), pa.array(block.langs, pa.string())).cast(pa.string())
-        yield pa.RecordBatch.from_arrays([langs, block.binary()[1:], pa.array(n, pa.int64())], schema=WORDS)
+        n = np.bincount(block.x, minlength=len(block.words))
+        n[0] = 0
+        some = np.nonzero(n)[0]
+        langs = pa.DictionaryArray.from_arrays(pa.array(block.of[some]), pa.array(block.langs, pa.string())).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([langs, block.words.take(pa.array(some)).cast(pa.string()), pa.array(n[some], pa.int64())], schema=WORDS)
 
 
 class Levels:
@@ -180,7 +187,7 @@ def _suffixes(block: _Block, hashes: np.ndarray, levels: Levels) -> Iterator[lis
     """The first words of each suffix, a lot at a time; 0 where it ended before."""
     known = levels.tables[0][levels.slot(hashes)] != 0
     known[0] = False
-    x = np.concatenate([*block.parts, np.zeros(DEPTH, np.int32)])
+    x = np.append(block.x, np.zeros(DEPTH, np.int32))
     x[~known[x]] = 0
     for at in range(0, len(x) - DEPTH, BLOCK):
         n = min(BLOCK, len(x) - DEPTH - at)
@@ -191,70 +198,123 @@ def _suffixes(block: _Block, hashes: np.ndarray, levels: Levels) -> Iterator[lis
         yield [c[begun] for c in columns]
 
 
+PARTS = pa.schema([("part", pa.int32()), ("totals", pa.binary())])
+
+
 def _count_slots(shared):
-    """How many suffixes of heavy slots fall on each slot of the next depth."""
+    """How many suffixes of heavy slots fall on each slot of the next depth, in runs of ``PART`` slots.
+
+    A suffix that ends there is one leaf however often it comes: it counts once a block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
-        depth = len(levels.tables)
+        levels, pack = shared.value, zstandard.ZstdCompressor(level=1).compress
+        depth, totals = len(levels.tables), np.zeros(1 << levels.bits, np.int64)
         for block in _blocks(batches):
             hashes = block.hashes()
             for columns in _suffixes(block, hashes, levels):
                 groups, h = levels.place(hashes, columns)
                 todo = np.nonzero(groups == HEAVY)[0]
-                slots = levels.slot(mix(mix(h[todo]) * LANES[0] + hashes[columns[depth][todo]]))
-                slots, n = np.unique(slots, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
+                word = columns[depth][todo]
+                slots = levels.slot(mix(mix(h[todo]) * LANES[0] + hashes[word]))
+                totals += np.bincount(slots[word > 0], minlength=len(totals))
+                totals[np.unique(slots[word == 0])] += 1
+        for part, some in enumerate(totals.reshape(-1, PART)):
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pack(some.tobytes())], pa.binary())], schema=PARTS)
 
     return run
 
 
-def _distinct(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Each leaf once, in order of its numbers, with its total."""
+def _sum_parts(rows: pa.Table) -> pa.Table:
+    unpack, total = zstandard.ZstdDecompressor().decompress, np.zeros(PART, np.int64)
+    for one in rows.column("totals"):
+        total += np.frombuffer(unpack(one.as_py()), np.int64)
+    return pa.Table.from_arrays([rows.column("part").slice(0, 1), pa.array([total.tobytes()], pa.binary())], schema=PARTS)
+
+
+def _distinct(columns: list[np.ndarray], n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Each leaf once, in order of its numbers, with its total; without ``n`` each counts 1."""
+    bits = max((int(c.max()) for c in columns if len(c)), default=0).bit_length()
+    if DEPTH * bits <= 64:  # a leaf is one number
+        shift, key = np.uint64(bits), np.zeros(len(columns[0]), np.uint64)
+        for c in columns:
+            key = key << shift | c.astype(np.uint64)
+        if n is None:
+            key, n = np.unique(key, return_counts=True)
+        else:
+            order = np.argsort(key)
+            key, n = key[order], n[order]
+            at = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0] if len(key) else order
+            key, n = key[at], np.add.reduceat(n, at) if len(at) else n
+        mask = np.uint64((1 << bits) - 1)
+        return [(key >> np.uint64(bits * (DEPTH - 1 - k)) & mask).astype(np.int32) for k in range(DEPTH)], n
+    n = np.ones(len(columns[0]), np.int64) if n is None else n
     first = columns[0].astype(np.uint64) << np.uint64(32) | columns[1].astype(np.uint64)
     second = columns[2].astype(np.uint64) << np.uint64(32) | columns[3].astype(np.uint64)
     order = np.lexsort((second, first))
     first, second = first[order], second[order]
-    at = np.nonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))[0] if len(order) else order
-    return [c[order[at]] for c in columns], np.add.reduceat(n[order], at) if len(at) else n[:0]
+    at = np.nonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))[0]
+    return [c[order[at]] for c in columns], np.add.reduceat(n[order], at)
 
 
-LEAVES = pa.schema([("group", pa.int32()), ("lang", pa.string()), ("leaves", pa.binary()), ("totals", pa.binary())])
+LEAVES = pa.schema([("group", pa.int32()), ("lang", pa.string()), ("words", pa.binary()), ("leaves", pa.binary()), ("totals", pa.binary())])
 
 
 def _spread_leaves(shared):
-    """For each group and language of a block the distinct suffixes, a line each, and their totals."""
+    """For each group and language of a block its distinct suffixes and their totals, as numbers of words that come along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, pack = shared.value, zstandard.ZstdCompressor(level=1).compress
         for block in _blocks(batches):
-            hashes, words, of = block.hashes(), block.binary(), np.array(block.of)
-            for columns in _suffixes(block, hashes, levels):
-                columns, n = _distinct(columns, np.ones(len(columns[0]), np.int64))
-                if not len(n):
-                    continue
-                groups = levels.place(hashes, columns)[0].astype(np.int64) * len(block.langs) + of[columns[0]]
-                order = np.argsort(groups, kind="stable")
-                groups, n = groups[order], n[order]
-                columns = [c[order] for c in columns]
-                starts = np.nonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))[0]
-                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(groups)], strict=True):
-                    lines = b"\n".join(_phrases(words, [c[a:b] for c in columns]).to_pylist())
-                    group, lang = divmod(int(groups[a]), len(block.langs))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([group], pa.int32()), pa.array([block.langs[lang]]), pa.array([pack(lines)], pa.binary()), pa.array([pack(n[a:b].tobytes())], pa.binary())],
-                        schema=LEAVES,
-                    )
+            hashes = block.hashes()
+            for every in _suffixes(block, hashes, levels):
+                lang_of = block.of[every[0]]
+                for nth, lang in enumerate(block.langs):
+                    columns = [c[lang_of == nth] for c in every]
+                    if not len(columns[0]):
+                        continue
+                    # numbers of the frequent words that are here: they are fewer, so leaves pack closer
+                    used = np.zeros(len(block.words), bool)
+                    for c in columns:
+                        used[c] = True
+                    used[0] = True
+                    short, long = np.cumsum(used, dtype=np.int32) - 1, np.nonzero(used)[0].astype(np.int32)
+                    columns, n = _distinct([short[c] for c in columns])
+                    groups = levels.place(hashes[long], columns)[0]
+                    order = np.argsort(groups, kind="stable")
+                    groups, n, leaves = groups[order], n[order], np.stack([c[order] for c in columns])
+                    words = block.words.take(pa.array(long)).view(pa.large_binary())
+                    starts = np.nonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))[0].tolist()
+                    number = np.zeros(len(long), np.int32)
+                    for a, b in zip(starts, [*starts[1:], len(groups)], strict=True):
+                        mine, local = _renumbered(leaves[:, a:b], number)
+                        listed = b"\n".join(words.take(pa.array(mine)).to_pylist())
+                        packed = (pack(x) for x in (listed, local.tobytes(), n[a:b].astype(np.int64).tobytes()))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([groups[a]], pa.int32()), pa.array([lang]), *(pa.array([x], pa.binary()) for x in packed)], schema=LEAVES
+                        )
 
     return run
 
 
+def _renumbered(leaves: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of some leaves, and the leaves with their places in that list from 1; ``number`` is scratch of all words."""
+    flat = leaves.ravel()
+    at = np.arange(len(flat), dtype=np.int32)
+    number[flat] = at  # the last place of each word stands for it
+    mine = flat[(number[flat] == at) & (flat > 0)]
+    number[mine] = np.arange(1, len(mine) + 1, dtype=np.int32)
+    number[0] = 0
+    return mine, number[leaves].astype(np.uint16 if len(mine) < 1 << 16 else np.uint32)
+
+
 def _phrases(words: pa.Array, columns: list[np.ndarray]) -> pa.Array:
     """Words joined by one space; 0 is none."""
-    return pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in columns), b" ", null_handling="skip")
+    return pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in columns), pa.scalar(" ", pa.large_string()), null_handling="skip")
 
 
-NODES = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("depth", pa.int32()), ("n", pa.int64())])
+NODES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("depth", pa.int32()), ("n", pa.int64())])
 
 
 class _Subtree:
@@ -262,21 +322,19 @@ class _Subtree:
 
     def __init__(self, lang: str, depth: int):
         self.lang, self.depth = lang, depth
-        self.block = _Block()
+        self.ids: dict[bytes, int] = {}
         self.held: list[tuple[list[np.ndarray], np.ndarray]] = []
-        self.size, self.most = 0, 4 * BUDGET
-
-    def add(self, lines: bytes, totals: np.ndarray) -> None:
-        x = self.block.numbers(self.lang, lines.replace(b"\n", b" . ").split())
-        end = np.append(np.nonzero(x == 0)[0], len(x))
-        start = np.append(0, end[:-1] + 1)
-        x = np.append(x, np.zeros(DEPTH, np.int32))
-        columns = [np.where(start + k < end, x[start + k], 0) for k in range(DEPTH)]
-        self.held.append((columns, totals))
+        self.size, self.most = 0, 2 * BUDGET
+
+    def add(self, words: list[bytes], leaves: bytes, totals: np.ndarray) -> None:
+        own = np.zeros(len(words) + 1, np.int32)
+        own[1:] = [self.ids.setdefault(w, len(self.ids) + 1) for w in words]
+        local = np.frombuffer(leaves, np.uint16 if len(leaves) == 2 * DEPTH * len(totals) else np.uint32)
+        self.held.append(([own[c] for c in local.reshape(DEPTH, -1)], totals))
         self.size += len(totals)
         if self.size > self.most:
             self.merge()
-            self.most = max(4 * BUDGET, 2 * self.size)
+            self.most = max(2 * BUDGET, 2 * self.size)
 
     def merge(self) -> tuple[list[np.ndarray], np.ndarray]:
         columns = [np.concatenate([c[k] for c, _ in self.held]) for k in range(DEPTH)]
@@ -286,7 +344,7 @@ class _Subtree:
 
     def nodes(self, least: int) -> Iterator[pa.RecordBatch]:
         columns, n = self.merge()
-        words = self.block.binary()
+        words = pa.array([None, *self.ids], pa.large_binary()).view(pa.large_string())
         part = np.zeros(len(n), bool)  # where a leaf leaves the path of the one before
         part[:1] = True
         for depth, column in enumerate(columns, 1):
@@ -298,7 +356,7 @@ class _Subtree:
             if len(at):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([self.lang] * len(at)), _phrases(words, [c[at] for c in columns[:depth]]).cast(pa.binary()),
+                        pa.array([self.lang] * len(at)), _phrases(words, [c[at] for c in columns[:depth]]).cast(pa.string()),
                         pa.array(np.full(len(at), depth, np.int32)), pa.array(totals),
                     ],
                     schema=NODES,
@@ -312,46 +370,46 @@ def _build(shared, least: int):
         levels, unpack = shared.value, zstandard.ZstdDecompressor().decompress
         at, tree = None, None
         for part in batches:
-            for group, lang, leaves, totals in zip(*(part.column(c).to_pylist() for c in LEAVES.names), strict=True):
+            for group, lang, words, leaves, totals in zip(*(part.column(c).to_pylist() for c in LEAVES.names), strict=True):
                 if (group, lang) != at:
                     if tree:
                         yield from tree.nodes(least)
                     at, tree = (group, lang), _Subtree(lang, levels.depth_of[group])
-                tree.add(unpack(leaves), np.frombuffer(unpack(totals), np.int64))
+                tree.add(unpack(words).split(b"\n"), unpack(leaves), np.frombuffer(unpack(totals), np.int64))
         if tree:
             yield from tree.nodes(least)
 
     return run
 
 
-def _slots(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and their totals on the driver: never more rows than slots."""
-    found = df.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    return found.column("slot").to_numpy().astype(np.int64), found.column("n").to_numpy()
-
-
 def phrase_counts(texts: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """All phrases of one to four words with ``least`` occurrences (``lang``, ``phrase``, ``depth``, ``n``), and all words of each language."""
     spark = texts.sparkSession
     ship(spark)
     rows = texts.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text")).where("octet_length(text) > 0")
-    counted = rows.mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = written(counted, "phrases-words")
     frequent = words.where(F.col("n") >= least)
     known = frequent.count()
     levels = Levels(min(MOST_BITS, max(12, (8 * known).bit_length())))
-    slot = F.shiftrightunsigned(F.xxhash64("lang", F.col("word").cast("string")), 64 - levels.bits).cast("int")
-    heavy = levels.add(*_slots(frequent.select(slot.alias("slot"), "n")), budget)
+    slot = F.shiftrightunsigned(F.xxhash64("lang", F.col("word")), 64 - levels.bits).cast("int")
+    found = frequent.groupBy(slot.alias("slot")).agg(F.sum("n").alias("n")).toArrow()  # at most all slots, once
+    heavy = levels.add(found.column("slot").to_numpy().astype(np.int64), found.column("n").to_numpy(), budget)
     while heavy:
         shared = spark.sparkContext.broadcast(levels)
-        heavy = levels.add(*_slots(rows.mapInArrow(_count_slots(shared), "slot int, n long")), budget)
+        parts = rows.mapInArrow(_count_slots(shared), "part int, totals binary").groupBy("part").applyInArrow(_sum_parts, "part int, totals binary")
+        totals = np.zeros(1 << levels.bits, np.int64)
+        for part, some in parts.collect():  # at most all slots, once
+            totals[part * PART : (part + 1) * PART] = np.frombuffer(some, np.int64)
+        slots = np.nonzero(totals)[0]
+        heavy = levels.add(slots, totals[slots], budget)
     shared = spark.sparkContext.broadcast(levels)
     groups = len(levels.depth_of)
     parts = min(groups, max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups // 64))
-    leaves = rows.mapInArrow(_spread_leaves(shared), "group int, lang string, leaves binary, totals binary")
+    leaves = rows.mapInArrow(_spread_leaves(shared), "group int, lang string, words binary, leaves binary, totals binary")
     dealt = leaves.repartitionById(parts, (F.col("group") * F.lit(parts).cast("long") / F.lit(groups)).cast("int"))
-    nodes = dealt.sortWithinPartitions("group", "lang").mapInArrow(_build(shared, least), "lang string, phrase binary, depth int, n long")
-    nodes = nodes.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "depth").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    nodes = dealt.sortWithinPartitions("group", "lang").mapInArrow(_build(shared, least), "lang string, phrase string, depth int, n long")
+    nodes = nodes.groupBy("lang", "phrase", "depth").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return written(nodes, "phrases-nodes"), words.groupBy("lang").agg(F.sum("n").alias("n"))
 
 

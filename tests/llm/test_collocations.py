@@ -105,9 +105,11 @@ def test_products_beyond_64_bits(spark):
 
 def test_slots_are_those_of_spark(spark):
     block = collocations._Block()
-    words = [b"a", "é".encode(), b"a long word of more than thirty two bytes", b"x" * 100]
+    words = ["a", "é", "a long word of more than thirty two bytes".replace(" ", "-"), "x" * 100]
     for lang in ("en", ""):
-        block.numbers(lang, words)
-    df = spark.createDataFrame([(lang, w.decode()) for lang in ("en", "") for w in words], "lang string, word string")
+        block.add(lang, "  ".join(words).encode())
+    block.close()
+    df = spark.createDataFrame([(block.langs[k], w) for k, w in zip(block.of.tolist(), block.words.to_pylist(), strict=True) if w], "lang string, word string")
     want = [r[0] for r in df.select(F.xxhash64("lang", "word")).collect()]
     assert block.hashes()[1:].view(np.int64).tolist() == want
+    assert {w for w in block.words.to_pylist() if w} == {*words, "."}
