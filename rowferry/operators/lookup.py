@@ -200,3 +200,8 @@ def ready_lookup(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFra
     path = work_path(spark, "lookup")
     lookup.write.parquet(path)
     return spark.read.schema(lookup.schema).parquet(path)
+
+
+def ready_lookups(lookups: Mapping[str, DataFrame | None]) -> dict[str, DataFrame | None]:
+    """Every lookup made ready once, for joins that run again and again, as those of a stream do."""
+    return {name: df if df is None or is_broadcast(df) else ready_lookup(df) for name, df in lookups.items()}

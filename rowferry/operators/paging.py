@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.session import work_path
-from rowferry.sources.ranges import choose_partitions
+from rowferry.sources.ranges import choose_partitions, choose_strategy
 
 STRATEGIES = ("rownum", "offset", "cursor")
 
@@ -146,7 +146,15 @@ def page(
     size: int,
     offset: int = 0,
     last: Sequence[Any] | None = None,
+    indexed: bool = False,
 ) -> DataFrame:
+    """A page by the strategy named, or for ``"auto"`` by the one advised for the table's rows.
+
+    ``indexed`` says that the order is that of the files, so that a key predicate prunes
+    the scan. A page key that is given stands for the cursor: an offset cannot follow it.
+    """
+    if strategy == "auto":
+        strategy = "cursor" if last is not None else choose_strategy(df.count(), indexed and not offset)
     validate_paging(strategy, order_by)
     if strategy == "cursor":
         return page_keyset(df, order_by, size, last)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, replace
+from graphlib import TopologicalSorter
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -321,6 +324,15 @@ def forget_old_runs(spark: SparkSession, root: str, table_id: str, keep: int = 1
     return gone
 
 
+def _load_and_look_up(spark, root, load, load_ts, lookups, looked_up) -> LoadResult:
+    """Load a table; where others look its codes up, its lookup is there afterwards."""
+    result = load_table(spark, root, load, load_ts, lookups)
+    if load.table_id in looked_up:
+        loaded = current_target(spark, root, load.table_id, load.schema)
+        lookups[load.table_id] = ready_lookup(rebuild_lookup(loaded, load.lookup))
+    return result
+
+
 def load_chain(spark: SparkSession, root: str, loads: Sequence[TableLoad], load_ts: str) -> list[LoadResult]:
     """Load tables by priority; each sees the ids of those before it. A failing group stops the rest."""
     check_plan(loads)
@@ -331,11 +343,7 @@ def load_chain(spark: SparkSession, root: str, loads: Sequence[TableLoad], load_
         failures = []
         for load in group:
             try:
-                result = load_table(spark, root, load, load_ts, lookups)
-                if load.table_id in looked_up:
-                    loaded = current_target(spark, root, load.table_id, load.schema)
-                    lookups[load.table_id] = ready_lookup(rebuild_lookup(loaded, load.lookup))
-                results.append(result)
+                results.append(_load_and_look_up(spark, root, load, load_ts, lookups, looked_up))
             except Exception as error:
                 failures.append(f"{load.table_id}: {error}")
         if failures:
@@ -343,6 +351,47 @@ def load_chain(spark: SparkSession, root: str, loads: Sequence[TableLoad], load_
     return results
 
 
+def load_graph(spark: SparkSession, root: str, loads: Sequence[TableLoad], load_ts: str, at_once: int = 3) -> list[LoadResult]:
+    """Load every table as soon as those it needs are there, up to ``at_once`` side by side.
+
+    Each load runs in a scheduler pool of its own name, so that with
+    ``spark.scheduler.mode=FAIR`` a small table does not wait behind a large one. What
+    depends on a load that failed does not run; all others do. Results come in the order given.
+    """
+    check_plan(loads)
+    by_id = {load.table_id: load for load in loads}
+    looked_up = {fk.table for load in loads for fk in load.foreign_keys}
+    lookups: dict[str, DataFrame] = {}
+    results, failures, running = {}, [], {}
+    ready = TopologicalSorter({load.table_id: load.needs for load in loads})
+    ready.prepare()
+
+    def run(load: TableLoad) -> LoadResult:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", load.table_id)
+        try:
+            return _load_and_look_up(spark, root, load, load_ts, lookups, looked_up)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        while True:
+            for name in ready.get_ready():
+                running[pool.submit(inheritable_thread_target(spark)(run), by_id[name])] = name
+            if not running:
+                break
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                if future.exception():
+                    failures.append(f"{name}: {future.exception()}")
+                else:
+                    results[name] = future.result()
+                    ready.done(name)
+    if failures:
+        left = [load.table_id for load in loads if load.table_id not in results]
+        raise LoadFailed(f"{'; '.join(failures)}; not loaded: {', '.join(left)}")
+    return [results[load.table_id] for load in loads]
+
+
 def _replace_partitions(spark: SparkSession, path: str, pending: str, partition_by: Sequence[str]) -> None:
     """Put the partitions laid down in ``pending`` in the place of the old ones; may be repeated."""
     rows = spark.read.schema(spark.read.parquet(path).schema).parquet(pending)

@@ -1,4 +1,4 @@
-from rowferry.queries import civil_loads, clean, joins, loads, merges, reports, scans, shapes, streams  # noqa: F401
+from rowferry.queries import civil_loads, clean, indexes, joins, loads, merges, reports, scans, shapes, streams  # noqa: F401
 from rowferry.queries.registry import ORACLE_SQL, QUERIES
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from rowferry.operators.lookup import ForeignKey, LookupSpec
 from rowferry.operators.project import custom_transformer
 from rowferry.plans.keyed import KeyedFiles
-from rowferry.plans.load import changed_since, current_target, load_chain, load_in_ranges, load_report, load_table
+from rowferry.plans.load import changed_since, current_target, load_chain, load_graph, load_in_ranges, load_report, load_table
 from rowferry.plans.progress import latest_progress, load_progress, progress_summary, resume_action_column
 from rowferry.plans.spec import TableLoad
 from rowferry.queries.clean import STAR_KEYS, _STAR_ORDERS_SQL, star_source, star_transform
@@ -248,3 +248,11 @@ def load_changes(spark, d):
     second = replace(second, keep_changes=True)
     load_table(spark, root, second, LOAD_TS)
     return changed_since(spark, root, second, 1).select("o_orderkey", "o_totalprice", F.col("_op").alias("op"))
+
+
+@query("load_graph", _STAR_ORDERS_SQL)
+def load_graph_query(spark, d):
+    """The chain by its dependencies: supplier and customer load side by side."""
+    root = work_path(spark, "load-graph")
+    load_graph(spark, root, chain_loads(d), LOAD_TS)
+    return current_target(spark, root, "orders", _STAR_SCHEMA)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.operators.dedupe import keep_first, keep_last
-from rowferry.operators.lookup import ForeignKey, resolve_codes
+from rowferry.operators.lookup import ForeignKey, ready_lookups, resolve_codes
 from rowferry.operators.project import conform, transform_rows
 from rowferry.plans.load import LoadResult, retried, skipped_result, write_merge
 from rowferry.plans.progress import open_or_create, table_progress
@@ -60,8 +60,8 @@ def append_stream(
 def resolve_stream(
     stream: DataFrame, keys: Sequence[ForeignKey], lookups: Mapping[str, DataFrame | None]
 ) -> DataFrame:
-    """Stream-static left joins: no state is kept."""
-    return resolve_codes(stream, keys, lookups)
+    """Stream-static left joins: no state is kept, and each lookup is made ready once for all batches."""
+    return resolve_codes(stream, keys, ready_lookups(lookups))
 
 
 def changes_path(root: str, table_id: str) -> str:
@@ -93,7 +93,7 @@ def merge_stream(
     if load.mode not in STREAM_MODES:
         raise ValueError(f"mode {load.mode!r} is not repeatable; a stream merges by one of {STREAM_MODES}")
     spark = stream.sparkSession
-    resolved = resolve_codes(stream, load.foreign_keys, lookups or {})
+    resolved = resolve_stream(stream, load.foreign_keys, lookups or {})
     cleaned = conform(transform_rows(resolved, load.transform), load.schema)
     log = changes_path(root, load.table_id)
 
