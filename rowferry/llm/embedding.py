@@ -2,12 +2,16 @@
 
 1. A rotation is learned on a bounded sample (``SAMPLE`` vectors, by hash) so that the
    signs of the rotated coordinates are balanced and lose as little as they can (ITQ).
-2. Every vector is coded. A code has ``tables`` parts of about log2(rows) bits; each part is
-   an entry of one Hamming table. A vector looks up each part and its neighbours at distance
-   one, so every pair is met whose codes differ in fewer than ``2 * tables`` bits, and most
-   of those beyond. A pair counts in the first table that meets it, so none comes twice.
-3. Pairs whose codes differ in a quarter of the bits or more leave, all others are reranked
-   with the original vectors, by cosine in double precision.
+2. Every vector is coded. A code has ``tables`` parts of ``bits`` bits; each part is an entry
+   of one Hamming table. A vector looks up each part and its neighbours at distance one. How
+   often a bit of a pair at the threshold differs follows from the length of the sample's
+   vectors without their mean: a strong common mean leaves little, and the same cosine is
+   then a wide angle. ``plan`` takes from that share the bits with the least work for the
+   rows, and as many tables as meet ``RECALL`` of such pairs, at every size. A pair counts in
+   the first table that meets it, so none comes twice.
+3. Pairs whose codes differ in more bits than a pair at the threshold does, by ``SIGMAS``
+   standard deviations, leave; all others are reranked with the original vectors, by cosine
+   in double precision.
 
 Equal vectors of a label are one class before all that, so thousands of copies are one row.
 Linked are only pairs at or above the threshold; the tables can miss a pair, see the README
@@ -35,6 +39,35 @@ from rowferry.llm.components import components
 SAMPLE = 4096
 SIMILAR = 0.98
 ROUNDS = 30
+RECALL = 0.995
+SIGMAS = 5
+LEAST_TABLES, LEAST_BITS, MOST_BITS = 4, 10, 28
+
+
+def _down(x: np.ndarray) -> np.ndarray:
+    """Vectors over a power of two each, so that their squares neither vanish nor overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True))[1])
+
+
+def flip_share(sample: np.ndarray, mean: np.ndarray) -> float:
+    """How often a bit differs between vectors at the threshold, for unit vectors like the shorter ones of the sample."""
+    left = np.quantile(np.linalg.norm(sample - mean, axis=1), 0.1) if len(sample) else 1.0
+    half = math.sqrt((1 - SIMILAR) / 2)
+    return 2 * math.asin(min(1.0, half / max(left, 1e-9))) / math.pi
+
+
+def plan(rows: int, flips: float, bits: int | None = None) -> tuple[int, int]:
+    """Bits of a part and number of tables that meet ``RECALL`` of the pairs at the threshold with the least work."""
+
+    def tables(b: int) -> int:
+        met = (1 - flips) ** b + b * flips * (1 - flips) ** (b - 1)
+        return max(LEAST_TABLES, math.ceil(math.log(1 - RECALL) / math.log(max(1e-12, 1 - met))) if met < 1 else LEAST_TABLES)
+
+    def work(b: int) -> float:  # entries asked for, and other rows met by chance
+        return tables(b) * (b + 1) * (1 + rows / 2 ** (b + 1))
+
+    best = bits or min(range(LEAST_BITS, MOST_BITS + 1), key=work)
+    return best, tables(best)
 
 
 def learn_rotation(sample: np.ndarray, bits: int, seed: int = 7, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +98,7 @@ def _code(models, bits: int, tables: int):
             for i, v in enumerate(vectors):
                 lengths.setdefault(len(v), []).append(i)
             for n, at in lengths.items():
-                x = np.array([vectors[i] for i in at], np.float64)
+                x = _down(np.array([vectors[i] for i in at], np.float64))
                 x /= np.linalg.norm(x, axis=1)[:, None]
                 if n == dim:
                     y = (x - mean) @ matrix
@@ -87,7 +120,7 @@ def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = part.column("vb").to_pylist()
         cos = np.empty(len(b))
         for i, (x, y) in enumerate(zip(a, b, strict=True)):
-            x, y = np.array(x, np.float64), np.array(y, np.float64)
+            x, y = _down(np.array(x, np.float64)), _down(np.array(y, np.float64))
             cos[i] = x @ y / math.sqrt(float(x @ x) * float(y @ y))
         keep = pa.array(cos >= SIMILAR)
         yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], names=["a", "b"])
@@ -115,13 +148,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         "embedding-classes",
     )
     n = classes.count()
-    bits = bits or max(10, min(28, math.ceil(math.log2(max(2, n)))))
-    tables = 4 if bits <= 16 else 6
     sample = classes.orderBy(F.xxhash64("c1", F.lit("itq"))).limit(SAMPLE).select("embedding").collect()
     dims = [len(r["embedding"]) for r in sample]
     dim = max(sorted(set(dims)), key=dims.count) if dims else 1
-    x = np.array([r["embedding"] for r in sample if len(r["embedding"]) == dim], np.float64) if dims else np.eye(2, 1)
+    x = _down(np.array([r["embedding"] for r in sample if len(r["embedding"]) == dim], np.float64)) if dims else np.eye(2, 1)
     x /= np.maximum(np.linalg.norm(x, axis=1), 1e-300)[:, None]
+    flips = flip_share(x, x.mean(axis=0))
+    bits, tables = plan(n, flips, bits)
+    most = bits * tables * flips + SIGMAS * math.sqrt(bits * tables * flips * (1 - flips))
     model = spark.sparkContext.broadcast((dim, *learn_rotation(x, bits * tables)))
     coded = written(classes.select("key", "part", "embedding").mapInArrow(_code(model, bits, tables), "key long, part long, code array<long>"), "embedding-codes")
 
@@ -130,13 +164,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     near = F.concat(F.array("sub"), F.transform(F.array(*(F.lit(1 << i) for i in range(bits))), lambda m: F.col("sub").bitwiseXOR(m)))
     asked = entries.select(F.col("key").alias("a"), "part", F.col("code").alias("ca"), "t", F.explode(near).alias("sub"))
     stored = entries.select(F.col("key").alias("b"), "part", F.col("code").alias("cb"), "t", "sub")
-    # bits that differ, by table
-    apart = [F.bit_count(F.col("ca")[i].bitwiseXOR(F.col("cb")[i])) for i in range(tables)]
-    first = F.lit(True)
-    for i in range(tables - 1):
-        first = first & ((F.col("t") <= i) | (apart[i] > 1))
-    close = sum(apart[1:], apart[0]) * 4 < bits * tables
-    met = asked.join(stored, ["part", "t", "sub"]).where((F.col("a") < F.col("b")) & first & close).select("a", "b")
+    # bits that differ, by table; no table before this one met the pair
+    apart = F.zip_with("ca", "cb", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    first = F.expr("forall(slice(apart, 1, t), d -> d > 1)")
+    close = F.aggregate("apart", F.lit(0), lambda s, d: s + d) <= F.lit(most)
+    met = asked.join(stored, ["part", "t", "sub"]).where("a < b").withColumn("apart", apart).where(first & close).select("a", "b")
     met = written(met, "embedding-pairs")
     held = classes.select("key", "embedding")
     pairs = met.join(held.select(F.col("key").alias("a"), F.col("embedding").alias("va")), "a")

@@ -53,6 +53,44 @@ def test_near_vectors_against_brute_force(spark):
     assert embedding.near_vectors(df.where("false")).collect() == []
 
 
+def near_pairs(rng, mean, n=400, dim=64):
+    """Pairs with a cosine just above the threshold, around a common mean."""
+    out = []
+    for _ in range(n):
+        x = mean + rng.standard_normal(dim)
+        x /= np.linalg.norm(x)
+        aside = rng.standard_normal(dim)
+        aside -= (aside @ x) * x
+        cos = rng.uniform(0.98, 0.985)
+        out += [x, cos * x + np.sqrt(1 - cos * cos) * aside / np.linalg.norm(aside)]
+    return np.array(out + [v / np.linalg.norm(v) for v in mean + rng.standard_normal((n, dim))])
+
+
+@pytest.mark.parametrize("mean", [0, 2, 3, 4])
+@pytest.mark.parametrize("bits", [None, 17])  # as for this table, and as for one of a hundred thousand rows
+def test_recall_does_not_fall_with_a_common_mean_or_with_size(spark, mean, bits):
+    x = near_pairs(np.random.default_rng(mean), mean)
+    want = (x @ x.T >= 0.98).sum() - len(x)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = embedding.near_vectors(df, bits=bits)
+    assert sum(r["n_links"] for r in found.collect()) >= 0.97 * want >= 700
+
+
+def test_plan_of_tables():
+    assert embedding.plan(50_000, 0.064)[1] <= 6
+    for rows in (10**3, 10**6, 10**9):
+        for flips in (0.01, 0.064, 0.15, 0.27):
+            bits, tables = embedding.plan(rows, flips)
+            met = (1 - flips) ** bits + bits * flips * (1 - flips) ** (bits - 1)
+            assert 1 - (1 - met) ** tables >= embedding.RECALL
+
+
+def test_huge_and_tiny_vectors_link(spark):
+    rows = [(1, [1e200, 2e200], 1), (2, [1e-200, 2e-200], 1), (3, [1.0, 2.0], 1), (4, [-1e200, 2e200], 1)]
+    found = embedding.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 def test_rotation_balances_bits():
     rng = np.random.default_rng(8)
     x = rng.standard_normal((500, 16)) * np.linspace(3, 0.3, 16)
