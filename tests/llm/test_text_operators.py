@@ -335,3 +335,14 @@ def test_public_tokenizers_stay_outside():
         assert not os.path.abspath(path).startswith(os.path.dirname(os.path.dirname(os.path.abspath(packing.__file__))))
         with open(path, encoding="utf-8") as f:
             assert json.load(f)["model"]["type"] == "BPE"
+
+
+def test_frequent_words_are_cut_by_a_filter(spark):
+    rows = [(f"w{i}".encode(), n) for i, n in enumerate([1000, 900, 500, 100, 90, *[7] * 200, *[1] * 5000])]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    take = lambda n: sorted(r["n"] for r in bpe_lexicon.frequent_words(counts, n).collect())
+    assert take(3) == [500, 900, 1000]
+    assert take(205) == sorted([1000, 900, 500, 100, 90, *[7] * 200])
+    assert 80 <= len(take(105)) <= 130 and set(take(105)) == {1000, 900, 500, 100, 90, 7}
+    assert 1100 <= len(take(1205)) <= 1300
+    assert len(take(10_000)) == len(rows) and bpe_lexicon.frequent_words(counts.limit(0), 5).collect() == []
