@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowferry.operators.dedupe import keep_last
 from rowferry.operators.lookup import measures_small, ready_lookup, rebuild_lookup, resolve_codes
 from rowferry.operators.merge import ADDING_MODES, KEYED_MODES, live_rows, merge, merge_changes, observed
 from rowferry.operators.project import conform, transform_rows
@@ -99,7 +100,8 @@ def write_merge(
     write = _write_keyed if load.files else _write_plain
     counts, state, again = write(spark, load, cleaned, before, folder, run, options)
     ops = {k: counts[k] for k in ("inserted", "updated", "skipped", "deleted")}
-    values = {"table_id": load.table_id, "mode": load.mode, "read_rows": n_read, "is_complete": True, "load_ts": load_ts, **ops, **progress}
+    values = {"table_id": load.table_id, "mode": load.mode, "read_rows": n_read, "is_complete": True, "load_ts": load_ts, **ops}
+    values |= {"seen_run": (before and before["seen_run"]) or 0, **progress}
     while True:
         try:
             save_progress(spark, root, run=run, last_batch=last_batch, **values, **state)
@@ -299,6 +301,40 @@ def changed_since(spark: SparkSession, root: str, load: TableLoad, run: int) ->
     return out
 
 
+def load_from_changes(
+    spark: SparkSession,
+    root: str,
+    load: TableLoad,
+    upstream: TableLoad,
+    load_ts: str,
+    lookups: Mapping[str, DataFrame | None] | None = None,
+) -> LoadResult:
+    """Merge into one table what another's runs inserted or updated since this one last looked.
+
+    The source is the change feed of ``upstream`` (which must ``keep_changes``), cut to the
+    last change of each key; ``load.source`` is not read. Rows that were deleted upstream
+    stay here. The run that was taken in is committed with the merge, so a run that dies
+    takes the same changes again.
+    """
+
+    def once() -> LoadResult:
+        before, newest = (table_progress(spark, root, one.table_id) for one in (load, upstream))
+        seen = (before and before["seen_run"]) or 0
+        if newest is None or newest["run"] <= seen:
+            return skipped_result(load, before)
+        changed = changed_since(spark, root, upstream, seen).where(F.col("_run") <= newest["run"])
+        keys, whole = list(upstream.keys), F.lit(True)
+        for key in keys:
+            whole = whole & F.col(key).isNotNull()
+        last = keep_last(changed.where(whole), keys, ["_run"]).unionByName(changed.where(~whole))
+        rows = last.where("_op <> 'deleted'").select(*upstream.schema.names)
+        resolved = resolve_codes(rows, load.foreign_keys, lookups or {})
+        cleaned = conform(transform_rows(resolved, load.transform), load.schema)
+        return write_merge(spark, root, load, cleaned, load_ts, before, seen_run=newest["run"])
+
+    return retried(once)
+
+
 def forget_old_runs(spark: SparkSession, root: str, table_id: str, keep: int = 1, older_than_s: int = 7 * 24 * 3600) -> list[str]:
     """Delete run folders that none of the last ``keep`` runs needs; gives those deleted.
 

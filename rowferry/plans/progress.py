@@ -48,6 +48,8 @@ PROGRESS_SCHEMA = T.StructType(
         # a load by key ranges: its cuts, and how many ranges are done
         T.StructField("cuts", T.ArrayType(T.LongType())),
         T.StructField("ranges_done", T.LongType()),
+        # the last run of the table this one follows whose changes it has taken in
+        T.StructField("seen_run", T.LongType()),
     ]
 )
 

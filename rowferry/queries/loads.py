@@ -12,7 +12,16 @@ from pyspark.sql import types as T
 from rowferry.operators.lookup import ForeignKey, LookupSpec
 from rowferry.operators.project import custom_transformer
 from rowferry.plans.keyed import KeyedFiles
-from rowferry.plans.load import changed_since, current_target, load_chain, load_graph, load_in_ranges, load_report, load_table
+from rowferry.plans.load import (
+    changed_since,
+    current_target,
+    load_chain,
+    load_from_changes,
+    load_graph,
+    load_in_ranges,
+    load_report,
+    load_table,
+)
 from rowferry.plans.progress import latest_progress, load_progress, progress_summary, resume_action_column
 from rowferry.plans.spec import TableLoad
 from rowferry.queries.clean import STAR_KEYS, _STAR_ORDERS_SQL, star_source, star_transform
@@ -256,3 +265,22 @@ def load_graph_query(spark, d):
     root = work_path(spark, "load-graph")
     load_graph(spark, root, chain_loads(d), LOAD_TS)
     return current_target(spark, root, "orders", _STAR_SCHEMA)
+
+
+_DOUBLED = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("doubled", T.DoubleType())])
+
+
+@query("load_follow_changes", f"SELECT o_orderkey, o_totalprice * 2 AS doubled FROM ({UPSERT_SQL})")
+def load_follow_changes(spark, d):
+    """A table that follows another: its second run reads what the other's second run changed, and nothing else."""
+    root = work_path(spark, "load-follow")
+    orders = [
+        replace(orders_load(lambda s: target_orders(s, d), "insert", ORDER_FILES), keep_changes=True),
+        replace(orders_load(lambda s: source_orders(s, d), "upsert", ORDER_FILES, source_unique=True), keep_changes=True),
+    ]
+    double = lambda df: df.select("o_orderkey", (F.col("o_totalprice") * 2).alias("doubled"))
+    follower = TableLoad("doubled", lambda s: None, tuple(KEY), _DOUBLED, double, "upsert", files=ORDER_FILES, options={"source_unique": True})
+    for load in orders:
+        load_table(spark, root, load, LOAD_TS)
+        load_from_changes(spark, root, follower, load, LOAD_TS)
+    return current_target(spark, root, "doubled", _DOUBLED)

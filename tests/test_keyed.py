@@ -12,7 +12,7 @@ from rowferry.plans import keyed
 from rowferry.plans import load as load_module
 from rowferry.plans.commits import CommitConflict, commit, commit_numbers
 from rowferry.plans.keyed import KeyedFiles
-from rowferry.plans.load import changed_since, current_target, forget_old_runs, load_in_ranges, load_table, write_merge
+from rowferry.plans.load import changed_since, current_target, forget_old_runs, load_from_changes, load_in_ranges, load_table, write_merge
 from rowferry.plans.progress import table_progress
 from rowferry.plans.spec import TableLoad
 
@@ -269,3 +269,24 @@ def test_layouts_are_not_mixed(spark, root):
         load_table(spark, root, load([(1, "p", "a", 1)], "upsert", KeyedFiles(6)), TS)
     with pytest.raises(ValueError, match="must be among them"):
         load([], "upsert", KeyedFiles(2, ("v",)))
+
+
+def test_a_table_that_follows_another_reads_only_its_changes(spark, root):
+    def upstream(data, mode):
+        return load(data, mode, keep_changes=True, **({"delete_missing": True} if mode == "sync" else {}))
+
+    follower = replace(load([], "upsert"), table_id="f", transform=lambda df: df.withColumn("v", F.upper("v")))
+    assert load_from_changes(spark, root, follower, upstream([], "insert"), TS).action == "skip"
+    first = upstream([(k, "p", "old", k) for k in range(30)] + [(None, "p", "old", 0)], "insert")
+    load_table(spark, root, first, TS)
+    assert load_from_changes(spark, root, follower, first, TS).read == 31
+    second = upstream([(1, "p", "new", 1), (2, "p", "new", 2)], "upsert")
+    load_table(spark, root, second, TS)
+    load_table(spark, root, upstream([(2, "p", "newer", 2), (50, "p", "newer", 5)], "upsert"), TS)
+    result = load_from_changes(spark, root, follower, second, TS)
+    assert (result.read, result.updated, result.inserted) == (3, 2, 1)
+    held = {r["a"]: r["v"] for r in current_target(spark, root, "f", _SCHEMA).collect()}
+    assert (held[1], held[2], held[50], held[3], len(held)) == ("NEW", "NEWER", "NEWER", "OLD", 32)
+    assert load_from_changes(spark, root, follower, second, TS).action == "skip"
+    load_table(spark, root, replace(follower, source=lambda s: frame(s, [(3, "p", "corrected", 3)])), TS)
+    assert load_from_changes(spark, root, follower, second, TS).action == "skip", "a load in between forgets nothing"
