@@ -15,12 +15,19 @@ of Jaccard similarity 0.8 or more differ in at most ``(|A| + |B|) / 9`` shingles
 * Prefilter: of a linked set at least 0.8 of the shingles stand in another document. A
   count-min sketch over a fixed part of all shingles counts too high only, so sets with too
   many lone shingles have no link and leave before the join.
-* Equal sets become one class first. In each group of equal chunks the members are compared
-  with the smallest one (the hub), not with each other. Two members whose links do not yet
-  connect them are compared in blocks below their hub, unless their distances to it differ
-  by more than 0.2: Jaccard distance is a metric, so such a pair has no link. Blocks return
-  links that join, not pairs.
-* Every comparison is exact over the shingle sets.
+* Equal sets become one class first. A group of equal chunks is known by its smallest member
+  (the hub). Each class is compared exactly with the first hub it meets, and with that one only;
+  what links has one label from then on.
+* Bit sketches: each class also has ``2^j`` bits, nine or more for each shingle that a linked set
+  may differ in, and a shingle flips one of them. The Hamming distance is no more than the
+  symmetric difference, so a linked pair has ``9 * distance <= |A| + |B|``. Halves of a longer
+  sketch are XORed until both are of one length.
+* Where members of one hub still have different labels, those outside its largest label are
+  compared with the others by their bit sketches, in blocks. A group all of whose members met
+  one earlier hub is not looked at again. Pairs that pass are compared exactly: first the nearest
+  few of each class and label, then, with the labels these leave, all pairs that still differ.
+  So no link between different labels is lost, and most pairs are never built.
+* Every link is verified over the whole shingle sets (of 64-bit hashes).
 
 Defined cases: null and empty texts, and texts of white space, have an empty set and link
 with nothing; fewer words than five make one shingle; repeated rows link as equal
@@ -45,9 +52,9 @@ WORDS = 5
 SAME = 80  # links need 100 * intersection >= SAME * union
 PART = np.uint64(int(0.3 * 2**64))  # the part of all shingle hashes that is sketched
 FLUSH = 1 << 21
-REACH = (100 - SAME) / 100 + 1e-9  # linked sets differ by no more in their distance to a third
-UNIT = 128  # unsettled members to a block
-OTHERS = 256  # members that a block is compared with at once
+OTHERS = 256  # sets that are compared with a hub's at once
+UNIT, SKETCHES = 1024, 2048  # bit sketches of a block: those that ask, and those asked
+NEAREST = 3  # pairs of a class and a label that are verified before the labels are taken anew
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -162,111 +169,149 @@ class _Sets:
         return np.bincount(self.owner[at], minlength=len(self.n))
 
 
-STARS = "hub long, key long, apart double, linked boolean"
-STAR = pa.schema([("hub", pa.int64()), ("key", pa.int64()), ("apart", pa.float64()), ("linked", pa.bool_())])
+def bit_sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the shingles over 2^j places, in words of 64 bits; j follows from the size."""
+    j = max(6, len(s).bit_length() + 1)
+    place = mix(s ^ LANES[0]) >> np.uint64(64 - j)
+    flags = (np.bincount(place.astype(np.int64), minlength=1 << j) & 1).astype(np.uint8)
+    return np.packbits(flags).view(np.uint64)
+
+
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (one a row) of ``words`` words: neighbouring places become one, so a distance can only fall."""
+    while sketches.shape[1] > words:
+        bits = np.unpackbits(sketches.view(np.uint8), axis=1)
+        sketches = np.packbits(bits[:, ::2] ^ bits[:, 1::2], axis=1).view(np.uint64)
+    return sketches
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in batches:
+        sets = [np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([bit_sketch(s).tobytes() for s in sets], pa.binary())],
+            names=["key", "n", "bits"],
+        )
+
+
+LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _star(members: pa.Table, head: pa.Table) -> pa.Table:
-    """How far each member is from the hub."""
+    """The members that link with the hub."""
     if not members.num_rows or not head.num_rows:
-        return STAR.empty_table()
+        return LINK.empty_table()
     s = np.frombuffer(head.column("hub_shingles")[0].as_py(), np.uint64)
     others = _Sets(members.column("shingles").to_pylist())
     both = others.overlap(s)
-    union = others.n + len(s) - both
-    return pa.Table.from_arrays(
-        [members.column("hub"), members.column("key"), pa.array(1 - both / union), pa.array(100 * both >= SAME * union)], schema=STAR
-    )
-
-
-def _below(group: pa.Table) -> pa.Table:
-    """Links between members of one hub whose components differ; enough of them to join, not all."""
-    unit = np.array(group.column("unit").to_pylist(), bool)
-    keys = np.array(group.column("key").to_pylist(), np.int64)
-    comp = np.array(group.column("label").to_pylist(), np.int64)
-    apart = np.array(group.column("apart").to_pylist())
-    blobs = group.column("shingles").to_pylist()
-    rest = np.nonzero(~unit)[0]
-    out: list[tuple[int, int]] = []
-    if unit.any() and len(rest):
-        others = _Sets([blobs[i] for i in rest])
-        for i in np.nonzero(unit)[0]:
-            s = np.frombuffer(blobs[i], np.uint64)
-            near = (comp[rest] != comp[i]) & (np.abs(apart[rest] - apart[i]) <= REACH)
-            if not near.any():
-                continue
-            both = others.overlap(s)
-            hit = np.nonzero(near & (100 * both >= SAME * (others.n + len(s) - both)))[0]
-            # one link into each component will do
-            for c in np.unique(comp[rest[hit]], return_index=True)[1]:
-                out.append((int(keys[i]), int(keys[rest[hit[c]]])))
-    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+    linked = 100 * both >= SAME * (others.n + len(s) - both)
+    return pa.Table.from_arrays([members.column("hub").filter(pa.array(linked)), members.column("key").filter(pa.array(linked))], schema=LINK)
+
+
+def _near(nearest: int | None):
+    """Pairs of one block whose labels differ and whose sketches allow a link; ``nearest`` of each asking class and label, or all."""
+
+    def run(group: pa.Table) -> pa.Table:
+        unit = np.array(group.column("unit").to_pylist(), bool)
+        keys, label, n = (np.array(group.column(c).to_pylist(), np.int64) for c in ("key", "label", "n"))
+        blobs = group.column("bits").to_pylist()
+        words = np.array([len(b) // 8 for b in blobs])
+        out: list[np.ndarray] = []
+        # sets of a linked pair differ by less than half, so their sketches are of one length or of two next to each other
+        for width in np.unique(words[unit]):
+            asking = np.nonzero(unit & (words == width))[0]
+            for size in (width // 2, width, 2 * width):
+                asked = np.nonzero(~unit & (words == size))[0]
+                if not len(asked):
+                    continue
+                common = int(min(width, size))
+                ours = folded(np.frombuffer(b"".join(blobs[i] for i in asking), np.uint64).reshape(-1, width), common)
+                theirs = folded(np.frombuffer(b"".join(blobs[i] for i in asked), np.uint64).reshape(-1, size), common)
+                for i, bits in zip(asking, ours, strict=True):
+                    may = np.nonzero(label[asked] != label[i])[0]
+                    far = np.bitwise_count(theirs[may] ^ bits).sum(axis=1, dtype=np.int64)
+                    fits = (100 + SAME) * far <= (100 - SAME) * (n[asked[may]] + n[i])
+                    to, far = asked[may[fits]], far[fits]
+                    if nearest is not None and len(to) > nearest:
+                        order = np.lexsort((keys[to], far, label[to]))
+                        lab = label[to][order]
+                        first = np.searchsorted(lab, lab)
+                        to = to[order[np.arange(len(lab)) - first < nearest]]
+                    if len(to):
+                        out.append(np.stack([np.full(len(to), keys[i]), keys[to]]))
+        found = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.Table.from_arrays([pa.array(found.min(axis=0)), pa.array(found.max(axis=0))], schema=LINK)
 
+    return run
 
-def links_between(sets: DataFrame) -> DataFrame:
-    """``(key, shingles)``, one row a class, to links ``(a, b)`` that connect what similarity connects."""
-    sigs = written(sets.mapInArrow(_emit, "sig long, key long"), "ngram-signatures")
-    hubs = written(sigs.groupBy("sig").agg(F.min("key").alias("hub"), F.count("*").alias("n")).where("n > 1").select("sig", "hub"), "ngram-hubs")
-    pairs = written(sigs.join(hubs, "sig").where("key <> hub").select("hub", "key").distinct(), "ngram-pairs")
 
-    # against the hub: one copy of each member's set for each hub, in blocks
-    sizes = written(pairs.groupBy("hub").agg(F.ceil(F.count("*") / OTHERS).cast("int").alias("blocks")), "ngram-sizes")
+def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """The pairs ``(hub, key)`` that link. A set is fetched once for each pair, the hub's once for each block of its members."""
+    sizes = written(pairs.groupBy("hub").agg(F.ceil(F.count("*") / OTHERS).cast("int").alias("blocks")), f"{name}-sizes")
     heads = (
         sizes.join(sets.withColumnRenamed("key", "hub"), "hub")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("hub", "block", "blocks", F.col("shingles").alias("hub_shingles"))
+        .select("hub", "block", F.col("shingles").alias("hub_shingles"))
     )
     dealt = pairs.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     dealt = dealt.join(sets, "key").select("hub", "block", "key", "shingles")
-    stars = (
-        dealt.groupBy("hub", "block")
-        .cogroup(heads.select("hub", "block", "hub_shingles").groupBy("hub", "block"))
-        .applyInArrow(_star, STARS)
-    )
-    stars = written(stars, "ngram-stars")
-    first = stars.where("linked").select(F.col("hub").alias("a"), F.col("key").alias("b"))
-    labels = components(first, "ngram-first")
+    links = dealt.groupBy("hub", "block").cogroup(heads.groupBy("hub", "block")).applyInArrow(_star, "a long, b long")
+    return written(links, f"{name}-links")
+
 
-    # members of one hub that are still apart; a pair is compared below the first hub they share
-    members = stars.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    members = members.join(stars.groupBy("key").agg(F.min("hub").alias("first")), "key")
-    members = written(members.select("hub", "key", "apart", "label", "first"), "ngram-members")
+def _unsettled(met: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: int | None, name: str) -> DataFrame:
+    """Pairs that share a hub, differ in their labels and may link by their sketches.
+
+    ``met`` has a row for each class with the hubs it meets. Two classes with one first hub are compared below
+    that one, so below a later hub neither the members of one label nor those of one first hub need it.
+    """
+    one = met.join(labels.withColumnRenamed("node", "key"), "key", "left")
+    rows = one.select(F.explode("hubs").alias("hub"), "key", "first", F.coalesce("label", "key").alias("label"))
+    sums = rows.groupBy("hub").agg(
+        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("first").alias("lo_first"), F.max("first").alias("hi_first")
+    )
+    open_ = sums.where("lo <> hi and (lo_first <> hi_first or lo_first = hub)").select("hub", "n")
+    rows = written(rows.join(open_, "hub"), f"{name}-open")
 
     def largest(by: str, part: DataFrame) -> DataFrame:
-        groups = part.groupBy("hub", by).agg(F.count("*").alias("n"))
-        return groups.groupBy("hub").agg(F.max(F.struct("n", by)).alias("m")).select("hub", F.col("m.n").alias(f"n_{by}"), F.col(f"m.{by}").alias(f"main_{by}"))
-
-    # the base of a hub needs no comparison within: one component, or all compared below one earlier hub
-    sizes = members.groupBy("hub").agg(F.count("*").alias("n"))
-    sizes = sizes.join(largest("label", members), "hub").join(largest("first", members.where("first <> hub")), "hub", "left")
-    sizes = sizes.withColumn("settled", F.greatest("n_label", F.coalesce("n_first", F.lit(0)))).where("n > settled")
-    counts = sizes.select(
+        groups = part.groupBy("hub", by).agg(F.count("*").alias("m"))
+        return groups.groupBy("hub").agg(F.max(F.struct("m", by)).alias("m")).select("hub", F.col("m.m").alias(f"n_{by}"), F.col(f"m.{by}").alias(f"main_{by}"))
+
+    main = largest("label", rows).join(largest("first", rows.where("first <> hub")), "hub", "left")
+    main = main.join(rows.select("hub", "n").distinct(), "hub")
+    settled = F.greatest("n_label", F.coalesce("n_first", F.lit(0)))
+    main = main.select(
         "hub", "main_label", F.when(F.col("n_first") > F.col("n_label"), F.col("main_first")).alias("main_first"),
-        F.ceil((F.col("n") - F.col("settled")) / UNIT).cast("int").alias("units"), F.ceil(F.col("n") / OTHERS).cast("int").alias("rests"),
+        F.greatest(F.lit(1), F.ceil((F.col("n") - settled) / UNIT)).cast("int").alias("units"), F.ceil(F.col("n") / SKETCHES).cast("int").alias("rests"),
     )
-    counts = written(counts, "ngram-open")
-    rows = members.join(counts, "hub")
+    rows = rows.drop("n").join(written(main, f"{name}-main"), "hub")
     base = F.when(F.col("main_first").isNotNull(), F.col("first") == F.col("main_first")).otherwise(F.col("label") == F.col("main_label"))
-    # who is not in the base tells who else need come: nobody compared with all of them before, nobody too far from them
-    asking = rows.where(~base).groupBy("hub").agg(
-        F.min("first").alias("lo_first"), F.max("first").alias("hi_first"), F.min("label").alias("lo_label"), F.max("label").alias("hi_label"),
-        (F.min("apart") - REACH).alias("nearest"), (F.max("apart") + REACH).alias("farthest"),
-    )
-    asking = written(asking, "ngram-asking")
-    known = (F.col("lo_first") == F.col("hi_first")) & (F.col("lo_first") != F.col("hub")) & (F.col("first") == F.col("lo_first"))
-    known = known | ((F.col("lo_label") == F.col("hi_label")) & (F.col("label") == F.col("lo_label")))
-    asked = rows.join(asking, "hub").where(~known & F.col("apart").between(F.col("nearest"), F.col("farthest")))
-    one = rows.where(~base).select(
-        "hub", "key", "apart", "label", F.lit(True).alias("unit"),
+    units = rows.where(~base).select(
+        "hub", "key", "label", F.lit(True).alias("unit"),
         F.pmod(F.xxhash64("key"), "units").cast("int").alias("u"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("r"),
     )
-    other = asked.select(
-        "hub", "key", "apart", "label", F.lit(False).alias("unit"),
+    others = rows.select(
+        "hub", "key", "label", F.lit(False).alias("unit"),
         F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("u"), F.pmod(F.xxhash64("key"), "rests").cast("int").alias("r"),
     )
-    blocks = one.union(other).join(sets, "key")
-    second = blocks.groupBy("hub", "u", "r").applyInArrow(_below, "a long, b long")
-    return first.union(second)
+    blocks = units.union(others).join(sketches, "key")
+    near = blocks.groupBy("hub", "u", "r").applyInArrow(_near(nearest), "a long, b long")
+    return written(near.distinct().select(F.col("a").alias("hub"), F.col("b").alias("key")), f"{name}-near")
+
+
+def links_between(sets: DataFrame) -> DataFrame:
+    """``(key, shingles)``, one row a class, to links ``(a, b)`` that connect what similarity connects."""
+    sigs = written(sets.mapInArrow(_emit, "sig long, key long"), "ngram-signatures")
+    hubs = written(sigs.groupBy("sig").agg(F.min("key").alias("hub"), F.count("*").alias("n")).where("n > 1").select("sig", "hub"), "ngram-hubs")
+    met = sigs.join(hubs, "sig").groupBy("key").agg(F.collect_set("hub").alias("hubs"))
+    met = written(met.withColumn("first", F.array_min("hubs")), "ngram-met")
+    links = _verified(met.where("first <> key").select(F.col("first").alias("hub"), "key"), sets, "ngram-first")
+    sketches = written(sets.join(met.select("key"), "key", "left_semi").mapInArrow(_sketches, "key long, n long, bits binary"), "ngram-sketches")
+    for name, nearest in (("ngram-few", NEAREST), ("ngram-rest", None)):
+        labels = components(links, f"{name}-labels")
+        pairs = _unsettled(met, labels, sketches, nearest, name)
+        links = links.union(_verified(pairs, sets, name))
+    return links
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = countmin.BITS) -> DataFrame:

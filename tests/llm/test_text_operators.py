@@ -147,6 +147,49 @@ def test_chains_of_near_copies(spark):
     assert 1 < len({r[2] for r in have}) < 150
 
 
+def near_copies(n, seed=11):
+    """Copies of one text with up to a fourth of its words changed: many link with some copies and not with others."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.choice((1, 1, 2, 2, 3, 4, 5, 8))):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en", 1, "c", 2))
+    return rows
+
+
+def test_compared_pairs_grow_with_the_copies_not_with_their_square(spark, monkeypatch):
+    seen = []
+    verified = ngram_join._verified
+
+    def counted(pairs, sets, name):
+        seen[-1] += pairs.count()
+        return verified(pairs, sets, name)
+
+    monkeypatch.setattr(ngram_join, "_verified", counted)
+    for n in (100, 400):
+        rows = near_copies(n)
+        seen.append(0)
+        have = sorted((tuple(r) for r in ngram_join.similar_documents(frame(spark, rows), bits=BITS).collect()), key=str)
+        assert have == brute_similar(rows)
+    assert seen[1] <= 5 * seen[0]
+
+
+def test_bit_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 3000))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(len(a) * rng.uniform(0.4, 1))], rng.integers(0, 2**63, int(rng.integers(0, 300))).astype(np.uint64)]))
+        x, y = (ngram_join.bit_sketch(s).reshape(1, -1) for s in (a, b))
+        words = min(x.shape[1], y.shape[1])
+        far = int(np.bitwise_count(ngram_join.folded(x, words) ^ ngram_join.folded(y, words)).sum())
+        assert far <= len(np.setxor1d(a, b))
+        if words > 1 and 9 * len(np.setxor1d(a, b)) > 2 * (len(a) + len(b)):
+            assert 9 * far > len(a) + len(b)  # twice the difference a link may have is told apart
+
+
 def test_texts_of_one_id_keep_their_links(spark):
     """Each row of a repeated id has the component of its own text."""
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
