@@ -56,12 +56,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of similar documents one row stays, with the smallest id; repeated rows and null ids are rows like others."""
     rows = _numbered(docs)
     found = ngram_join.similar_documents(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
-    found = written(rows.select("row", "doc_id").join(found, "row"), "pipeline-components")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    groups = found.groupBy("component_id").agg(F.min(order).alias("least"), F.count("*").alias("n")).where("n > 1")
-    stay = groups.select(F.col("least.row").alias("row"))
-    gone = found.join(groups.select("component_id"), "component_id").join(stay, "row", "left_anti")
-    return rows.join(gone.select("row"), "row", "left_anti").select(*docs.columns)
+    stay = rows.select("row", "doc_id").join(found, "row").groupBy("component_id").agg(F.min(order)["row"].alias("row"))
+    return rows.join(stay, "row", "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
