@@ -25,7 +25,8 @@ of Jaccard similarity 0.8 or more differ in at most ``(|A| + |B|) / 9`` shingles
 * Where members of one hub still have different labels, those outside its largest label are
   compared with the others by their bit sketches, in blocks. A group all of whose members met
   one earlier hub is not looked at again. Pairs that pass are compared exactly: first the nearest
-  few of each class and label, then, with the labels these leave, all pairs that still differ.
+  few of each class, then of each class and label, then, with the labels these leave, all pairs
+  that still differ.
   So no link between different labels is lost, and most pairs are never built.
 * Every link is verified over the whole shingle sets (of 64-bit hashes).
 
@@ -54,7 +55,7 @@ PART = np.uint64(int(0.3 * 2**64))  # the part of all shingle hashes that is ske
 FLUSH = 1 << 21
 OTHERS = 256  # sets that are compared with a hub's at once
 UNIT, SKETCHES = 1024, 2048  # bit sketches of a block: those that ask, and those asked
-NEAREST = 3  # pairs of a class and a label that are verified before the labels are taken anew
+NEAREST = 3  # pairs of a class, then of a class and a label, that are verified before the labels are taken anew
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -208,8 +209,8 @@ def _star(members: pa.Table, head: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([members.column("hub").filter(pa.array(linked)), members.column("key").filter(pa.array(linked))], schema=LINK)
 
 
-def _near(nearest: int | None):
-    """Pairs of one block whose labels differ and whose sketches allow a link; ``nearest`` of each asking class and label, or all."""
+def _near(nearest: int | None, each_label: bool):
+    """Pairs of one block whose labels differ and whose sketches allow a link: ``nearest`` of each asking class, or of it and each label, or all."""
 
     def run(group: pa.Table) -> pa.Table:
         unit = np.array(group.column("unit").to_pylist(), bool)
@@ -233,8 +234,9 @@ def _near(nearest: int | None):
                     fits = (100 + SAME) * far <= (100 - SAME) * (n[asked[may]] + n[i])
                     to, far = asked[may[fits]], far[fits]
                     if nearest is not None and len(to) > nearest:
-                        order = np.lexsort((keys[to], far, label[to]))
-                        lab = label[to][order]
+                        lab = label[to] if each_label else np.zeros(len(to), np.int64)
+                        order = np.lexsort((keys[to], far, lab))
+                        lab = lab[order]
                         first = np.searchsorted(lab, lab)
                         to = to[order[np.arange(len(lab)) - first < nearest]]
                     if len(to):
@@ -259,7 +261,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     return written(links, f"{name}-links")
 
 
-def _unsettled(met: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: int | None, name: str) -> DataFrame:
+def _unsettled(met: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: int | None, each_label: bool, name: str) -> DataFrame:
     """Pairs that share a hub, differ in their labels and may link by their sketches.
 
     ``met`` has a row for each class with the hubs it meets. Two classes with one first hub are compared below
@@ -295,7 +297,7 @@ def _unsettled(met: DataFrame, labels: DataFrame, sketches: DataFrame, nearest:
         F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("u"), F.pmod(F.xxhash64("key"), "rests").cast("int").alias("r"),
     )
     blocks = units.union(others).join(sketches, "key")
-    near = blocks.groupBy("hub", "u", "r").applyInArrow(_near(nearest), "a long, b long")
+    near = blocks.groupBy("hub", "u", "r").applyInArrow(_near(nearest, each_label), "a long, b long")
     return written(near.distinct().select(F.col("a").alias("hub"), F.col("b").alias("key")), f"{name}-near")
 
 
@@ -307,9 +309,9 @@ def links_between(sets: DataFrame) -> DataFrame:
     met = written(met.withColumn("first", F.array_min("hubs")), "ngram-met")
     links = _verified(met.where("first <> key").select(F.col("first").alias("hub"), "key"), sets, "ngram-first")
     sketches = written(sets.join(met.select("key"), "key", "left_semi").mapInArrow(_sketches, "key long, n long, bits binary"), "ngram-sketches")
-    for name, nearest in (("ngram-few", NEAREST), ("ngram-rest", None)):
+    for name, nearest, each_label in (("ngram-few", NEAREST, False), ("ngram-each", NEAREST, True), ("ngram-rest", None, True)):
         labels = components(links, f"{name}-labels")
-        pairs = _unsettled(met, labels, sketches, nearest, name)
+        pairs = _unsettled(met, labels, sketches, nearest, each_label, name)
         links = links.union(_verified(pairs, sets, name))
     return links
 
