@@ -73,8 +73,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 def span_hash(h: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
     """One hash for each run of ``k`` consecutive values, from runs of powers of two.
 
-    Equal runs have equal hashes wherever they stand; each level is mixed before it is
-    combined, so order matters.
+    Equal runs have equal hashes wherever they stand. What is joined is mixed as a whole: a
+    part that is only added could change places with one that the next join adds.
     """
     if len(h) < k:
         return np.zeros(0, np.uint64)
@@ -84,13 +84,13 @@ def span_hash(h: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
     while rest:
         if rest & 1:
             part = level[done : done + n]
-            out = part.copy() if out is None else mix(out) * mult + part
+            out = part if out is None else mix(out * mult + part)
             done += size
         rest >>= 1
         if rest:
-            level = mix(level[:-size]) * mult + level[size:]
+            level = mix(level[:-size] * mult + level[size:])
             size *= 2
-    return mix(out)
+    return out
 
 
 class WordHasher(dict):

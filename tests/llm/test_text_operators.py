@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rowferry.llm import bpe, bpe_lexicon, countmin, fingerprint, langid, ngram_join, packing, substring, token_counts
+from rowferry.llm import bpe, bpe_lexicon, common, countmin, fingerprint, langid, ngram_join, packing, substring, token_counts
 from rowferry.llm.queries import BYTE_BPE, WORD_BPE
 
 BITS = 20  # small sketches: more false candidates, the same results
@@ -93,6 +93,35 @@ def test_repeats_against_brute_force(spark, texts):
     assert any(r[3] for r in want)
 
 
+def test_runs_that_differ_in_order_have_other_hashes():
+    rng = np.random.default_rng(3)
+    for k in range(2, 41):
+        h = rng.integers(0, 2**63, k).astype(np.uint64)
+        for lane in (0, 1):
+            seen = {int(common.span_hash(h, k, lane)[0])}
+            for i in range(k):
+                for j in range(i):
+                    other = h.copy()
+                    other[[i, j]] = h[[j, i]]
+                    seen.add(int(common.span_hash(other, k, lane)[0]))
+            assert len(seen) == 1 + k * (k - 1) // 2
+        assert (common.span_hash(np.tile(h, 2), k)[[0, k]] == common.span_hash(h, k)).all()
+
+
+def test_windows_in_another_order_are_no_repeats(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join([words[1], words[0], *words[2:35]])]
+    got = {r["carry"]["doc_id"]: r["n_removed"] for r in substring.remove_repeats(frame(spark, [(i, t, "en", 1, "c", 2) for i, t in enumerate(texts)]), bits=BITS).collect()}
+    assert got == {0: 0, 1: 0}
+
+
+def test_shingles_in_another_order_do_not_link(spark):
+    words = [f"w{i}" for i in range(5)]
+    texts = [" ".join(words), " ".join([words[3], *words[1:3], words[0], words[4]])]
+    found = ngram_join.similar_documents(frame(spark, [(i, t, "en", 1, "c", 2) for i, t in enumerate(texts)]))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {0: 0, 1: 1}
+
+
 def test_repeats_of_nothing(spark):
     assert substring.remove_repeats(frame(spark, made()).where("false"), bits=BITS).collect() == []
 
