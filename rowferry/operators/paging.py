@@ -15,6 +15,9 @@ from rowferry.sources.ranges import choose_partitions, choose_strategy
 
 STRATEGIES = ("rownum", "offset", "cursor")
 
+# A top-k keeps its rows in each task and then in one; what needs more is numbered over ranges.
+TOP_ROWS = 100_000
+
 
 def validate_paging(strategy: str, order_by: Sequence[str]) -> None:
     if strategy not in STRATEGIES:
@@ -65,20 +68,24 @@ def page_keyset(
     """
     validate_paging("cursor", order_by)
     order = total_order(df, order_by)
-    if last is None:
-        return df.orderBy(*order).limit(size)
-    if any(v is None for v in last[: len(order_by)]):
-        raise ValueError("a page key cannot hold NULL")
-    return df.where(after_key(df, order[: len(last)], last)).orderBy(*order).limit(size)
+    if last is not None:
+        if any(v is None for v in last[: len(order_by)]):
+            raise ValueError("a page key cannot hold NULL")
+        df = df.where(after_key(df, order[: len(last)], last))
+    return page_offset(df, order_by, 0, size)
 
 
 def page_offset(df: DataFrame, order_by: Sequence[str], offset: int, size: int) -> DataFrame:
-    """Rows after the first ``offset``, by a top-k of ``offset + size`` rows at every depth.
+    """Rows after the first ``offset``, by a top-k of ``offset + size`` rows, or by their numbers where these are too many for a task.
 
-    Each task holds that many rows, so a deep crawl should number the rows once
+    Each deep page numbers the rows anew, so a deep crawl should do so once
     (``page_rownum``) or page by key.
     """
     validate_paging("offset", order_by)
+    if offset + size > TOP_ROWS:
+        # a frame that carries numbers of its own keeps them
+        renamed = df.withColumnRenamed("_rn", "__rn")
+        return page_rownum(renamed, ["__rn" if c == "_rn" else c for c in order_by], offset, size).withColumnRenamed("__rn", "_rn")
     return df.orderBy(*total_order(df, order_by)).offset(offset).limit(size)
 
 
@@ -129,14 +136,15 @@ def page_rownum(
 ) -> DataFrame:
     """The rows numbered ``offset + 1`` to ``offset + size`` in their order; the number itself is dropped.
 
-    The same at every depth, and no task sorts more than its range. Numbering
-    writes the table once: a caller who wants many pages calls ``number_rows``
-    and gives its result, with ``_rn``, as ``df``.
+    The same at every depth, and no task sorts more than its range; a large page is
+    sorted over ranges, a small one by a top-k. Numbering writes the table once: a
+    caller who wants many pages calls ``number_rows`` and gives its result, with
+    ``_rn``, as ``df``.
     """
     validate_paging("rownum", order_by)
     numbered = df if "_rn" in df.columns else number_rows(df, order_by, unique_order=unique_order)
-    rows = numbered.where(F.col("_rn").between(offset + 1, offset + size))
-    return rows.orderBy("_rn").limit(size).drop("_rn")
+    rows = numbered.where(F.col("_rn").between(offset + 1, offset + size)).orderBy("_rn")
+    return (rows.limit(size) if size <= TOP_ROWS else rows).drop("_rn")
 
 
 def page(

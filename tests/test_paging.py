@@ -92,6 +92,26 @@ def test_pages_over_an_order_with_ties_lose_and_repeat_nothing(spark):
     assert tuple(paging.page_cover(df, ["k"], 20, unique_order=False).first()) == (3, 3, 60, 0, 0)
 
 
+def test_pages_too_large_for_a_task_are_numbered_over_ranges(orders, monkeypatch):
+    monkeypatch.setattr(paging, "TOP_ROWS", 100)
+    want = [tuple(r) for r in orders.orderBy("o_custkey", "o_orderkey", "o_orderdate").collect()]
+    middle = want[699]
+    pages = [
+        (paging.page(orders, "offset", ["o_custkey"], 50, offset=700), 700, 50),
+        (paging.page(orders, "offset", ["o_custkey"], 300, offset=600), 600, 300),
+        (paging.page(orders, "rownum", ["o_custkey"], 300, offset=600), 600, 300),
+        (paging.page(orders, "cursor", ["o_custkey"], 300), 0, 300),
+        (paging.page(orders, "cursor", ["o_custkey"], 300, last=[middle[1], middle[0]]), 700, 300),
+        (paging.page(orders, "offset", ["o_custkey"], 300, offset=len(want) - 10), len(want) - 10, 300),
+    ]
+    for page, offset, size in pages:
+        got = [(r["o_orderkey"], r["o_custkey"], r["o_orderdate"]) for r in page.collect()]
+        assert got == want[offset : offset + size]
+        plan = page._jdf.queryExecution().executedPlan().toString()
+        assert size <= 100 or "TakeOrdered" not in plan and "Limit" not in plan
+        assert f"limit={offset + size}" not in plan or offset == 0
+
+
 def test_page_meta(spark):
     df = spark.range(25).toDF("k")
     assert tuple(paging.page_meta(df, ["k"], 10, [14]).first()) == (10, 24, False)
