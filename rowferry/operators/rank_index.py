@@ -1,6 +1,6 @@
 """Pages by row number from ordered files and a sparse index of fences.
 
-The table is laid down once in order, as files of about a million rows each. A fence says
+The table is laid down once in order, as files of a million rows each. A fence says
 for each file how many rows stand before it, how many it holds, and its least and greatest
 key. A page of any depth finds its files among the fences and reads only these: one file,
 or two where the page crosses a border. Rows above the greatest key are appended as files
@@ -36,10 +36,18 @@ class RankIndex:
         return spark.read.parquet(self.fences)
 
 
-def _lay_down(df: DataFrame, order: Sequence[str], partitions: int, folder: str) -> DataFrame:
-    """The rows in order, a file or more a range; gives a row for each file: rows, least and greatest key."""
+RANGE_ROWS = 250_000
+
+
+def _lay_down(df: DataFrame, order: Sequence[str], n_rows: int, rows_per_file: int, folder: str) -> DataFrame:
+    """The rows in order, in files of ``rows_per_file``; gives a row for each file: rows, least and greatest key.
+
+    A range holds many small files: the driver draws the borders of ranges from a sample of
+    keys that grows with their number.
+    """
     spark, part = df.sparkSession, f"{folder}/part-{uuid.uuid4().hex}"
-    df.repartitionByRange(partitions, *order).sortWithinPartitions(*order).write.parquet(part)
+    ranges = choose_partitions(n_rows, max(rows_per_file, RANGE_ROWS))
+    df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", rows_per_file).parquet(part)
     laid = spark.read.schema(df.schema).parquet(part)
     # the folder and name of the file, without the encoding of its whole address
     name = F.element_at(F.split(F.input_file_name(), "/"), -1)
@@ -62,7 +70,7 @@ def build_rank_index(df: DataFrame, order_by: Sequence[str], rows_per_file: int
     spark, order = df.sparkSession, tuple(total_order(df, order_by))
     folder = work_path(spark, "ranked")
     n = df.count()
-    fences = _counted(_lay_down(df, order, choose_partitions(n, rows_per_file), f"{folder}/rows"), 0)
+    fences = _counted(_lay_down(df, order, n, rows_per_file, f"{folder}/rows"), 0)
     fences.write.parquet(f"{folder}/fences-0")
     return RankIndex(df.schema, order, f"{folder}/rows", f"{folder}/fences-0", n)
 
@@ -77,7 +85,7 @@ def append_rows(index: RankIndex, df: DataFrame, rows_per_file: int = 1_000_000)
     below = top.select(F.col("k").alias("top"), F.lit(1).alias("one")).join(least.select(F.col("k").alias("least"), F.lit(1).alias("one")), "one")
     if below.where(F.col("least") < F.col("top")).take(1):
         raise ValueError("rows to append must come after those of the index")
-    more = _counted(_lay_down(df, order, choose_partitions(n, rows_per_file), index.folder), index.n_rows)
+    more = _counted(_lay_down(df, order, n, rows_per_file, index.folder), index.n_rows)
     path = f"{index.folder.removesuffix('/rows')}/fences-{uuid.uuid4().hex}"
     fences.unionByName(more).write.parquet(path)
     return RankIndex(index.schema, order, index.folder, path, index.n_rows + n)

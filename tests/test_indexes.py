@@ -45,6 +45,14 @@ def test_pages_of_any_depth_read_one_file_or_two(spark):
     assert rows(page_by_rank(spark, append_rows(empty, spark.createDataFrame(more, DDL)), 0, 1)) == [(100, "w")]
 
 
+def test_small_files_do_not_make_small_ranges(spark):
+    rows_in = spark.range(0, 3000).select((F.col("id") % 900).cast("int").alias("k"), F.col("id").cast("string").alias("v"))
+    index = build_rank_index(rows_in, ["k"], rows_per_file=100)
+    fences = index.read_fences(spark).orderBy("before").collect()
+    assert [(r["before"], r["n"]) for r in fences] == [(100 * i, 100) for i in range(30)]
+    assert len({r["file"].rsplit("/", 1)[1].split("-")[1] for r in fences}) == 1, "one task wrote them all"
+
+
 def test_trees_find_the_leaves_that_differ(spark):
     bits, data = 8, [(i, f"v{i}", None if i % 3 else i) for i in range(3000)]
     ddl = "k long, v string, n long"
