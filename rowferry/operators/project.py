@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.functions import Columns
+from rowferry.session import compile_in_parts
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -68,6 +69,7 @@ def custom_transformer(build: Callable[[Columns], Mapping[str, Column]]) -> Tran
     """A transform from a function that gives the target columns of a row, by name."""
 
     def apply(df: DataFrame) -> DataFrame:
+        compile_in_parts(df.sparkSession)
         return df.select(*[col.alias(name) for name, col in build(Columns(df)).items()])
 
     return apply

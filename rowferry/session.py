@@ -30,6 +30,13 @@ def get_session(app_name: str = "rowferry", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def compile_in_parts(spark: SparkSession) -> None:
+    """The same method limit in a session that others made: it is read when a plan runs."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > int(SESSION_DEFAULTS[name]):
+        spark.conf.set(name, SESSION_DEFAULTS[name])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.operators import project
+from rowferry.plans import civil
 
 
 def test_map_fields(spark):
@@ -46,3 +47,10 @@ def test_conform(spark):
         project.conform(df.withColumn("c", F.lit(1)), schema)
     with pytest.raises(ValueError, match="missing"):
         project.conform(df.drop("a"), schema)
+
+
+def test_wide_transforms_are_compiled_in_any_session(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    civil.transform_of("birth_certificate", "2024-01-01 00:00:00")(other.createDataFrame([("a",)], "FIRST_NAME string")).collect()
+    assert other.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
