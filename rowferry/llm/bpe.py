@@ -11,10 +11,11 @@ whole (see ``_odd``), so the ids are always those of the library.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from collections.abc import Iterable, Iterator
-from itertools import compress
+from itertools import chain, compress
 from operator import not_
 
 import numpy as np
@@ -167,17 +168,26 @@ class Coder:
                 fresh.append(piece)
             else:
                 self.kept[piece] = ids
-        plan, words = [], {}
-        for piece, tokens in self.cut(fresh):
-            if tokens is None:
-                self.kept[piece] = self.by_library(piece if isinstance(piece, str) else piece.decode())
-                continue
-            plan.append((piece, tokens))
-            words.update(dict.fromkeys(tokens))
-        order = list(words)
-        ids = dict(zip(order, self.merge_words(order), strict=True))
-        for piece, tokens in plan:
-            self.kept[piece] = ids[tokens[0]] if len(tokens) == 1 else b"".join(map(ids.__getitem__, tokens))
+        # hundreds of thousands of small lists that hold no cycle: the collector would walk them again and again
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            alone, first, plan = [], [], []
+            for piece, tokens in self.cut(fresh):
+                if tokens is None:
+                    self.kept[piece] = self.by_library(piece if isinstance(piece, str) else piece.decode())
+                elif len(tokens) == 1:
+                    alone.append(piece)
+                    first.append(tokens[0])
+                else:
+                    plan.append((piece, tokens))
+            order = list(dict.fromkeys(chain(first, chain.from_iterable(tokens for _, tokens in plan))))
+            known = dict(zip(order, self.merge_words(order), strict=True)).__getitem__
+            self.kept.update(zip(alone, map(known, first), strict=True))
+            self.kept.update((piece, b"".join(map(known, tokens))) for piece, tokens in plan)
+        finally:
+            if collects:
+                gc.enable()
 
     def encode(self, texts: list[str | None], step: int = 512) -> Iterable[bytes]:
         """The ids of each text, as unsigned 32-bit little-endian integers."""
@@ -187,18 +197,18 @@ class Coder:
                 self.before, self.kept = self.kept, {}
             get, new, got = self.kept.get, set(), []
             for c in cut:
-                ids = c if isinstance(c, bytes) else list(map(get, c))
-                if not isinstance(ids, bytes) and None in ids:
+                if isinstance(c, bytes):
+                    got.append(c)
+                    continue
+                ids = list(map(get, c))
+                try:
+                    got.append(b"".join(ids))
+                except TypeError:  # pieces not met before
                     new.update(compress(c, map(not_, ids)))
-                got.append(ids)
+                    got.append(None)
             self.learn(new)
             for c, ids in zip(cut, got, strict=True):
-                if isinstance(ids, bytes):
-                    yield ids
-                elif new and None in ids:
-                    yield b"".join([get(p) if i is None else i for p, i in zip(c, ids, strict=True)])
-                else:
-                    yield b"".join(ids)
+                yield b"".join(map(get, c)) if ids is None else ids
 
 
 # Code points whose class differs between Unicode versions or engines: controls that some
