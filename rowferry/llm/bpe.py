@@ -1,9 +1,11 @@
 """Byte-pair encoding of whole texts, many words at a time.
 
 Texts are cut where no token can reach across, each distinct piece is encoded once and
-its ids kept as bytes, so that a text costs one look-up a piece. Pieces not met before are
-merged together: one array holds the symbols of thousands of words, and each step does the
-merge of least rank in every one of them, leftmost first, as the merge rules say.
+numbered, so that a text costs one look-up a piece and its ids are gathered from one array.
+Pieces not met before are cut into words together, and their ids gathered from those of the
+words. Words not met before are merged together: one array holds the symbols of thousands of
+words, and each step does the merge of least rank in every one of them, leftmost first, as
+the merge rules say.
 
 Anything whose character classes are not beyond doubt goes to the tokenizers library as a
 whole (see ``_odd``), so the ids are always those of the library.
@@ -11,11 +13,11 @@ whole (see ``_odd``), so the ids are always those of the library.
 
 from __future__ import annotations
 
-import gc
+import itertools
 import json
 import re
-from collections.abc import Iterable, Iterator
-from itertools import chain, compress
+from collections import defaultdict
+from collections.abc import Iterable
 from operator import not_
 
 import numpy as np
@@ -26,7 +28,7 @@ from rowferry.llm.common import of_worker
 
 NONE = np.int32(2**31 - 1)
 LONG = 48  # longer words are merged one by one
-MOST = 300_000  # pieces kept by a worker, and as many from before
+MOST = 600_000  # pieces kept by a worker, and as many words
 
 
 def byte_symbols() -> dict[int, str]:
@@ -130,8 +132,82 @@ class Merger:
         return out
 
 
+def _with(room: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``more`` behind the first ``used`` values, in twice the room when there is too little."""
+    if used + len(more) > len(room):
+        room = np.concatenate([room[:used], np.zeros(used + 2 * len(more), room.dtype)])
+    room[used : used + len(more)] = more
+    return room
+
+
+class Table:
+    """Keys numbered as they are met; the ids of all of them lie in one array, in that order.
+
+    A list of keys becomes numbers by one look-up each, and its ids are gathered as a whole.
+    ``first``, if given, is number 0, has no ids and is never forgotten.
+    """
+
+    def __init__(self, first=None):
+        self.number: defaultdict = defaultdict(itertools.count().__next__)
+        self.n, self.first = 0, first is not None
+        self.end, self.uses, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        if self.first:
+            self.number[first]
+            self.add(np.zeros(1, np.int64), self.ids)
+
+    def numbers(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, keys), np.int32, len(keys))
+
+    def fresh(self) -> list:
+        """Keys that have a number and no ids yet."""
+        return list(itertools.islice(reversed(self.number), len(self.number) - self.n))[::-1]
+
+    def add(self, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """The ids of the next keys, end to end."""
+        last, n = self.end[self.n], self.n
+        self.end = _with(self.end, n + 1, last + np.cumsum(sizes))
+        self.uses = _with(self.uses, n, np.zeros(len(sizes), np.int64))
+        self.ids = _with(self.ids, last, ids)
+        self.n += len(sizes)
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered keys end to end, and where those of each key end."""
+        np.add.at(self.uses, at, 1)
+        ends, parts, done = np.zeros(len(at), np.int64), [self.ids[:0]], 0
+        for a in range(0, len(at), 1 << 18):
+            k = at[a : a + (1 << 18)]
+            first = self.end[k]
+            size = self.end[k + 1] - first
+            end = np.cumsum(size)
+            place = np.repeat(first - (end - size), size)
+            place += np.arange(len(place))
+            parts.append(self.ids[place])
+            ends[a : a + len(k)] = done + end
+            done += len(place)
+        return np.concatenate(parts), ends
+
+    def forget(self, most: int) -> None:
+        """Beyond ``most`` keys, keep those met more than once, of these the most met, half of ``most`` at most."""
+        if self.n <= most:
+            return
+        uses = self.uses[: self.n]
+        if self.first:
+            uses[0] = np.iinfo(np.int64).max
+        some = np.flatnonzero(uses > 1)
+        if len(some) > most // 2:
+            some = np.sort(some[np.argpartition(-uses[some], most // 2)[: most // 2]])
+        uses, sizes, ids = uses[some] // 2, np.diff(self.end)[some], self.gather(some)[0]
+        keys = list(itertools.compress(self.number, np.isin(np.arange(self.n), some).tolist()))
+        self.number = defaultdict(itertools.count(len(keys)).__next__, zip(keys, range(len(keys)), strict=True))
+        self.n, self.end, self.uses, self.ids = 0, self.end[:1].copy(), self.uses[:0], self.ids[:0]
+        self.add(sizes, ids)
+        self.uses[: self.n] = uses
+
+
 class Coder:
-    """What both kinds of vocabulary share: pieces, kept ids, and the library for the rest."""
+    """What both kinds of vocabulary share: pieces, words, their ids, and the library for the rest."""
+
+    close = ""  # stands behind the words of each piece and is no word itself
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -142,8 +218,7 @@ class Coder:
         self.specials = [t["content"] for t in data["added_tokens"]]
         self.vocab = data["model"]["vocab"]
         self.merger = Merger(self.vocab, data["model"]["merges"], data["model"].get("end_of_word_suffix") or "")
-        self.kept: dict = {}
-        self.before: dict = {}
+        self.known, self.words = Table(), Table(self.close)
         self.lexicon = None
 
     def by_library(self, text: str) -> bytes:
@@ -159,56 +234,43 @@ class Coder:
             out[i] = ids
         return out
 
-    def learn(self, pieces: Iterable) -> None:
-        """Keep the ids of new pieces."""
-        fresh = []
-        for piece in pieces:
-            ids = self.before.get(piece)
-            if ids is None:
-                fresh.append(piece)
-            else:
-                self.kept[piece] = ids
-        # hundreds of thousands of small lists that hold no cycle: the collector would walk them again and again
-        collects = gc.isenabled()
-        gc.disable()
-        try:
-            alone, first, plan = [], [], []
-            for piece, tokens in self.cut(fresh):
-                if tokens is None:
-                    self.kept[piece] = self.by_library(piece if isinstance(piece, str) else piece.decode())
-                elif len(tokens) == 1:
-                    alone.append(piece)
-                    first.append(tokens[0])
-                else:
-                    plan.append((piece, tokens))
-            order = list(dict.fromkeys(chain(first, chain.from_iterable(tokens for _, tokens in plan))))
-            known = dict(zip(order, self.merge_words(order), strict=True)).__getitem__
-            self.kept.update(zip(alone, map(known, first), strict=True))
-            self.kept.update((piece, b"".join(map(known, tokens))) for piece, tokens in plan)
-        finally:
-            if collects:
-                gc.enable()
+    def learn(self) -> None:
+        """Give pieces not met before their ids."""
+        fresh = self.known.fresh()
+        self.words.forget(MOST)
+        tokens, whole = self.cut(fresh)
+        at = self.words.numbers(tokens)
+        merged = self.merge_words([w.encode() for w in self.words.fresh()])
+        self.words.add(_sizes(merged), np.frombuffer(b"".join(merged), np.uint32))
+        ids, ends = self.words.gather(at)
+        ends = ends[at == 0]
+        sizes = np.diff(ends, prepend=0)
+        if whole:
+            got = [self.by_library(fresh[i] if isinstance(fresh[i], str) else fresh[i].decode()) for i in whole]
+            sizes[whole] = _sizes(got)
+            ids = np.insert(ids, np.repeat(ends[whole], sizes[whole]), np.frombuffer(b"".join(got), np.uint32))
+        self.known.add(sizes, ids)
 
     def encode(self, texts: list[str | None], step: int = 512) -> Iterable[bytes]:
         """The ids of each text, as unsigned 32-bit little-endian integers."""
         for a in range(0, len(texts), step):
-            cut = [self.pieces(t) if t else b"" for t in texts[a : a + step]]
-            if len(self.kept) > MOST:
-                self.before, self.kept = self.kept, {}
-            get, new, got = self.kept.get, set(), []
-            for c in cut:
-                if isinstance(c, bytes):
-                    got.append(c)
-                    continue
-                ids = list(map(get, c))
-                try:
-                    got.append(b"".join(ids))
-                except TypeError:  # pieces not met before
-                    new.update(compress(c, map(not_, ids)))
-                    got.append(None)
-            self.learn(new)
-            for c, ids in zip(cut, got, strict=True):
-                yield b"".join(map(get, c)) if ids is None else ids
+            self.known.forget(MOST)
+            at, whole = [], []
+            for t in texts[a : a + step]:
+                cut = self.pieces(t) if t else b""
+                whole.append(cut if isinstance(cut, bytes) else None)
+                at.append(self.known.numbers([] if isinstance(cut, bytes) else cut))
+            self.learn()
+            ids, ends = self.known.gather(np.concatenate(at))
+            data, begin = ids.tobytes(), 0
+            ends = np.concatenate([[0], 4 * ends])[np.cumsum([len(x) for x in at])].tolist()
+            for ids, end in zip(whole, ends, strict=True):
+                yield data[begin:end] if ids is None else ids
+                begin = end
+
+
+def _sizes(ids: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, ids), np.int64, len(ids)) // 4
 
 
 # Code points whose class differs between Unicode versions or engines: controls that some
@@ -219,29 +281,25 @@ _ODD = re.compile("[\x1c-\x1f\x85\ud800-\uffff\U00010000-\U0010ffff]")
 class WordCoder(Coder):
     """A lower-casing vocabulary with word ends; white space separates words and is dropped."""
 
-    _plain = re.compile("[!-~\xa1-\xff]+")
-    _lines = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
+    close = "\n"
+    _plain = re.compile("[\n!-~\xa1-\xff]*")
+    # of the plain code points in lower case, these are \p{L}, and these \p{N}
+    _l, _n = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+    _lines = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_l}]+|[{_n}]|[^\n{_l}{_n}]+|\n")
 
     def pieces(self, text: str) -> list[bytes]:
         return text.encode().split()
 
-    def cut(self, pieces: list[bytes]) -> Iterator[tuple[bytes, list[bytes] | None]]:
-        """The words of each piece, or None for the library; all pieces that need it go through the pattern at once."""
-        rest = []
-        for p in pieces:
-            if p.isalpha():  # ASCII letters only
-                yield p, [p.lower()]
-            elif b"<|" in p or not self._plain.fullmatch(p.decode()):
-                yield p, None
-            else:
-                rest.append(p)
-        at, words = 0, []
-        for token in self._lines.findall(b"\n".join([*rest, b""]).decode().lower()):
-            if token == "\n":
-                yield rest[at], words
-                at, words = at + 1, []
-            else:
-                words.append(token.encode())
+    def cut(self, pieces: list[bytes]) -> tuple[list[str], list[int]]:
+        """The words of all pieces, each piece closed, and the numbers of those left to the library."""
+        lines, whole = b"\n".join([*pieces, b""]).decode(), []
+        if "<|" in lines or not self._plain.fullmatch(lines):
+            each = lines.split("\n")
+            whole = [i for i, p in enumerate(each) if "<|" in p or not self._plain.fullmatch(p)]
+            for i in whole:
+                each[i] = ""
+            lines = "\n".join(each)
+        return self._lines.findall(lines.lower()), whole
 
 
 class ByteCoder(Coder):
@@ -272,24 +330,23 @@ class ByteCoder(Coder):
             return self._words.findall(text)
         return self._fast.findall(text)
 
-    def cut(self, pieces: list[str]) -> Iterator[tuple[str, list[bytes]]]:
-        """The words of each piece; all pieces that need it go through the pattern at once."""
-        rest = []
-        for p in pieces:
-            body = p[1:] if p[0] == " " else p
-            if body.isalpha() or p.isspace() or not body:
-                yield p, [p.encode()]
-            elif body.split(maxsplit=1)[0] != body:  # cut by the pattern before
-                yield p, [p.encode()]
-            else:
-                rest.append(p)
-        at, words = 0, []
-        for token in self._words.findall("\n".join([*rest, ""])):
-            if token == "\n":
-                yield rest[at], words
-                at, words = at + 1, []
+    @staticmethod
+    def _alone(piece: str) -> bool:
+        body = piece[1:] if piece[0] == " " else piece
+        # the last: cut by the pattern before
+        return body.isalpha() or piece.isspace() or not body or body.split(maxsplit=1)[0] != body
+
+    def cut(self, pieces: list[str]) -> tuple[list[str], list[int]]:
+        """The words of all pieces, each piece closed; all pieces that need it go through the pattern at once."""
+        alone, out = list(map(self._alone, pieces)), []
+        words = iter(self._words.findall("\n".join([*itertools.compress(pieces, map(not_, alone)), ""])))
+        for p, one in zip(pieces, alone, strict=True):
+            if one:
+                out.append(p)
             else:
-                words.append(token.encode())
+                out += itertools.takewhile("\n".__ne__, words)
+            out.append(self.close)
+        return out, []
 
     def decode(self, ids: bytes) -> str:
         return self.decode_many([ids])[0]

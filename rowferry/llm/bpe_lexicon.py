@@ -147,11 +147,14 @@ def _count(path: str):
         pieces: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for piece, cut in c.cut(list(pieces)):
-                for w in cut:
-                    words[w] += pieces[piece]
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+            words, times = Counter(), iter(pieces.values())
+            n = next(times)
+            for w in c.cut(list(pieces))[0]:
+                if w == c.close:
+                    n = next(times, 0)
+                else:
+                    words[w] += n
+            return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words], pa.binary()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
         for part in batches:
             for text in part.column(0).to_pylist():

@@ -258,6 +258,37 @@ def test_ids_are_those_of_the_library(kind, path):
             assert mine.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_a_word_is_merged_once_whatever_stands_around_it():
+    coder, met = bpe.WordCoder(WORD_BPE), []
+    merge = coder.merger.merge
+    coder.merger.merge = lambda words: met.extend(words) or merge(words)
+    library = Tokenizer.from_file(WORD_BPE)
+    for text in ("the reend thorwh", "The, reend. (THORWH) the;reend", "thorwh's reend!"):
+        (ids,) = coder.encode([text])
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(met) == sorted([b"the", b"reend", b"thorwh", b",", b".", b"(", b")", b";", b"'s", b"!"])
+
+
+@pytest.mark.parametrize("kind,path", [(bpe.WordCoder, WORD_BPE), (bpe.ByteCoder, BYTE_BPE)])
+def test_forgotten_pieces_are_learned_again(kind, path, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST", 40)
+    rng, library, mine = random.Random(5), Tokenizer.from_file(path), kind(path)
+    words = ["".join(rng.choice("abet'É1,") for _ in range(rng.randrange(1, 6))) for _ in range(300)] + ["日本", "<|x", "\ue000z"]
+    for _ in range(30):
+        texts = [" ".join(rng.choice(words[: rng.choice((20, 303))]) for _ in range(rng.randrange(12))) for _ in range(9)]
+        for text, ids in zip(texts, mine.encode(texts, 4), strict=True):
+            assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert len(mine.known.number) < 40 + 4 * 12 and len(mine.words.number) < 40 + 4 * 12 * 6
+
+
+def test_words_of_latin_1_are_cut_as_the_library_does():
+    library, mine = Tokenizer.from_file(WORD_BPE), bpe.WordCoder(WORD_BPE)
+    signs = [chr(c) for c in (*range(33, 127), *range(161, 256))]
+    texts = [" ".join(a + b + "'ll" for b in signs) for a in signs] + ["x" + a + "''s'S'tt" + a for a in signs]
+    for text, ids in zip(texts, mine.encode(texts), strict=True):
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): np.array([i, i + 1], np.uint32).tobytes() for i, w in enumerate("walking talking walked talked walk talk king".split())}
     lexicon = bpe_lexicon.Lexicon(bpe_lexicon.compile_lexicon(words))
