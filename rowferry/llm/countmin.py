@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 
 BITS = 27
 BLOCK_BITS = 19
+LOTS = 16  # parts in which the merged sketch comes to the driver
 ROWS = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F))
 SCHEMA = "row int, block int, once binary, more binary"
 ARROW = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
@@ -104,7 +105,8 @@ def merged(parts: DataFrame, bits: int = BITS) -> np.ndarray:
     )
     out = np.zeros((len(ROWS), (1 << bits) // 8), np.uint8)
     step = (1 << BLOCK_BITS) // 8
-    for row, block, more in blocks.collect():  # at most 2 ** bits / 4 bytes in all
+    # at most 2 ** bits / 4 bytes in all; a lot at a time, as the driver's JVM would hold a whole collect several times over
+    for row, block, more in blocks.repartition(LOTS).toLocalIterator():
         out[row, block * step : block * step + step] = np.frombuffer(more, np.uint8)
     return out
 

@@ -116,13 +116,15 @@ def solve(langs: list[str], bits: list[bytes], landmarks: int = LANDMARKS, ridge
 
     def scaled(lot: list[int], row: int) -> np.ndarray:
         x = unpack([bits[i] for i in lot], row)
-        return x / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
+        x /= np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
+        return x
 
     kernel = np.zeros((len(langs), len(chosen)))
     for row in range(len(ORDERS)):
         marks = scaled(chosen, row)
         for a in range(0, len(langs), step):
             kernel[a : a + step] += scaled(list(range(a, min(a + step, len(langs)))), row) @ marks.T / len(ORDERS)
+        del marks  # before those of the next order are made
     inner = kernel[chosen]
     alpha = np.linalg.solve(kernel.T @ kernel + ridge * len(langs) * inner + 1e-6 * np.eye(len(chosen)), kernel.T @ y)
     weights = np.stack([scaled(chosen, row).T @ alpha.astype(np.float32) / len(ORDERS) for row in range(len(ORDERS))])

@@ -26,7 +26,8 @@ of Jaccard similarity 0.8 or more differ in at most ``(|A| + |B|) / 9`` shingles
   compared with the others by their bit sketches, in blocks. A group all of whose members met
   one earlier hub is not looked at again. Pairs that pass are compared exactly: first the nearest
   few of each class, then of each class and label, then, with the labels these leave, all pairs
-  that still differ.
+  that still differ. A round that left no pair out is the last one, and labels are taken anew only
+  where a round found a link.
   So no link between different labels is lost, and most pairs are never built.
 * Every link is verified over the whole shingle sets (of 64-bit hashes).
 
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.llm import countmin
-from rowferry.llm.common import LANES, bucket_of, hasher, mix, ship, signed, span_hash, written
+from rowferry.llm.common import LANES, bucket_of, has_rows, hasher, mix, ship, signed, span_hash, written
 from rowferry.llm.components import components
 
 WORDS = 5
@@ -196,6 +197,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+NEAR = pa.schema([*LINK, ("cut", pa.bool_())])
 
 
 def _star(members: pa.Table, head: pa.Table) -> pa.Table:
@@ -210,7 +212,10 @@ def _star(members: pa.Table, head: pa.Table) -> pa.Table:
 
 
 def _near(nearest: int | None, each_label: bool):
-    """Pairs of one block whose labels differ and whose sketches allow a link: ``nearest`` of each asking class, or of it and each label, or all."""
+    """Pairs of one block whose labels differ and whose sketches allow a link: ``nearest`` of each asking class, or of it and each label, or all.
+
+    ``cut`` tells that the asking class has more.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         unit = np.array(group.column("unit").to_pylist(), bool)
@@ -218,6 +223,7 @@ def _near(nearest: int | None, each_label: bool):
         blobs = group.column("bits").to_pylist()
         words = np.array([len(b) // 8 for b in blobs])
         out: list[np.ndarray] = []
+        cut: list[bool] = []
         # sets of a linked pair differ by less than half, so their sketches are of one length or of two next to each other
         for width in np.unique(words[unit]):
             asking = np.nonzero(unit & (words == width))[0]
@@ -233,6 +239,7 @@ def _near(nearest: int | None, each_label: bool):
                     far = np.bitwise_count(theirs[may] ^ bits).sum(axis=1, dtype=np.int64)
                     fits = (100 + SAME) * far <= (100 - SAME) * (n[asked[may]] + n[i])
                     to, far = asked[may[fits]], far[fits]
+                    fit = len(to)
                     if nearest is not None and len(to) > nearest:
                         lab = label[to] if each_label else np.zeros(len(to), np.int64)
                         order = np.lexsort((keys[to], far, lab))
@@ -241,8 +248,9 @@ def _near(nearest: int | None, each_label: bool):
                         to = to[order[np.arange(len(lab)) - first < nearest]]
                     if len(to):
                         out.append(np.stack([np.full(len(to), keys[i]), keys[to]]))
+                        cut += [len(to) < fit] * len(to)
         found = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        return pa.Table.from_arrays([pa.array(found.min(axis=0)), pa.array(found.max(axis=0))], schema=LINK)
+        return pa.Table.from_arrays([pa.array(found.min(axis=0)), pa.array(found.max(axis=0)), pa.array(cut, pa.bool_())], schema=NEAR)
 
     return run
 
@@ -262,7 +270,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
 
 
 def _unsettled(met: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: int | None, each_label: bool, name: str) -> DataFrame:
-    """Pairs that share a hub, differ in their labels and may link by their sketches.
+    """Pairs that share a hub, differ in their labels and may link by their sketches; ``cut`` where one of the pair has more.
 
     ``met`` has a row for each class with the hubs it meets. Two classes with one first hub are compared below
     that one, so below a later hub neither the members of one label nor those of one first hub need it.
@@ -297,23 +305,30 @@ def _unsettled(met: DataFrame, labels: DataFrame, sketches: DataFrame, nearest:
         F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("u"), F.pmod(F.xxhash64("key"), "rests").cast("int").alias("r"),
     )
     blocks = units.union(others).join(sketches, "key")
-    near = blocks.groupBy("hub", "u", "r").applyInArrow(_near(nearest, each_label), "a long, b long")
-    return written(near.distinct().select(F.col("a").alias("hub"), F.col("b").alias("key")), f"{name}-near")
+    near = blocks.groupBy("hub", "u", "r").applyInArrow(_near(nearest, each_label), "a long, b long, cut boolean")
+    return written(near.groupBy(F.col("a").alias("hub"), F.col("b").alias("key")).agg(F.max("cut").alias("cut")), f"{name}-near")
 
 
-def links_between(sets: DataFrame) -> DataFrame:
-    """``(key, shingles)``, one row a class, to links ``(a, b)`` that connect what similarity connects."""
+def linked_labels(sets: DataFrame) -> DataFrame:
+    """``(key, shingles)``, one row a class, to ``(node, label)``: the smallest class that each linked one reaches."""
     sigs = written(sets.mapInArrow(_emit, "sig long, key long"), "ngram-signatures")
     hubs = written(sigs.groupBy("sig").agg(F.min("key").alias("hub"), F.count("*").alias("n")).where("n > 1").select("sig", "hub"), "ngram-hubs")
     met = sigs.join(hubs, "sig").groupBy("key").agg(F.collect_set("hub").alias("hubs"))
     met = written(met.withColumn("first", F.array_min("hubs")), "ngram-met")
     links = _verified(met.where("first <> key").select(F.col("first").alias("hub"), "key"), sets, "ngram-first")
+    labels = components(links, "ngram-first-labels")
     sketches = written(sets.join(met.select("key"), "key", "left_semi").mapInArrow(_sketches, "key long, n long, bits binary"), "ngram-sketches")
     for name, nearest, each_label in (("ngram-few", NEAREST, False), ("ngram-each", NEAREST, True), ("ngram-rest", None, True)):
-        labels = components(links, f"{name}-labels")
         pairs = _unsettled(met, labels, sketches, nearest, each_label, name)
-        links = links.union(_verified(pairs, sets, name))
-    return links
+        if not has_rows(pairs):
+            break
+        found = _verified(pairs.select("hub", "key"), sets, name)
+        if has_rows(found):
+            links = links.union(found)
+            labels = components(links, f"{name}-labels")
+        if not has_rows(pairs.where("cut")):
+            break
+    return labels
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = countmin.BITS) -> DataFrame:
@@ -324,6 +339,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     parts = rows.select("text").mapInArrow(_sketch(bits), countmin.SCHEMA)
     sketch = spark.sparkContext.broadcast(countmin.merged(parts, bits))
     found = written(rows.mapInArrow(_sets(sketch), SETS), "ngram-sets")
+    sketch.destroy()
     known = found.where("doc_id is not null and n > 0")
     # classes of equal sets are numbered in the order of their smallest documents; a document may be that of several
     least = written(known.groupBy("c1", "c2").agg(F.min("doc_id").alias("least")), "ngram-least")
@@ -331,7 +347,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     one = classes.select(F.col("least").alias("doc_id"), "c1", "c2", "key")
     held = known.where("shingles is not null").select("doc_id", "c1", "c2", "shingles").join(one, ["doc_id", "c1", "c2"])
     sets = written(held.dropDuplicates(["key"]).select("key", "shingles"), "ngram-classsets")
-    labels = components(links_between(sets), "ngram").withColumnRenamed("node", "key")
+    labels = linked_labels(sets).withColumnRenamed("node", "key")
     # the least number of a component is that of its smallest document
     first = classes.select(F.col("key").alias("label"), F.col("least").alias("first"))
     labels = labels.join(first, "label").select("key", "first")

@@ -5,6 +5,7 @@ import json
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -48,6 +49,30 @@ def words_of(text):
     return [w for w in SPACE.split(text or "") if w]
 
 
+def test_merged_sketch_comes_in_lots(spark, monkeypatch):
+    """The merged sketch is the same as that of one partial one, and is never collected whole."""
+    keys = np.random.default_rng(3).integers(0, 2**63, 4000).astype(np.uint64)
+    rows = spark.createDataFrame([(x.tobytes(),) for x in (keys[:2500], keys[2000:], keys[:300])], "keys binary").repartition(3)
+
+    def partial(batches):
+        for part in batches:
+            for x in part.column(0).to_pylist():
+                yield from countmin.partial(np.frombuffer(x, np.uint64), BITS)
+
+    parts = rows.mapInArrow(partial, countmin.SCHEMA)
+
+    def whole(self):
+        raise AssertionError("collected whole")
+
+    monkeypatch.setattr(type(parts), "collect", whole)
+    sketch = countmin.merged(parts, BITS)
+    want = np.zeros((2, 1 << BITS), bool)
+    for row in range(2):
+        slot, n = np.unique(countmin.slots(np.concatenate([keys[:2500], keys[2000:], keys[:300]]), row, BITS), return_counts=True)
+        want[row, slot[n > 1].astype(np.int64)] = True
+    assert (np.unpackbits(sketch, axis=1).astype(bool) == want).all()
+
+
 def test_sketch_never_too_low():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 2**63, 5000).astype(np.uint64)
@@ -206,6 +231,19 @@ def test_compared_pairs_grow_with_the_copies_not_with_their_square(spark, monkey
     assert seen[1] <= 5 * seen[0]
 
 
+def test_rounds_end_where_no_pair_was_left_out(spark, monkeypatch):
+    """Labels are taken anew only after a round that found a link, and no round follows one that compared all."""
+    names = {"labels": [], "pairs": []}
+    components_, verified = ngram_join.components, ngram_join._verified
+    monkeypatch.setattr(ngram_join, "components", lambda links, name: names["labels"].append(name) or components_(links, name))
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, sets, name: names["pairs"].append(name) or verified(pairs, sets, name))
+    for rows, most in ((near_copies(3), 2), ([r for r in made()], 2), (near_copies(60), 4)):
+        names["labels"].clear(), names["pairs"].clear()
+        have = sorted((tuple(r) for r in ngram_join.similar_documents(frame(spark, rows), bits=BITS).collect()), key=str)
+        assert have == brute_similar(rows)
+        assert len(names["labels"]) <= min(most, len(names["pairs"]))
+
+
 def test_bit_sketches_never_exceed_the_difference():
     rng = np.random.default_rng(4)
     for _ in range(300):
@@ -361,6 +399,18 @@ def test_crossover_keeps_every_piece_once():
         assert [sum(lengths[x] for x in items) for items in child.bins] == child.fill and max(child.fill) <= 100
 
 
+def test_language_model_holds_one_set_of_landmarks():
+    """256 landmarks of one order are 64 MB unpacked; two and their scaled copies were held."""
+    rng = np.random.default_rng(6)
+    bits = [np.packbits(rng.random((len(langid.ORDERS), langid.PLACES)) < 0.002).tobytes() for _ in range(300)]
+    tracemalloc.start()
+    model = langid.solve([("de", "en")[i % 2] for i in range(300)], bits)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == ["de", "en"] and np.isfinite(model.weights).all()
+    assert peak < 120 << 20
+
+
 def test_language_of_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))), per_language=60, landmarks=64)
