@@ -14,6 +14,10 @@
    the documents of the part without what the steps removed; label losses are counted on
    the removed rows.
 
+Joins by ids or by hashes ask for a merge join: Spark guesses their sides by the size of
+the files, packed and before sets are told out, and would send through the driver what it
+cannot hold.
+
 ``surviving`` returns the rows themselves that an order of filters leaves.
 
 Defined cases: a null or empty text has no words, no letters and no signs, and equals other
@@ -73,14 +77,15 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     hot = F.col("n") * HOT_SHARE > total  # fewer than HOT_SHARE groups can be as large
     first = rows.join(F.broadcast(repeated.where(hot).select("h1", "h2", "least")), ["h1", "h2"], "left")
     copies = first.where("doc_id > least").select("row")
-    rest = first.where("least IS NULL").drop("least").join(repeated.where(~hot).select("h1", "h2", "least"), ["h1", "h2"])
+    rest = first.where("least IS NULL").drop("least").join(repeated.where(~hot).select("h1", "h2", "least").hint("merge"), ["h1", "h2"])
     copies = copies.union(rest.where("doc_id > least").select("row")).withColumn(COPY, F.lit(True))
     told = labels.where("doc_id IS NOT NULL AND (quality = 1 OR toxic = 1)").groupBy("doc_id").agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic")
     )
-    # rows without an id find no label; their own number spreads them over the tasks
-    told = told.withColumn("spread", F.lit(-1).cast("long"))
-    rows = rows.withColumn("spread", F.when(F.col("doc_id").isNull(), F.col("row")).otherwise(-1)).join(told, ["doc_id", "spread"], "left")
+    # rows without an id find no label; their own number spreads them over the tasks (a column of its own would be folded into a condition)
+    told = told.select(F.struct("doc_id", F.lit(-1).cast("long").alias("spread")).alias("who"), "good", "toxic").hint("merge")
+    spread = F.when(F.col("doc_id").isNull(), F.col("row")).otherwise(-1)
+    rows = rows.withColumn("who", F.struct("doc_id", spread.alias("spread"))).join(told, "who", "left")
     no = F.lit(False)
     rows = rows.join(copies, "row", "left")
     return written(
@@ -96,7 +101,7 @@ def failing(rows: DataFrame, filters: str) -> dict[str, DataFrame]:
 
 def surviving(rows: DataFrame, tables: dict[str, DataFrame], order: str) -> DataFrame:
     """The rows that fail none of the filters of ``order``."""
-    return reduce(lambda left, f: left.join(tables[f].select("row"), "row", "left_anti"), order, rows)
+    return reduce(lambda left, f: left.join(tables[f].select("row").hint("merge"), "row", "left_anti"), order, rows)
 
 
 def _sets(filters: str, letter: str, inside: bool) -> Column:
@@ -112,7 +117,7 @@ def steps(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
         DataFrame.union,
         (t.select("row", "part", "good", "toxic", F.lit(f).alias("filter"), _sets(filters, f, False).alias("before")) for f, t in tables.items()),
     )
-    blocked = reduce(DataFrame.union, (t.select("row", _sets(filters, f, True).alias("before")) for f, t in tables.items()))
+    blocked = reduce(DataFrame.union, (t.select("row", _sets(filters, f, True).alias("before")) for f, t in tables.items())).hint("merge")
     by = ["part", "filter", "before"]
     removed = asked.join(blocked, ["row", "before"], "left_anti").groupBy(by).agg(
         F.count("*").alias("removed"), F.count_if("good").alias("good_lost"), F.count_if("toxic").alias("toxic_lost")

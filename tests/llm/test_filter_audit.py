@@ -94,3 +94,36 @@ def test_survivors_are_rows(spark):
 def test_no_documents_no_rows(spark):
     docs = spark.createDataFrame([], COLUMNS)
     assert filter_audit.audit(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect() == []
+
+
+def static_joins(df):
+    """Kind of join, keys and type, as planned before anything has run."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [(kind, re.sub(r"#\d+L?", "", keys), how) for kind, keys, how in re.findall(r"(\w+Join) \[([^\]]*)\], \[[^\]]*\], (\w+)", plan)]
+
+
+def test_ids_are_not_broadcast(spark, monkeypatch):
+    """The files of small tables look small; what is made of them grows with the documents and stays out of the driver."""
+    planned, keep = {}, filter_audit.written
+
+    def seen(df, name):
+        planned[name] = static_joins(df)
+        return keep(df, name)
+
+    monkeypatch.setattr(filter_audit, "written", seen)
+    docs = spark.createDataFrame(made(), COLUMNS).repartition(5)
+    labels = keep(spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int"), "labels")  # files, as a small table has them
+    filter_audit.audit(docs, labels)
+    hot = [("BroadcastHashJoin", "h1, h2", "Inner"), ("BroadcastHashJoin", "h1, h2", "LeftOuter")]  # fewer than HOT_SHARE texts
+    merged = [("SortMergeJoin", "h1, h2", "Inner"), ("SortMergeJoin", "row", "LeftOuter"), ("SortMergeJoin", "who", "LeftOuter")]
+    assert sorted(planned["audit-judged"]) == hot + merged
+    assert set(planned["audit-removed"]) == {("SortMergeJoin", "row, before", "LeftAnti")}
+    assert set(planned["audit-redundant"]) == {("SortMergeJoin", "row, before", "LeftSemi")}
+
+
+def test_survivors_without_broadcasts(spark):
+    rows = spark.range(9).selectExpr("id AS row", "'en' AS part", "false AS good", "false AS toxic", "id % 2 = 0 AS A", "id % 3 = 0 AS B")
+    tables = filter_audit.failing(rows, "AB")
+    left = filter_audit.surviving(rows, tables, "BA")
+    assert static_joins(left) == [("SortMergeJoin", "row", "LeftAnti")] * 2
+    assert sorted(r["row"] for r in left.collect()) == [1, 5, 7]
